@@ -3,24 +3,30 @@
 from __future__ import annotations
 
 import re
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Workers get the decoder by value: the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements whose content is not shown, elements set off by a blank line,
 # and elements that only start a line of their own.
 HIDDEN = "script|style|title|noscript|template|textarea|select|button|iframe|object|svg"
 PARAGRAPHS = "p|h[1-6]|ul|ol|dl|blockquote|pre|table|figure|hr|article|section|form|fieldset"
 LINES = (
-    "div|header|footer|nav|aside|main|address|li|dt|dd|tr|caption|thead|tbody|tfoot|"
+    "div|header|footer|nav|aside|main|address|dt|dd|tr|caption|thead|tbody|tfoot|"
     "figcaption|details|summary|center|body|html|head"
 )
 BULLET = "  • "
 
 # Stand-ins while white space is tidied, taken out of the page beforehand: the start of
-# an item, the edge of a line, the edge of a paragraph. Edges that meet are one edge.
-_ITEM, _LINE, _PARAGRAPH = "\x02", "\x03", "\x04"
+# an item and its end, the edge of a line, the edge of a paragraph. Edges that meet are
+# one edge.
+_ITEM, _LINE, _PARAGRAPH, _END = "\x02", "\x03", "\x04", "\x05"
 
 
 # The rest of a tag up to its ">". A quoted value may hold "<" or ">"; one that is never
@@ -46,19 +52,22 @@ def _unescape(text: Column) -> Column:
 def html_to_text(html: Column) -> Column:
     """The whole page as text: blocks on their own lines with a blank line between
     paragraphs, white space collapsed within a block, list items led by a bullet."""
-    out = F.translate(html, _ITEM + _LINE + _PARAGRAPH, "")
+    out = F.translate(html, _ITEM + _LINE + _PARAGRAPH + _END, "")
     out = F.regexp_replace(out, r"(?s)<!--.*?(?:-->|\z)", "")
     out = F.regexp_replace(out, rf"(?is)<({HIDDEN})(?=[\s/>]){_REST}.*?(?:</\1(?=[\s/>])[^<>]*+>|\z)", " ")
     out = F.regexp_replace(out, r"[ \t\n\f\r]+", " ")
     out = F.regexp_replace(out, _tag("br"), "\n")
     out = F.regexp_replace(out, _tag("li", "<"), _LINE + _ITEM)
+    out = F.regexp_replace(out, _tag("li", "</"), _END)
     out = F.regexp_replace(out, _tag(PARAGRAPHS), _PARAGRAPH)
     out = F.regexp_replace(out, _tag(LINES), _LINE)
     out = F.regexp_replace(out, _tag("td|th"), " ")
     out = F.regexp_replace(out, rf"<[/!?a-zA-Z]{_REST}", "")
     out = F.regexp_replace(out, r"<[/!?a-zA-Z][^<>]*+>", "")
     out = F.regexp_replace(out, " {2,}", " ")
-    out = F.regexp_replace(out, rf" ?([\n{_ITEM}{_LINE}{_PARAGRAPH}]) ?", "$1")
+    out = F.regexp_replace(out, rf" ?([\n{_ITEM}{_LINE}{_PARAGRAPH}{_END}]) ?", "$1")
+    out = F.regexp_replace(out, rf"{_ITEM}[{_LINE}{_PARAGRAPH}\n]*+{_END}", _LINE)
+    out = F.translate(out, _END, _LINE)
     out = F.regexp_replace(out, rf"{_ITEM}[{_LINE}{_PARAGRAPH}{_ITEM}\n]*+", _ITEM)
     out = F.regexp_replace(out, rf"{_PARAGRAPH}[{_LINE}{_PARAGRAPH}]*+", _PARAGRAPH)
     out = F.regexp_replace(out, rf"(?<!{_LINE}){_LINE}++{_PARAGRAPH}", _PARAGRAPH)
@@ -113,12 +122,15 @@ def _decode(content: bytes) -> str:
 def decode_bytes(content: Column) -> Column:
     """Detect the encoding of page bytes and decode them, bad bytes ignored.
 
-    Valid UTF-8, the common case, is decoded in the JVM. Other encodings go through
-    Python, because Spark's decoder cannot leave out malformed input.
+    Valid UTF-8, the common case, stays in the JVM. Only other pages go through Python,
+    because Spark's decoder cannot leave out malformed input.
     """
 
     @F.pandas_udf("string")
     def decode(batch: pd.Series) -> pd.Series:
         return batch.map(_decode, na_action="ignore")
 
-    return decode(content)
+    as_text = content.cast("string")
+    valid = F.is_valid_utf8(as_text)
+    plain = F.when(valid, F.regexp_replace(as_text, r"\A\x{FEFF}", ""))
+    return F.coalesce(plain, decode(F.when(~valid, content)))

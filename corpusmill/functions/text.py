@@ -24,12 +24,6 @@ ALPHABETIC_TOKEN = rf"[a-zA-Z\p{{L}}][{WORD}]*+(?:[.'’-][{WORD}]++)*+"
 # The start of a line that has something other than white space.
 LINE_START = rf"(?:\A|[{LINE_BREAK}])[{BLANK}]*+[^{SPACE}]"
 
-# Letters that the accent stripper folds although they carry no combining mark. They are
-# parked on private-use code points, and text that holds those code points loses them,
-# as the punctuation rule would have removed them anyway.
-FOLDED_LETTERS = "łđɨʉŧɪᵻᶤᶧᵾᶶ"
-PARKING = "".join(chr(0xE000 + i) for i in range(len(FOLDED_LETTERS)))
-
 
 def bind(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that are computed once per row.
@@ -74,10 +68,12 @@ def flatten_for_scoring(text: Column) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """Lower case, no accents, no punctuation, single blanks."""
-    parked = F.translate(F.lower(text), FOLDED_LETTERS + PARKING, PARKING)
-    stripped = F.reflect(F.lit("org.apache.commons.lang3.StringUtils"), F.lit("stripAccents"), parked)
-    restored = F.translate(stripped, PARKING, FOLDED_LETTERS)
-    bare = F.regexp_replace(restored, rf"[^\p{{L}}\p{{N}}_{SPACE}]+", "")
+    # Canonical decomposition (NFD), by a library that ships with Spark. Marks then fall
+    # to the same pattern as punctuation: they are neither letters nor digits.
+    decomposed = F.reflect(
+        F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), F.lower(text), F.lit(False)
+    )
+    bare = F.regexp_replace(decomposed, rf"[^a-zA-Z0-9\p{{L}}\p{{N}}_{SPACE}]+", "")
     return F.trim(F.regexp_replace(bare, rf"[{SPACE}]+", " "))
 
 

@@ -28,15 +28,19 @@ def _weighted(examples: DataFrame, label: str) -> DataFrame:
 def train_classifier(
     examples: DataFrame, label: str = "label", text: str = "text", method: str = "logistic"
 ) -> PipelineModel:
-    """Fit words to labels. ``method`` is ``logistic`` or ``bayes``; the labels must be a
-    small set."""
+    """Fit words to labels, which must be a small set.
+
+    ``logistic`` looks at which words occur, unscaled, so that a few telling words count in
+    a long text; ``bayes`` looks at how often they occur.
+    """
     flat = examples.select(F.col(label), flatten_for_scoring(F.col(text)).alias("_flat"))
     flat = _weighted(flat, label)
     index = StringIndexer(inputCol=label, outputCol="_class", stringOrderType="alphabetAsc").fit(flat)
     words = RegexTokenizer(inputCol="_flat", outputCol="_words", pattern=r"\s+")
     counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=FEATURES)
+    counts.setBinary(method == "logistic")
     kind = {"logistic": LogisticRegression, "bayes": NaiveBayes}[method]
-    options = {"maxIter": 20, "regParam": 0.01} if method == "logistic" else {}
+    options = {"maxIter": 30, "regParam": 0.001, "standardization": False} if method == "logistic" else {}
     fit = kind(featuresCol="_counts", labelCol="_class", weightCol="_weight", **options)
     named = IndexToString(inputCol="prediction", outputCol="_label", labels=index.labels)
     fitted = Pipeline(stages=[words, counts, fit]).fit(index.transform(flat))

@@ -83,6 +83,31 @@ def reject_reason(
     )
 
 
+def judge(
+    docs: DataFrame,
+    quality: PipelineModel,
+    language: PipelineModel,
+    toxicity: PipelineModel,
+    text: str = "text",
+) -> DataFrame:
+    """Finish every document and add the ``reason`` for which it is to be rejected, by
+    models. A model is given an empty text for documents that are rejected already."""
+    out = docs.withColumn("reason", F.lit(None).cast("string"))
+    for model, good, reason in (
+        (quality, "wiki", "quality"),
+        (language, "en", "language"),
+        (toxicity, "non-toxic", "toxic"),
+    ):
+        asked = out.withColumn("_asked", F.when(F.col("reason").isNull(), F.col(text)).otherwise(""))
+        out = score(asked, model, "_verdict", text="_asked").withColumn(
+            "reason", F.coalesce("reason", F.when(F.col("_verdict") != good, reason))
+        )
+        out = out.drop("_asked", "_verdict")
+    masked = mask_pii(_shorten(with_gopher(out, text), text), text)
+    late = F.when(~F.col("gopher_ok"), "gopher").when(F.col("n_pii") > PII_LIMIT, "pii")
+    return masked.withColumn("reason", F.coalesce("reason", late)).drop("gopher_ok", "n_pii")
+
+
 def funnel(reasons: DataFrame, by: str = "source") -> DataFrame:
     """Per source: total, rejects by rule, passed."""
     rejected = [F.count_if(F.col("reason") == reason).alias(reason) for reason in REASONS]

@@ -8,7 +8,6 @@ skipped, not kept.
 
 from __future__ import annotations
 
-import re
 import sys
 import zlib
 from collections.abc import Iterator
@@ -19,7 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
-# Workers get this module by value: it need not be installed on them.
+from corpusmill.sources import listing
+from corpusmill.sources.listing import list_files, locate
+
+# Workers get these modules by value: the package need not be installed on them.
+cloudpickle.register_pickle_by_value(listing)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCHEMA = (
@@ -43,25 +46,9 @@ class ArchiveSplit(InputPartition):
         self.path, self.start, self.end = path, start, end
 
 
-def _locate(uri: str):
-    """The file system of a path or URI, the path on it, and what to put before such paths."""
-    from pyarrow import fs
-
-    uri = re.sub("^file:/+", "/", uri)
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri, ""
-    system, path = fs.FileSystem.from_uri(uri)
-    return system, path, uri.removesuffix(path)
-
-
 def list_archives(folder: str, suffix: str = ARCHIVE_SUFFIX) -> list[tuple[str, int]]:
     """Paths and sizes of the archives in a folder and all below it, sorted by path."""
-    from pyarrow import fs
-
-    system, root, prefix = _locate(folder)
-    info = system.get_file_info(root)
-    found = [info] if info.is_file else system.get_file_info(fs.FileSelector(root, recursive=True))
-    return sorted((prefix + f.path, f.size) for f in found if f.is_file and f.path.endswith(suffix))
+    return [(path, size) for path, size in list_files(folder) if path.endswith(suffix)]
 
 
 class _Members:
@@ -138,7 +125,7 @@ def _body(block: bytes, content_type: str) -> bytes:
 
 def read_split(path: str, start: int, end: int, kind: str | None) -> Iterator[tuple]:
     """Records of the gzip members that start in ``[start, end)``."""
-    system, name, _ = _locate(path)
+    system, name, _ = locate(path)
     with system.open_input_file(name) as stream:
         members = _Members(stream, start)
         if not members.seek_record(end):
@@ -183,6 +170,7 @@ class ArchiveReader(DataSourceReader):
         self.folder = options["path"]
         self.suffix = options.get("suffix", ARCHIVE_SUFFIX)
         self.split_bytes = int(options.get("splitbytes", 128 << 20))
+        self.first, self.count = int(options.get("first", 0)), options.get("count")
         self.kind = None
 
     def pushFilters(self, filters):
@@ -193,9 +181,10 @@ class ArchiveReader(DataSourceReader):
                 yield item
 
     def partitions(self):
+        listed = list_archives(self.folder, self.suffix)[self.first :]
         return [
             ArchiveSplit(path, at, min(at + self.split_bytes, size))
-            for path, size in list_archives(self.folder, self.suffix)
+            for path, size in (listed if self.count is None else listed[: int(self.count)])
             for at in range(0, size, self.split_bytes)
         ]
 
@@ -227,10 +216,15 @@ def scan_records(
     suffix: str = ARCHIVE_SUFFIX,
     warc_type: str | None = "response",
     split_bytes: int = 128 << 20,
+    first: int = 0,
+    count: int | None = None,
 ) -> DataFrame:
-    """Records of the archives of a folder, the responses by default."""
+    """Records of the archives of a folder, the responses by default; with ``first`` and
+    ``count``, of that slice of the archives in path order."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ArchiveSource)
     reader = spark.read.format("warc").option("suffix", suffix).option("splitBytes", split_bytes)
+    reader = reader.option("first", first)
+    reader = reader if count is None else reader.option("count", count)
     records = reader.load(folder)
     return records.where(F.col("warc_type") == warc_type) if warc_type else records
