@@ -3,8 +3,6 @@ engines can be compared by value."""
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,20 +199,19 @@ def line_hash(spark, folder):
     return cut.select("doc_id", F.col("p").cast("bigint").alias("pos"), text.line_hash(F.col("line")).alias("line_hash"))
 
 
-def _grams(spark, folder) -> DataFrame:
-    words = documents(spark, folder).select("doc_id", F.split(text.normalize_text(F.col("text")), " ").alias("words"))
-    return words.select("doc_id", text.word_ngrams(F.col("words"), NGRAMS).alias("grams"))
+def _words(spark, folder) -> DataFrame:
+    return documents(spark, folder).select("doc_id", F.split(text.normalize_text(F.col("text")), " ").alias("words"))
 
 
 def word_ngrams(spark, folder):
-    grams = text.bind(_grams(spark, folder), once=F.col("grams"))
+    grams = text.bind(_words(spark, folder), grams=text.word_ngrams(F.col("words"), NGRAMS))
     return grams.select(
-        "doc_id", F.size("once").cast("bigint").alias("n"), F.md5(joined(F.col("once"), "|")).alias("grams_md5")
+        "doc_id", F.size("grams").cast("bigint").alias("n"), F.md5(F.array_join("grams", "|")).alias("grams_md5")
     )
 
 
 def ngram_hash(spark, folder):
-    gram = _grams(spark, folder).select("doc_id", F.explode("grams").alias("gram"))
+    gram = text.explode_ngrams(_words(spark, folder), "words", NGRAMS)
     hashed = gram.select("doc_id", minhash.ngram_hash(F.col("gram"), HASH_INDEX).alias("h"))
     return hashed.groupBy("doc_id").agg(
         F.count("*").alias("n"), F.sum("h").alias("total"), F.min("h").alias("least"), F.max("h").alias("most")
@@ -234,13 +231,13 @@ def gopher_filter(spark, folder):
     return quality.gopher_filter(documents(spark, folder))
 
 
-@cache
-def _model(application: str, kind: str, folder: str):
-    spark = SparkSession.getActiveSession()
+_MODELS: dict = {}
+
+
+def _train(spark, kind, folder):
     if kind == "language":
         return classify.train_classifier(documents(spark, folder, "text", F.col("lang").alias("label")), method="bayes")
-    names = {"toxic": "toxicity", "nsfw": "toxicity", "quality": "quality"}
-    label = F.col(names[kind])
+    label = F.col("quality" if kind == "quality" else "toxicity")
     if kind == "nsfw":
         label = F.when(label == "toxic", "nsfw").otherwise("non-nsfw")
     examples = documents(spark, folder).join(verdicts(spark, folder), "doc_id")
@@ -248,7 +245,11 @@ def _model(application: str, kind: str, folder: str):
 
 
 def _trained(spark, kind, folder):
-    return _model(spark.sparkContext.applicationId, kind, folder)
+    """Each model is trained once per session and folder."""
+    key = (spark.sparkContext.applicationId, kind, folder)
+    if key not in _MODELS:
+        _MODELS[key] = _train(spark, kind, folder)
+    return _MODELS[key]
 
 
 def language_model(spark, folder):

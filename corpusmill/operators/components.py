@@ -9,9 +9,11 @@ from corpusmill.operators.skew import join_counted
 from corpusmill.session import materialize
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(node, other))")).first()
-    return row[0], row[1]
+def _is_star_forest(arcs: DataFrame) -> bool:
+    """Whether every node has one arc, and it leads to a node without one."""
+    forked = arcs.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+    inner = arcs.select(F.col("other").alias("node")).join(arcs.select("node"), "node", "left_semi")
+    return forked.isEmpty() and inner.isEmpty()
 
 
 def _star(arcs: DataFrame, total: int) -> DataFrame:
@@ -24,25 +26,21 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """``node, component`` for every end of an edge; a component is named by its least node.
 
     Alternates the large-star and the small-star step (Kiveris and others, 2014) until
-    no edge changes, which takes a number of rounds that grows with the logarithm of the
-    graph's size. An edge leads from a larger ``node`` to a smaller ``other``.
+    only stars are left, which takes a number of rounds that grows with the logarithm of
+    the graph's size. An arc leads from a larger ``node`` to a smaller ``other``; the steps
+    never add arcs beyond the first number of them.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a <> b")
     ends = ends.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
     current = materialize(ends.distinct(), "edges")
-    state = _state(current)
-    while True:
+    total = 2 * current.count()
+    while not _is_star_forest(current):
         both = current.unionByName(current.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        large = _star(both, 2 * state[0]).where("other > node")
-        large = large.select(F.col("other").alias("node"), F.least("least", "node").alias("other"))
-        large = materialize(large.distinct(), "edges")
-        small = _star(large, 2 * state[0])
+        large = _star(both, total).where("other > node")
+        large = large.select(F.col("other").alias("node"), F.least("least", "node").alias("other")).distinct()
+        small = _star(large, total)
         # Each smaller neighbour, and the node itself, hangs from the least of them.
         small = small.select(F.explode(F.array("node", "other")).alias("node"), F.col("least").alias("other"))
-        small = materialize(small.where("node <> other").distinct(), "edges")
-        new = _state(small)
-        if new == state:
-            break
-        current, state = small, new
+        current = materialize(small.where("node <> other").distinct(), "edges")
     leaves = current.select("node", F.col("other").alias("component"))
     return leaves.unionByName(leaves.select(F.col("component").alias("node"), "component").distinct())

@@ -12,7 +12,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import normalize_text, word_ngrams
+from corpusmill.functions.text import explode_ngrams, normalize_text
 from corpusmill.operators.components import connected_components
 from corpusmill.operators.skew import join_counted
 from corpusmill.session import materialize
@@ -53,7 +53,7 @@ def minhash_signatures(
     is shuffled.
     """
     words = docs.select(doc_id, F.split(normalize_text(F.col(text)), " ").alias("words"))
-    grams = words.select(doc_id, F.explode(word_ngrams(F.col("words"), ngrams)).alias("gram"))
+    grams = explode_ngrams(words, "words", ngrams)
     hashed = grams.select(doc_id, gram_hash(F.col("gram")).alias("h"))
     minima = [
         F.min((F.col("h") * a + b) % PRIME).alias(f"_{i}")

@@ -21,7 +21,8 @@ def hash_rank(
     The order is that of ``md5(seed:key)``. Its first three hex digits cut the rows into
     4,096 even buckets: a table of at most 4,096 counts gives the rank at which each
     bucket starts, and rows are sorted within their bucket only. With ``limit``, buckets
-    that start beyond it are dropped before the shuffle.
+    that start beyond it are dropped before the shuffle. ``df`` is read twice, the first
+    time for ``key`` alone.
     """
     hashed = df.withColumn("_hash", seeded_hash(key, seed))
     hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, 3))

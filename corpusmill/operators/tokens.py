@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions.text import word_tokens
 from corpusmill.operators.ranks import running_offsets
+from corpusmill.session import materialize
 
 UNKNOWN, END_OF_TEXT, FIRST_WORD = 0, 1, 2
 # The vocabulary size of the training run, and what 16-bit ids can name.
@@ -23,10 +24,20 @@ def build_vocab(docs: DataFrame, size: int = VOCABULARY, text: str = "text") ->
     if size > ID_LIMIT:
         raise ValueError(f"ids have 16 bits: at most {ID_LIMIT}")
     tokens = docs.select(F.explode(word_tokens(F.col(text))).alias("token"))
-    counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
+    counts = materialize(tokens.groupBy("token").agg(F.count("*").alias("n")), "counts")
+    wanted = size - FIRST_WORD
+    # The counts' bit lengths, of which there are at most 64, tell how often a token must
+    # occur to be among the first: only that many tokens are sorted, not all of each task.
+    bits = F.length(F.bin("n"))
+    enough = 0
+    for row in sorted(counts.groupBy(bits.alias("bits")).count().collect(), reverse=True):
+        enough, least = enough + row["count"], row["bits"]
+        if enough >= wanted:
+            counts = counts.where(bits >= least)
+            break
     # The limit comes first: the window sees the vocabulary, not the corpus.
     order = [F.desc("n"), F.asc("token")]
-    top = counts.orderBy(*order).limit(size - FIRST_WORD)
+    top = counts.orderBy(*order).limit(wanted)
     place = F.row_number().over(Window.orderBy(*order))
     return top.select("token", "n", (place - 1 + FIRST_WORD).alias("id"))
 
@@ -74,7 +85,8 @@ def token_windows(
     order, with ``y`` one token ahead of ``x``. A last, short window is dropped.
 
     Each document hands every window it reaches into one slice, so rows are per window
-    and not per token; a window gathers at most ``context + 1`` tokens.
+    and not per token; a window gathers at most ``context + 1`` tokens. ``encoded`` is read
+    twice and should be a written table.
     """
     lengths = encoded.select(doc_id, F.size(tokens).cast("bigint").alias("_length"))
     offsets = running_offsets(lengths, doc_id, "_length", "_offset")

@@ -39,7 +39,7 @@ def scratch_root(spark: SparkSession) -> str:
     executor sees unless the session names it.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
     if not context.master.startswith("local"):

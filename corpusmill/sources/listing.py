@@ -10,6 +10,7 @@ from pyarrow import fs
 def locate(uri: str) -> tuple[fs.FileSystem, str, str]:
     """The file system of a path or URI, the path on it, and what to put before such paths."""
     uri = re.sub("^file:/+", "/", uri)
+    uri = re.sub("^s3[an]://", "s3://", uri)
     if "://" not in uri:
         return fs.LocalFileSystem(), uri, ""
     system, path = fs.FileSystem.from_uri(uri)
