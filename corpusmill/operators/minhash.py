@@ -8,6 +8,7 @@ that grows with the data: see ``compared_pairs``.
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,23 +128,26 @@ def compared_pairs(
     doc_id: str = "doc_id",
     pair_limit: int = PAIR_LIMIT,
 ) -> DataFrame:
-    """``src, dst, matches``: the pairs of distinct signatures that were compared.
+    """``src, dst, matches``: pairs of distinct signatures that share a bucket.
 
     Signatures that share a bucket of at most ``pair_limit`` members are compared pair by
-    pair. A larger bucket would give a quadratic number of pairs, so it is narrowed:
+    pair, and all these pairs are listed. A larger bucket would give a quadratic number of
+    pairs; of those only pairs over the threshold are listed, and only as many as it takes
+    to connect what all of them would connect:
 
     1. every member is compared with one pivot of its bucket, and labelled with the
        component that all links found so far put it in;
-    2. the signature positions that are not yet fixed by the bucket are cut into
+    2. a bucket in one component is done. A bucket with at most ``pair_limit`` members
+       outside its largest component compares those few with all members, which settles it;
+    3. in other buckets the signature positions that are not yet fixed are cut into
        ``m + 1`` blocks, where ``m`` is the number of positions in which a duplicate pair
        may differ. At least one block of such a pair is equal, so each block's value
-       makes a smaller bucket, and every duplicate pair meets again in one of them;
-    3. buckets whose members are all in one component already are done.
+       makes a smaller bucket, and every duplicate pair meets again in one of them.
 
     It ends because the fixed positions grow until they alone exceed the threshold, at
-    which point the pivot links the whole bucket. The links among the compared pairs
-    have the connected components of all pairs that share a bucket and exceed the
-    threshold; where no bucket is over the limit they are exactly those pairs.
+    which point the pivot links the whole bucket. The listed links have the connected
+    components of all pairs that share a bucket and exceed the threshold; where no bucket
+    is over the limit they are exactly those pairs.
     """
     required = _required(num_hashes, threshold)
     slack = num_hashes - required
@@ -171,77 +175,68 @@ def compared_pairs(
     groups = big.select("gid", "id", unfixed.alias("rest"))
     while True:
         groups = materialize(groups, "groups")
+        total = groups.count()
+        if total == 0:
+            break
         pivots = groups.groupBy("gid").agg(
             F.min_by(F.struct("id", "rest"), F.xxhash64("id", "gid")).alias("pivot"), F.count("*").alias("n")
         )
-        total = groups.count()
-        paired = join_counted(groups, materialize(pivots, "pivots"), "gid", total)
-        with_pivot = paired.where("id <> pivot.id").select(
-            F.least("id", "pivot.id").alias("src"),
-            F.greatest("id", "pivot.id").alias("dst"),
-            (num_hashes - F.size("rest") + _matches("rest", "pivot.rest")).alias("matches"),
+        pivots = materialize(pivots.where("n > 1"), "pivots")
+        paired = join_counted(groups, pivots, "gid", total).where("id <> pivot.id")
+        found.append(_over(paired, "pivot", num_hashes, required))
+
+        labelled = _label(groups, found, required)
+        shares = labelled.groupBy("gid", "component").agg(F.count("*").alias("share"))
+        shape = shares.groupBy("gid").agg(
+            F.sum("share").alias("n"), F.max("share").alias("most"), F.max_by("component", "share").alias("main")
         )
-        found.append(materialize(with_pivot.distinct(), "compared"))
+        shape = materialize(shape.where("n > most"), "shape")
+        open_groups = materialize(join_counted(labelled, shape, "gid", total), "open")
+        outside = F.col("n") - F.col("most")
+        near = open_groups.where(outside <= pair_limit)
+        few = near.where("component <> main").groupBy("gid").agg(
+            F.collect_list(F.struct("id", "component", "rest")).alias("few"), F.first("n").alias("n")
+        )
+        few = materialize(few, "few")
+        met = join_counted(near.drop("n"), few, "gid", total).withColumn("other", F.explode("few"))
+        found.append(_over(met.where("component <> other.component"), "other", num_hashes, required))
 
         rest_size = F.size("rest")
         cut = [F.floor(rest_size * j / (slack + 1)).cast("int") for j in range(slack + 2)]
         children = [
             F.struct(
                 F.xxhash64("gid", F.lit(j), F.slice("rest", cut[j] + 1, cut[j + 1] - cut[j])).alias("gid"),
-                F.concat(
-                    F.slice("rest", 1, cut[j]), F.slice("rest", cut[j + 1] + 1, rest_size)
-                ).alias("rest"),
+                F.concat(F.slice("rest", 1, cut[j]), F.slice("rest", cut[j + 1] + 1, rest_size)).alias("rest"),
             )
             for j in range(slack + 1)
         ]
-        deeper = groups.where(rest_size > slack).select("id", F.inline(F.array(*children)))
-        open_groups = _still_open(deeper, found, required)
-        if open_groups is None:
-            break
-        small = open_groups.where(F.col("n") <= pair_limit)
-        member = F.struct("id", "component", "rest").alias("member")
-        apart = _bounded_pairs(small.select("gid", member)).where("left.component <> right.component")
-        found.append(
-            materialize(
-                apart.select(
-                    F.least("left.id", "right.id").alias("src"),
-                    F.greatest("left.id", "right.id").alias("dst"),
-                    (num_hashes - F.size("left.rest") + _matches("left.rest", "right.rest")).alias("matches"),
-                ).distinct(),
-                "compared",
-            )
-        )
-        groups = open_groups.where(F.col("n") > pair_limit).select("gid", "id", "rest")
-        if groups.isEmpty():
-            break
-    everything = found[0]
-    for part in found[1:]:
-        everything = everything.unionByName(part)
-    return everything.distinct()
-
-
-def _still_open(deeper: DataFrame, found: list[DataFrame], required: int) -> DataFrame | None:
-    """``gid, id, rest, component, n`` of the groups that span two components or more."""
-    links = found[0]
-    for part in found[1:]:
-        links = links.unionByName(part)
-    components = connected_components(links.where(F.col("matches") >= required))
-    labelled = deeper.join(components.withColumnRenamed("node", "id"), "id", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "id"))
-    labelled = materialize(labelled.select("gid", "id", "rest", "component"), "children")
-    spans = labelled.groupBy("gid").agg(
-        F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")
+        wide = open_groups.where(outside > pair_limit).where(rest_size > slack)
+        groups = wide.select("id", F.inline(F.array(*children)))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _over(pairs: DataFrame, other: str, num_hashes: int, required: int) -> DataFrame:
+    """Links between ``id`` and ``other.id``, whose unfixed positions are in ``rest``."""
+    links = pairs.select(
+        F.least("id", f"{other}.id").alias("src"),
+        F.greatest("id", f"{other}.id").alias("dst"),
+        (num_hashes - F.size("rest") + _matches("rest", f"{other}.rest")).alias("matches"),
     )
-    spans = materialize(spans.where("least <> most").select("gid", "n"), "spans")
-    if spans.isEmpty():
-        return None
-    return materialize(join_counted(labelled, spans, "gid", labelled.count()), "open")
+    return materialize(links.where(F.col("matches") >= required).distinct(), "compared")
+
+
+def _label(groups: DataFrame, found: list[DataFrame], required: int) -> DataFrame:
+    """Add the component that the links found so far put each ``id`` in."""
+    links = reduce(DataFrame.unionByName, found).where(F.col("matches") >= required)
+    components = connected_components(links).withColumnRenamed("node", "id")
+    labelled = groups.join(components, "id", "left")
+    return materialize(labelled.withColumn("component", F.coalesce("component", "id")), "labelled")
 
 
 def candidate_pairs(
     sigs: DataFrame, num_hashes: int, num_bands: int, threshold: float, doc_id: str = "doc_id", **options
 ) -> DataFrame:
-    """``src, dst``: the pairs of distinct signatures to compare, see ``compared_pairs``."""
+    """``src, dst``: pairs of distinct signatures that share a bucket, see ``compared_pairs``."""
     reps = distinct_signatures(sigs, doc_id)
     return compared_pairs(reps, num_hashes, num_bands, threshold, doc_id, **options).select("src", "dst")
 
