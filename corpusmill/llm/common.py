@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +55,49 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+class WordHashes(dict):
+    """Remembers 64-bit hashes of words; starts afresh when it holds too many."""
+
+    LIMIT = 1 << 20
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_HASHES = WordHashes()
+
+
+def split_words(text: str) -> list[bytes]:
+    """A-Z lower-cased, cut at the white space of ASCII, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+def hashed_words(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, end to end, and the number of words of each text."""
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    flat = [h for part in words for h in map(_HASHES.__getitem__, part)]
+    return np.array(flat, np.uint64), counts
+
+
+def mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """A 64-bit hash of two; not symmetric."""
+    with np.errstate(over="ignore"):
+        x = (a ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9) + np.asarray(b, np.uint64)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(32))
+
+
+def shingles(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words, whatever texts they are in."""
+    if len(words) < n:
+        return np.zeros(0, np.uint64)
+    size = len(words) - n + 1
+    out = words[:size]
+    for k in range(1, n):
+        out = mix(out, words[k : k + size])
+    return out

@@ -17,11 +17,11 @@ from corpusmill.llm.common import id_and_text, table, text_slices
 WINDOW, STEP = 40, 30
 INPUT, HIDDEN, ATTEND = 16, 8, 8
 BUCKETS = 4096
-# The training sample: labelled documents per class at most, characters of one at most, windows
-# in the first epoch at most, and how many epochs follow it.
-PER_CLASS, MOST_CHARACTERS, FIRST_WINDOWS, EPOCHS, BATCH = 1200, 20_000, 16_000, 5, 256
+# The training sample: toxic documents at most, clean ones for each of these, characters of one
+# at most, windows in the first epoch at most, and how many epochs follow it.
+TOXIC, CLEAN, MOST_CHARACTERS, FIRST_WINDOWS, EPOCHS, BATCH = 1000, 4, 20_000, 24_000, 8, 256
 # Of a clean text so many windows that the network finds most toxic.
-CLEAN_WINDOWS = 3
+CLEAN_WINDOWS = 2
 REMEMBERED = 1 << 19
 _CHUNK = 4096
 
@@ -291,19 +291,20 @@ class Scorer:
         return _sigmoid(best)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> list:
-    """``text, toxic`` of at most ``per_class`` labelled documents of each class, in a fixed hash
-    order, that are not held out and not longer than ``MOST_CHARACTERS``."""
+def training_sample(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC) -> list:
+    """``text, toxic`` of at most ``toxic`` toxic documents and ``CLEAN`` times as many others, in a
+    fixed hash order, that are not held out and not longer than ``MOST_CHARACTERS``."""
+    wanted = {1: toxic, 0: CLEAN * toxic}
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out())
     known = known.select("doc_id", "toxic").distinct()
     # A third more than wanted, since long documents fall out.
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = [known.where(F.col("toxic") == c).orderBy(*order).limit(per_class * 4 // 3) for c in (0, 1)]
+    chosen = [known.where(F.col("toxic") == c).orderBy(*order).limit(n * 4 // 3) for c, n in wanted.items()]
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
     found = id_and_text(docs).where(F.length("text") <= MOST_CHARACTERS).join(ids, "doc_id")
     rows = found.select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
-    return [r for c in (0, 1) for r in [x for x in rows if x.toxic == c][:per_class]]
+    return [r for c, n in wanted.items() for r in [x for x in rows if x.toxic == c][:n]]
 
 
 def held_out(doc_id: str = "doc_id"):
