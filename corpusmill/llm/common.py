@@ -9,6 +9,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.session import materialize
+
 # Stands for a missing document id: such rows count as one document after all others.
 NO_ID = 2**63 - 1
 
@@ -101,3 +103,11 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         out = mix(out, words[k : k + size])
     return out
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """``materialize``, after which the shuffle files that led to the table are let go: Spark
+    removes them once the JVM has collected what refers to them."""
+    table = materialize(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return table

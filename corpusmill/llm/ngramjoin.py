@@ -10,9 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import hashed_words, mix, shingles, split_words, table, text_slices
+from corpusmill.llm.common import NO_ID, hashed_words, mix, settle, shingles, split_words, table, text_slices
 from corpusmill.operators.components import connected_components
-from corpusmill.session import materialize
 
 # Fixed values of the contract: words of a shingle; 100 * shared >= LIKE * union.
 SHINGLE, LIKE = 4, 85
@@ -44,45 +43,69 @@ def least_overlap(size):
     return -(-LIKE * size // 100)
 
 
-def _heads(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, key, head``: a set's hash, and its first shingles by hash. Linked
-    sets share at least ``1 + n // 16`` of those for the smaller ``n``, whatever the others are."""
+def _key(grams: np.ndarray) -> int:
+    """A set's own hash."""
+    with np.errstate(over="ignore"):
+        total = mix(grams, 77).sum(dtype=np.uint64, keepdims=True)
+    return int(mix(total, len(grams)).view(np.int64)[0])
+
+
+def _keys(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, key``."""
 
     def emit(batches):
-        names = ["doc_id", "n_shingles", "key", "head"]
         for batch in text_slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist())
-            sizes = np.array([len(s) for s in sets], np.int64)
-            with np.errstate(over="ignore"):
-                keys = np.array([int(mix(s, 77).sum(dtype=np.uint64)) if len(s) else 0 for s in sets], np.uint64)
-            lengths = (sizes - least_overlap(sizes) + 1 + sizes // 16).tolist()
-            heads = [s[:k].view(np.int64) if len(s) else s.view(np.int64) for s, k in zip(sets, lengths, strict=True)]
-            arrays = [batch.column(0), pa.array(sizes), pa.array(mix(keys, sizes.astype(np.uint64)).view(np.int64)), pa.array(heads, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            arrays = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_key(s) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "key"])
 
-    return docs.mapInArrow(emit, "doc_id bigint, n_shingles bigint, key bigint, head array<bigint>")
+    return docs.mapInArrow(emit, "doc_id bigint, n_shingles bigint, key bigint")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``key, n, grams`` of the sets in ``wanted`` (``key, doc_id``), from the documents."""
+def _heads(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``key, n, gram``: of each set in ``wanted`` (``key, doc_id``) its first shingles by hash.
+    Linked sets share at least ``1 + n // 16`` of those for the smaller ``n``, whatever the
+    others are."""
+
+    def emit(batches):
+        for batch in text_slices(batches):
+            at = batch.schema.names.index
+            sets = shingle_sets(batch.column(at("text")).to_pylist())
+            chosen = [(k, s) for s, found in zip(sets, batch.column(at("keys")).to_pylist(), strict=True) if (k := _key(s)) in found]
+            sizes = np.array([len(s) for _, s in chosen], np.int64)
+            lengths = np.minimum(sizes - least_overlap(sizes) + 1 + sizes // 16, sizes)
+            grams = np.concatenate([s[:k] for (_, s), k in zip(chosen, lengths.tolist(), strict=True)] or [np.zeros(0, np.uint64)])
+            keys = np.array([k for k, _ in chosen], np.int64)
+            arrays = [pa.array(np.repeat(keys, lengths)), pa.array(np.repeat(sizes, lengths)), pa.array(grams.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "gram"])
+
+    return _holding(docs, wanted).mapInArrow(emit, "key bigint, n bigint, gram bigint")
+
+
+def _holding(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``text, keys`` of the documents that stand for a set in ``wanted``."""
     lists = wanted.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    return docs.join(lists, docs.doc_id.eqNullSafe(lists.doc_id)).select("text", "keys")
+
 
+def _sets_of(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """``key, n, grams`` of the sets in ``wanted`` (``key, doc_id``), from the documents."""
     def emit(batches):
         for batch in text_slices(batches):
             at = batch.schema.names.index
             sets = shingle_sets(batch.column(at("text")).to_pylist())
             keys, out = [], []
             for grams, found in zip(sets, batch.column(at("keys")).to_pylist(), strict=True):
-                with np.errstate(over="ignore"):
-                    key = mix(np.array([mix(grams, 77).sum(dtype=np.uint64)], np.uint64), len(grams)).view(np.int64)[0]
+                key = _key(grams)
                 if key in found:
-                    keys.append(int(key))
+                    keys.append(key)
                     out.append(grams.view(np.int64))
             arrays = [pa.array(keys, pa.int64()), pa.array([len(g) for g in out], pa.int64()), pa.array(out, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "grams"])
 
-    found = docs.join(lists, docs.doc_id.eqNullSafe(lists.doc_id)).select("text", "keys")
-    return found.mapInArrow(emit, "key bigint, n bigint, grams array<bigint>").dropDuplicates(["key"])
+    # Rows with the same id may hold the same set twice.
+    found = _holding(docs, wanted).mapInArrow(emit, "key bigint, n bigint, grams array<bigint>")
+    return found.dropDuplicates(["key"]) if repeated else found
 
 
 def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
@@ -159,12 +182,11 @@ def _fits(a: Column, b: Column) -> Column:
 
 def _active(heads: DataFrame) -> DataFrame:
     """``key`` of the sets that share enough of their heads with sets of a like size."""
-    rows = heads.select("key", "n", F.explode("head").alias("gram"))
     near = Window.partitionBy("gram").orderBy("n", "key")
     met = F.coalesce(_fits(F.lag("n").over(near), F.col("n")), F.lit(False)) | F.coalesce(
         _fits(F.lead("n").over(near), F.col("n")), F.lit(False)
     )
-    shared = rows.withColumn("met", met).where("met").groupBy("key", "n").agg(F.count("*").alias("m"))
+    shared = heads.withColumn("met", met).where("met").groupBy("key", "n").agg(F.count("*").alias("m"))
     # The other set may be smaller, and its head then shorter.
     return shared.where(F.col("m") >= 1 + F.floor(LIKE * F.col("n") / 1600)).select("key")
 
@@ -192,24 +214,24 @@ def _links(sets: DataFrame) -> DataFrame:
     lie in different components are compared with each other, where their sizes and places allow
     a link: exact, and linear where a list's members are copies of each other.
     """
-    lists = materialize(_short_lists(sets), "lists")
+    lists = settle(_short_lists(sets), "lists")
     leader = F.min("key").over(Window.partitionBy("gram"))
     rows = lists.select("gram", "key").withColumn("leader", leader).where("key <> leader")
     links = None
     for _ in range(STAR_ROUNDS):
-        rows = materialize(rows, "rows")
+        rows = settle(rows, "rows")
         if rows.isEmpty():
             break
-        new = materialize(_compare(rows.select("leader", "key").distinct(), sets), "links")
+        new = settle(_compare(rows.select("leader", "key").distinct(), sets), "links")
         links = new if links is None else links.unionByName(new)
         left = rows.join(new, ["leader", "key"], "left_anti").select("gram", "key")
         rows = left.withColumn("leader", leader).where("key <> leader")
     if links is None:
         return sets.select(F.col("key").alias("src"), F.col("key").alias("dst")).where(F.lit(False))
-    known = materialize(connected_components(links, "leader", "key").withColumnRenamed("node", "key"), "known")
+    known = settle(connected_components(links, "leader", "key").withColumnRenamed("node", "key"), "known")
     placed = lists.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = materialize(placed.join(mixed.select("gram"), "gram"), "mixed")
+    placed = settle(placed.join(mixed.select("gram"), "gram"), "mixed")
     other = placed.select("gram", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "at", "component")])
     # What may still be shared from this place on, in either set.
     bound = F.least(F.col("n") - F.col("at"), F.col("n_") - F.col("at_")) + F.least("at", "at_")
@@ -233,18 +255,19 @@ def linked_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )
-    heads = materialize(_heads(rows), "heads")
-    some = heads.where("n_shingles > 0")
-    distinct = some.groupBy("key").agg(F.min_by(F.struct("doc_id", "n_shingles", "head"), F.coalesce("doc_id", F.lit(2**63 - 1))).alias("one"))
-    distinct = distinct.select("key", "one.doc_id", F.col("one.n_shingles").alias("n"), "one.head")
-    wanted = distinct.select("key", "doc_id").join(_active(distinct.select("key", "n", "head")), "key")
-    sets = materialize(_sets_of(rows, wanted), "sets")
+    keys = settle(_keys(rows), "keys")
+    some = keys.where("n_shingles > 0")
+    distinct = some.groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"))
+    distinct = distinct.withColumn("doc_id", F.when(F.col("doc_id") < NO_ID, F.col("doc_id")))
+    twice = not keys.groupBy("doc_id").count().where("count > 1").isEmpty()
+    active = settle(_active(_heads(rows, distinct).distinct() if twice else _heads(rows, distinct)), "active")
+    sets = settle(_sets_of(rows, distinct.join(active, "key"), twice), "sets")
     ends = connected_components(_links(sets)).select(F.col("node").alias("key"), F.col("component").alias("class"))
     holders = some.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     classed = holders.join(ends, "key", "left").withColumn("class", F.coalesce("class", "key"))
     least = classed.groupBy("class").agg(F.min("least").alias("component_id"))
     named = classed.join(least, "class").select("key", "component_id")
-    out = heads.join(named, "key", "left").select(
+    out = keys.join(named, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
     return out
