@@ -12,7 +12,8 @@ from corpusmill.session import materialize
 def _is_star_forest(arcs: DataFrame) -> bool:
     """Whether every node has one arc, and it leads to a node without one."""
     forked = arcs.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-    inner = arcs.select(F.col("other").alias("node")).join(arcs.select("node"), "node", "left_semi")
+    # Distinct first: all leaves of a hub would meet under its key.
+    inner = arcs.select(F.col("other").alias("node")).distinct().join(arcs.select("node"), "node", "left_semi")
     return forked.isEmpty() and inner.isEmpty()
 
 

@@ -150,7 +150,8 @@ def compared_pairs(
     is over the limit they are exactly those pairs.
     """
     required = _required(num_hashes, threshold)
-    slack = num_hashes - required
+    # Where nothing can exceed the threshold, pairs are still compared, as for the highest that can.
+    slack = max(num_hashes - required, 0)
     buckets = lsh_buckets(reps, num_hashes, num_bands, doc_id)
     buckets = buckets.select(F.col("key").alias("gid"), "band", F.col(doc_id).alias("id"))
     sizes = materialize(buckets.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
@@ -259,6 +260,8 @@ def _similar(reps, num_hashes, num_bands, threshold, doc_id, **options) -> DataF
 def _links(sigs, reps, num_hashes, num_bands, threshold, doc_id, **options) -> DataFrame:
     similar = _similar(reps, num_hashes, num_bands, threshold, doc_id, **options)
     similar = similar.select("src", "dst", (F.col("matches") / num_hashes).alias("jaccard"))
+    if threshold >= 1:
+        return similar
     return similar.unionByName(copy_links(sigs, reps, doc_id).withColumn("jaccard", F.lit(1.0)))
 
 
@@ -268,8 +271,12 @@ def duplicate_clusters(
     """``doc_id, component`` of every document that has a duplicate.
 
     Components are found among distinct signatures; copies then take the component of
-    their representative, so they never enter the loop.
+    their representative, so they never enter the loop. No estimate exceeds a threshold of
+    1, not even that of copies.
     """
+    if threshold >= 1:
+        node = sigs.select(doc_id, F.col(doc_id).alias("component"))
+        return node.where(F.lit(False))
     sigs = materialize(sigs, "signatures")
     reps = materialize(distinct_signatures(sigs, doc_id), "representatives")
     components = connected_components(_similar(reps, num_hashes, num_bands, threshold, doc_id, **options))

@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HEAVY_KEYS = 1000
-# Fewer rows than this fit in one task, whatever their keys.
-PLAIN_BELOW = 1_000_000
 
 
 def join_counted(
-    rows: DataFrame, counted: DataFrame, on: str, total: int, n: str = "n", plain_below: int = PLAIN_BELOW
+    rows: DataFrame, counted: DataFrame, on: str, total: int, n: str = "n"
 ) -> DataFrame:
     """Inner join of ``rows`` with ``counted``, which has one row per key and, in ``n``,
     the number of ``rows`` of that key.
@@ -21,8 +19,6 @@ def join_counted(
     is broadcast, so the rows of a heavy key stay where they are. All others are shuffled,
     and none of them is larger than one share.
     """
-    if total < plain_below:
-        return rows.join(counted, on)
     share = max(total // HEAVY_KEYS, 1)
     heavy = counted.where(F.col(n) > share)
     light = counted.where(F.col(n) <= share)

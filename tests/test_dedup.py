@@ -138,6 +138,13 @@ def test_skewed_join_splits_heavy_keys(spark):
     rows = spark.range(30_000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
     counted = rows.groupBy("k").agg(F.count("*").alias("n"))
     plain = join_counted(rows, counted, "k", 30_000)
-    split = join_counted(rows, counted, "k", 30_000, plain_below=0)
+    split = join_counted(rows, counted, "k", 30_000)
     assert sorted(plain.collect()) == sorted(split.select(*plain.columns).collect())
     assert split.count() == 30_000
+
+
+def test_no_estimate_exceeds_one(spark):
+    rows = [(i, "one two three four five six seven") for i in range(3)] + [(9, "a b c d e f g h")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert minhash.fuzzy_dedup(docs, 20, 5, 5, 1.0).count() == 4
+    assert minhash.fuzzy_dedup(docs, 20, 5, 5, 0.9).count() == 2
