@@ -94,11 +94,12 @@ def read_labelled_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sink_tokens(encoded: DataFrame, folder: str, tokens: str = "tokens") -> DataFrame:
-    """Write token ids and return a one-row table with their number. Ids have 16 bits."""
+    """Write token ids in place of what the folder holds, and return a one-row table with their
+    number. Ids have 16 bits."""
     fits = F.forall(tokens, lambda t: t.between(0, 65535))
     checked = encoded.withColumn(
         tokens, F.when(fits, F.col(tokens)).otherwise(F.raise_error(F.lit("token id over 16 bits")))
     )
-    checked.write.mode("append").parquet(folder)
+    checked.write.mode("overwrite").parquet(folder)
     written = encoded.sparkSession.read.schema(encoded.schema).parquet(folder)
     return written.agg(F.coalesce(F.sum(F.size(tokens)), F.lit(0)).cast("bigint").alias("total_tokens"))
