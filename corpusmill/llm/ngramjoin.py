@@ -183,9 +183,9 @@ def _fits(a: Column, b: Column) -> Column:
 def _active(heads: DataFrame) -> DataFrame:
     """``key`` of the sets that share enough of their heads with sets of a like size."""
     near = Window.partitionBy("gram").orderBy("n", "key")
-    met = F.coalesce(_fits(F.lag("n").over(near), F.col("n")), F.lit(False)) | F.coalesce(
-        _fits(F.lead("n").over(near), F.col("n")), F.lit(False)
-    )
+    # `least` and `greatest` pass over nulls: without a neighbour the set's own size would fit itself.
+    sides = [side("n").over(near) for side in (F.lag, F.lead)]
+    met = sides[0].isNotNull() & _fits(sides[0], F.col("n")) | sides[1].isNotNull() & _fits(sides[1], F.col("n"))
     shared = heads.withColumn("met", met).where("met").groupBy("key", "n").agg(F.count("*").alias("m"))
     # The other set may be smaller, and its head then shorter.
     return shared.where(F.col("m") >= 1 + F.floor(LIKE * F.col("n") / 1600)).select("key")
