@@ -29,11 +29,11 @@ BULLET = "  • "
 _ITEM, _LINE, _PARAGRAPH, _END = "\x02", "\x03", "\x04", "\x05"
 
 
-# The rest of a tag up to its ">". A quoted value may hold "<" or ">"; one that is never
-# closed is given up after 2,000 characters or at the next "<", whichever is later, so
-# that a page of broken tags is not scanned to its end from each of them.
+# The rest of a tag up to its ">". A value quoted after "=" may hold "<" or ">"; one that is
+# never closed runs to the end of the page, so that no part of it is scanned again. A
+# quote elsewhere is a character like others.
 _REST = (
-    r"""(?:[^<>"']++|"(?:[^"<]*+(?=")|[^"]{0,2000}+)"|'(?:[^'<]*+(?=')|[^']{0,2000}+)')*+>"""
+    r"""(?:[^<>"'=]++|=\s*+"[^"]*+(?:"|\z)|=\s*+'[^']*+(?:'|\z)|["'=])*+(?:>|\z)"""
 )
 
 
@@ -112,7 +112,7 @@ def _decode(content: bytes) -> str:
         return content.decode("utf-8")
     except UnicodeDecodeError:
         pass
-    declared = re.search(rb"""charset\s*=\s*["']?([\w.:-]+)""", content[:4096], re.IGNORECASE)
+    declared = re.search(rb"""charset\s*=\s*["']?([\w.:-]+)""", content, re.IGNORECASE)
     try:
         return content.decode(declared.group(1).decode("ascii") if declared else "cp1252", errors="ignore")
     except LookupError:

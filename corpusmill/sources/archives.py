@@ -64,6 +64,19 @@ class _Members:
         self.raw += chunk
         return bool(chunk)
 
+    def _opening(self, size: int) -> bytes:
+        """The first decompressed bytes, if a gzip member begins here."""
+        inflate, out, fed = zlib.decompressobj(31), b"", 0
+        while len(out) < size and not inflate.eof:
+            if fed == len(self.raw) and not self._more():
+                break
+            try:
+                out += inflate.decompress(self.raw[fed:], size - len(out))
+            except zlib.error:
+                return b""
+            fed = len(self.raw) - len(inflate.unconsumed_tail)
+        return out
+
     def seek_record(self, end: int) -> bool:
         """Go to the first gzip member in the range that opens with a record."""
         while True:
@@ -77,13 +90,7 @@ class _Members:
             self.at, self.raw = self.at + found, self.raw[found:]
             if self.at >= end:
                 return False
-            while len(self.raw) < 65536 and self._more():
-                pass
-            try:
-                opening = zlib.decompressobj(31).decompress(self.raw[:65536], 5)
-            except zlib.error:
-                opening = b""
-            if opening == b"WARC/":
+            if self._opening(5) == b"WARC/":
                 self.member = self.at
                 return True
             self.at, self.raw = self.at + 1, self.raw[1:]

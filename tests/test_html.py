@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from corpusmill import api
-from corpusmill.functions.html import html_strip, html_to_text
+from corpusmill.functions.html import decode_bytes, html_strip, html_to_text
 
 PAGE = """<!DOCTYPE html>
 <html><head><title>Hidden</title><meta name="a" content="b"><style>p > a {}</style></head>
@@ -79,3 +79,19 @@ def test_bytes(spark):
     df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, content binary")
     got = [r.text for r in api.extract_text_from_html_bytes(df).orderBy("i").collect()]
     assert got == ["naïve", "bom", "naïve", "naïve “q”", "wide", "bad", "привет", "", None]
+
+
+def test_long_quoted_values_and_late_charsets(spark):
+    long = "y" * 2500
+    pages = {
+        f'<p data-x="<b>x</b> > {long}">visible</p>': "visible",
+        f'one<p data-x="<b>{long}">two</p>': "one\n\ntwo",
+        "<p don't>kept</p>": "kept",
+        '<p>kept</p><p title="open>lost</p>': "kept",
+    }
+    for page, text in pages.items():
+        got = spark.createDataFrame([(page,)], "h string").select(html_to_text("h").alias("t")).first().t
+        assert got.strip() == text
+    late = ("<!--" + "x" * 5000 + '--><meta charset="koi8-r">').encode() + "привет".encode("koi8-r")
+    got = spark.createDataFrame([(bytearray(late),)], "b binary").select(decode_bytes(F.col("b")).alias("t")).first().t
+    assert got.endswith("привет")
