@@ -349,3 +349,11 @@ def test_scores_are_those_of_the_formula(spark, odd, empty):
     assert lmscore.score_texts(odd).count() == 13 and lmscore.score_texts(empty).count() == 0
 
 
+
+
+def test_sets_without_a_like_neighbour_are_left_out(spark):
+    shared = [(1, 40, g) for g in range(9)] + [(2, 44, g) for g in range(9)]
+    alone = [(3, 40, g) for g in range(100, 109)]
+    unlike = [(4, 400, g) for g in range(9)]
+    heads = spark.createDataFrame(shared + alone + unlike, "key bigint, n bigint, gram bigint")
+    assert {r.key for r in ngramjoin._active(heads).collect()} == {1, 2}
