@@ -128,21 +128,37 @@ def buckets(source: str, name: str) -> str:
     """
 
 
-PAIRS = f"""
+def estimate(pairs: str, name: str) -> str:
+    return f"""
+    {name} AS (
+      SELECT src, dst,
+             round(len([i for i in range(1, {NUM_HASHES + 1}) if a.sig[i] = b.sig[i]]) / {NUM_HASHES}, 6)::double AS jaccard
+      FROM {pairs} JOIN sigs a ON a.doc_id = src JOIN sigs b ON b.doc_id = dst)
+    """
+
+
+REPS = f"""
     {SIGNATURES},
     reps AS (SELECT min(doc_id) AS doc_id, sig FROM sigs GROUP BY sig),
-    {buckets("reps", "buckets")},
+    {buckets("reps", "buckets")}
+"""
+
+FIRSTS = f"""
+    {REPS},
+    least AS (SELECT band, key, min(doc_id) AS src FROM buckets GROUP BY ALL),
+    firsts AS (SELECT DISTINCT src, doc_id AS dst FROM buckets JOIN least USING (band, key) WHERE src <> doc_id)
+"""
+
+PAIRS = f"""
+    {REPS},
     candidates AS (
       SELECT DISTINCT l.doc_id AS src, r.doc_id AS dst
       FROM buckets l JOIN buckets r ON l.band = r.band AND l.key = r.key AND l.doc_id < r.doc_id),
-    rated AS (
-      SELECT src, dst,
-             len([i for i in range(1, {NUM_HASHES + 1}) if a.sig[i] = b.sig[i]]) / {NUM_HASHES} AS jaccard
-      FROM candidates JOIN sigs a ON a.doc_id = src JOIN sigs b ON b.doc_id = dst),
+    {estimate("candidates", "rated")},
     links AS (
-      SELECT src, dst, jaccard FROM rated WHERE jaccard > {THRESHOLD}
+      SELECT src, dst FROM rated WHERE jaccard > {THRESHOLD}
       UNION ALL
-      SELECT r.doc_id, s.doc_id, 1.0 FROM sigs s JOIN reps r ON r.sig = s.sig AND r.doc_id < s.doc_id)
+      SELECT r.doc_id, s.doc_id FROM sigs s JOIN reps r ON r.sig = s.sig AND r.doc_id < s.doc_id)
 """
 
 CLUSTERS = f"""
@@ -309,9 +325,13 @@ ORACLES = {
     "exact_line_dedup": DEDUP_LINES,
     "minhash_signature": f"WITH {SIGNATURES} SELECT doc_id, array_to_string(sig, ',') AS sig FROM sigs",
     "lsh_buckets": f"WITH {SIGNATURES}, {buckets('sigs', 'found')} SELECT doc_id, band, key FROM found",
-    "candidate_pairs": f"WITH {PAIRS} SELECT src, dst FROM candidates",
-    "signature_jaccard": f"WITH {PAIRS} SELECT src, dst, round(jaccard, 6)::double AS jaccard FROM rated",
-    "duplicate_pairs": f"WITH {PAIRS} SELECT src, dst, round(jaccard, 6)::double AS jaccard FROM links",
+    "candidate_pairs": f"WITH {FIRSTS} SELECT src, dst FROM firsts",
+    "signature_jaccard": f"WITH {FIRSTS}, {estimate('firsts', 'rated')} SELECT src, dst, jaccard FROM rated",
+    "duplicate_pairs": f"""
+      WITH RECURSIVE {CLUSTERS},
+      members AS (SELECT component AS src, doc_id AS dst FROM clusters WHERE component <> doc_id),
+      {estimate("members", "found")}
+      SELECT src, dst, jaccard FROM found""",
     "duplicate_clusters": f"WITH RECURSIVE {CLUSTERS} SELECT doc_id, component FROM clusters",
     "fuzzy_dedup": f"""
       WITH RECURSIVE {CLUSTERS} SELECT d.doc_id, d.text FROM documents d LEFT JOIN clusters c USING (doc_id)

@@ -331,12 +331,12 @@ def lsh_buckets(spark, folder):
 
 def candidate_pairs(spark, folder):
     found = materialize(signatures(spark, folder), "signatures")
-    return minhash.candidate_pairs(found, NUM_HASHES, NUM_BANDS, THRESHOLD)
+    return minhash.candidate_pairs(found, NUM_HASHES, NUM_BANDS)
 
 
 def signature_jaccard(spark, folder):
     found = materialize(signatures(spark, folder), "signatures")
-    pairs = minhash.candidate_pairs(found, NUM_HASHES, NUM_BANDS, THRESHOLD)
+    pairs = minhash.candidate_pairs(found, NUM_HASHES, NUM_BANDS)
     left = found.select(F.col("doc_id").alias("src"), F.col("sig").alias("left"))
     right = found.select(F.col("doc_id").alias("dst"), F.col("sig").alias("right"))
     both = pairs.join(left, "src").join(right, "dst")

@@ -155,7 +155,7 @@ def compared_pairs(
     buckets = lsh_buckets(reps, num_hashes, num_bands, doc_id)
     buckets = buckets.select(F.col("key").alias("gid"), "band", F.col(doc_id).alias("id"))
     sizes = materialize(buckets.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    total, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shared = join_counted(buckets, sizes, "gid", max(total, 1))
     small = shared.where(F.col("n") <= pair_limit).select("gid", F.col("id").alias("member"))
     pairs = _bounded_pairs(small).select(F.col("left").alias("src"), F.col("right").alias("dst")).distinct()
@@ -165,9 +165,6 @@ def compared_pairs(
         .join(signature.toDF("dst", "dst_sig"), "dst")
         .select("src", "dst", _matches("src_sig", "dst_sig").alias("matches"))
     )
-    if (largest or 0) <= pair_limit:
-        return compared
-
     found = [materialize(compared, "compared")]
     width = num_hashes // num_bands
     start = F.col("band") * width
@@ -234,22 +231,33 @@ def _label(groups: DataFrame, found: list[DataFrame], required: int) -> DataFram
     return materialize(labelled.withColumn("component", F.coalesce("component", "id")), "labelled")
 
 
-def candidate_pairs(
-    sigs: DataFrame, num_hashes: int, num_bands: int, threshold: float, doc_id: str = "doc_id", **options
-) -> DataFrame:
-    """``src, dst``: pairs of distinct signatures that share a bucket, see ``compared_pairs``."""
-    reps = distinct_signatures(sigs, doc_id)
-    return compared_pairs(reps, num_hashes, num_bands, threshold, doc_id, **options).select("src", "dst")
+def candidate_pairs(sigs: DataFrame, num_hashes: int, num_bands: int, doc_id: str = "doc_id") -> DataFrame:
+    """``src, dst``: the smallest document of each bucket with each other one of it, once.
+
+    Buckets hold distinct signatures, each by its smallest document. One row per member
+    at most, whatever the size of a bucket.
+    """
+    buckets = lsh_buckets(distinct_signatures(sigs, doc_id), num_hashes, num_bands, doc_id)
+    buckets = materialize(buckets.select("key", F.col(doc_id).alias("dst")), "buckets")
+    firsts = buckets.groupBy("key").agg(F.min("dst").alias("src"), F.count("*").alias("n")).where("n > 1")
+    linked = join_counted(buckets, materialize(firsts, "firsts"), "key", max(buckets.count(), 1))
+    return linked.where("src <> dst").select("src", "dst").distinct()
 
 
 def duplicate_pairs(
     sigs: DataFrame, num_hashes: int, num_bands: int, threshold: float, doc_id: str = "doc_id", **options
 ) -> DataFrame:
-    """``src, dst, jaccard``: compared pairs whose estimate exceeds the threshold, and a
-    link from the smallest document of a signature to each of its copies."""
+    """``src, dst, jaccard``: the smallest document of each cluster with each other one of
+    it, and the estimate for the two, which may be below the threshold."""
     sigs = materialize(sigs, "signatures")
-    reps = materialize(distinct_signatures(sigs, doc_id), "representatives")
-    return _links(sigs, reps, num_hashes, num_bands, threshold, doc_id, **options)
+    clusters = materialize(duplicate_clusters(sigs, num_hashes, num_bands, threshold, doc_id, **options), "clusters")
+    members = clusters.select(F.col("component").alias("src"), F.col(doc_id).alias("dst"))
+    signature = sigs.select(F.col(doc_id).alias("dst"), F.col("sig"))
+    heads = members.groupBy("src").agg(F.count("*").alias("n"))
+    heads = heads.join(signature.select(F.col("dst").alias("src"), F.col("sig").alias("head")), "src")
+    rows = members.where("src <> dst").join(signature, "dst")
+    rated = join_counted(rows, materialize(heads, "heads"), "src", max(clusters.count(), 1))
+    return rated.select("src", "dst", signature_jaccard("sig", "head").alias("jaccard"))
 
 
 def _similar(reps, num_hashes, num_bands, threshold, doc_id, **options) -> DataFrame:
@@ -257,14 +265,6 @@ def _similar(reps, num_hashes, num_bands, threshold, doc_id, **options) -> DataF
     return compared.where(F.col("matches") >= _required(num_hashes, threshold))
 
 
-def _links(sigs, reps, num_hashes, num_bands, threshold, doc_id, **options) -> DataFrame:
-    similar = _similar(reps, num_hashes, num_bands, threshold, doc_id, **options)
-    similar = similar.select("src", "dst", (F.col("matches") / num_hashes).alias("jaccard"))
-    if threshold >= 1:
-        return similar
-    return similar.unionByName(copy_links(sigs, reps, doc_id).withColumn("jaccard", F.lit(1.0)))
-
-
 def duplicate_clusters(
     sigs: DataFrame, num_hashes: int, num_bands: int, threshold: float, doc_id: str = "doc_id", **options
 ) -> DataFrame:

@@ -116,13 +116,33 @@ def test_clusters_do_not_depend_on_the_bucket_limit(spark, hashes, bands, thresh
     assert len(got) == len(want)
 
 
-def test_pairs_within_the_limit_are_all_pairs(spark):
-    sigs = {i: s for i, s in families(9, 20, 80, 5).items()}
-    distinct = {tuple(s): i for i, s in reversed(sigs.items())}
-    reps = {i: list(s) for s, i in distinct.items()}
-    df = spark.createDataFrame(list(reps.items()), "doc_id bigint, sig array<bigint>")
-    got = {(r.src, r.dst) for r in minhash.duplicate_pairs(df, 20, 5, 0.8).collect()}
-    assert got == set(brute_pairs(reps, 20, 5, 0.8))
+def least_of_buckets(sigs, hashes, bands):
+    """Each bucket's smallest member with each other one."""
+    width = hashes // bands
+    found = {}
+    for i, s in sigs.items():
+        for k in range(bands):
+            found.setdefault((k, tuple(s[k * width : (k + 1) * width])), []).append(i)
+    return {(min(m), x) for m in found.values() for x in m if x != min(m)}
+
+
+@pytest.mark.parametrize("size", [100, 101, 250])
+def test_pairs_follow_one_rule_at_any_bucket_size(spark, size):
+    # One band is shared, nothing else; then families of near copies.
+    sigs = {i: [1, 2, 3, 4] + [100 * i + k for k in range(16)] for i in range(size)}
+    sigs |= {1000 + i: s for i, s in families(size, 20, 120, 5).items()}
+    df = spark.createDataFrame(list(sigs.items()), "doc_id bigint, sig array<bigint>")
+    first = {}
+    for i in sorted(sigs):
+        first.setdefault(tuple(sigs[i]), i)
+    reps = {i: list(s) for s, i in first.items()}
+    got = [(r.src, r.dst) for r in minhash.candidate_pairs(df, 20, 5).collect()]
+    assert set(got) == least_of_buckets(reps, 20, 5) and len(got) == len(set(got))
+
+    clusters = brute_components(brute_pairs(sigs, 20, 5, 0.8))
+    alike = {(c, i): sum(p == q for p, q in zip(sigs[c], sigs[i])) / 20 for i, c in clusters.items() if i != c}
+    pairs = minhash.duplicate_pairs(df, 20, 5, 0.8).collect()
+    assert {(r.src, r.dst): r.jaccard for r in pairs} == alike and len(pairs) == len(alike)
 
 
 def test_components(spark):
