@@ -62,7 +62,7 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 class WordHashes(dict):
     """Remembers 64-bit hashes of words; starts afresh when it holds too many."""
 
-    LIMIT = 1 << 20
+    LIMIT = 1 << 17
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
