@@ -16,8 +16,8 @@ from corpusmill.llm.common import id_and_text, mix, table, text_slices
 # The share of an item's words that may differ, and the recall to be reached at that many edits.
 EDITS, RECALL = 0.2, 0.99
 # Items searched for at a time; their tables are sent to all tasks. Sampled places of a table,
-# walks per round of tables, tables per walk, rounds at most.
-BLOCK, SAMPLED, TABLES, ROUNDS = 2000, 3, 6, 12
+# tables per walk. Edited items, at least, on which the recall of a size class is measured.
+BLOCK, SAMPLED, TABLES, TRIALS = 2000, 3, 6, 4000
 # Rare words of an item that must follow a window's start.
 SPARE = 4
 _RUN = re.compile(r"\S+")
@@ -137,14 +137,15 @@ class ItemIndex:
         """Walks with sampled tables, until edited items would be found often enough."""
         steps = max(2, 2 * low - low // 4)
         sampled = min(SAMPLED, steps)
-        trials = [m for m in members for _ in range(-(-200 // len(members)))]
-        edited = [self._edited(self.items[m], rng, size) for m in trials]
+        trials = np.repeat(np.arange(len(members)), -(-TRIALS // len(members)))
+        edited = [self._edited(self.items[members[t]], rng, size) for t in trials.tolist()]
         missed = np.ones(len(trials), bool)
         tables = []
-        for _ in range(ROUNDS):
-            walk = rng.integers(0, 2, (steps, size))
+        # Every trial is met by a walk and places with some probability, so this ends.
+        while missed.mean() > 1 - recall:
+            walk = rng.integers(0, 2, (steps, size), np.int8)
             rows, tried = embed_all([self.items[m] for m in members], walk), embed_all(edited, walk)
-            own = rows[:, [members.index(m) for m in trials]]
+            own = rows[:, trials]
             choices, lookups = [], []
             for _ in range(TABLES):
                 places = np.sort(rng.choice(steps, sampled, replace=False))
@@ -154,8 +155,6 @@ class ItemIndex:
                 lookups.append((keys[order], np.array(members)[order]))
                 missed &= self._keys(tried, places) != self._keys(own, places)
             tables.append((walk, choices, lookups))
-            if missed.mean() <= 1 - recall:
-                break
         return _SizeClass(members, low, high, tables)
 
     @staticmethod

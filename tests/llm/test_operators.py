@@ -191,6 +191,24 @@ def test_edited_benchmark_items_are_found(spark, odd, empty):
     assert decontaminate.find_leaks(odd, table.where("item_id < 0")).count() == 0
 
 
+def test_tables_reach_the_recall_in_every_size_class():
+    rng, other = random.Random(11), np.random.default_rng(12)
+    items = [prose(rng, size) for size in range(15, 62) for _ in range(2)]
+    for recall in (decontaminate.RECALL, 0.999):
+        index = decontaminate.ItemIndex(list(range(len(items))), items, recall)
+        for group in index.classes:
+            trials = [m for m in group.items for _ in range(4000 // len(group.items))]
+            edited = [index._edited(index.items[m], other, len(index.vocabulary) + 1) for m in trials]
+            missed = np.ones(len(trials), bool)
+            for walk, choices, _ in group.tables:
+                own = decontaminate.embed_all([index.items[m] for m in trials], walk)
+                tried = decontaminate.embed_all(edited, walk)
+                for places in choices:
+                    missed &= index._keys(own, places) != index._keys(tried, places)
+            # Three standard deviations of a share measured twice.
+            assert missed.mean() <= 1 - recall + 3 * math.sqrt(2 * (1 - recall) / len(trials)), (group.least, recall)
+
+
 def test_edit_distance_is_exact():
     rng = random.Random(7)
 
