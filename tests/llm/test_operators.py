@@ -375,3 +375,38 @@ def test_sets_without_a_like_neighbour_are_left_out(spark):
     unlike = [(4, 400, g) for g in range(9)]
     heads = spark.createDataFrame(shared + alone + unlike, "key bigint, n bigint, gram bigint")
     assert {r.key for r in ngramjoin._active(heads).collect()} == {1, 2}
+
+
+def test_any_passage_of_fifty_words_holds_a_paragraph():
+    rng = random.Random(10)
+
+    def text(n, ends):
+        return [w.capitalize() + "." * (rng.random() < ends) if rng.random() < ends else w for w in prose(rng, n).split()]
+
+    for trial in range(400):
+        ends = rng.choice([0, 0, 0.02, 0.05, 0.1, 0.3, 1])
+        passage = text(50, ends) if trial % 20 else rng.choice(WORDS).split() * 50
+        around = [(text(rng.randrange(90), e), text(rng.randrange(90), e)) for e in (ends, rng.choice([0, 0.1, 1]))]
+        bodies = [" ".join(before + passage + after) for before, after in around]
+        _, _, owner, starts, ends_at, begin = repeats._cut(bodies)
+        held = [set(), set()]
+        for who, start, end in zip(owner.tolist(), (starts - begin[owner]).tolist(), (ends_at - begin[owner]).tolist(), strict=True):
+            low = len(around[who][0])
+            if low <= start and end <= low + len(passage):
+                held[who].add(" ".join(passage[start - low : end - low]))
+        assert held[0] & held[1], bodies
+    # A text of one word, or of few in turn, has no more paragraphs than others.
+    for some in (1, 3):
+        assert len(repeats._cut([" ".join(WORDS[:some] * (9000 // some))])[2]) < 1500
+
+
+def test_shared_passages_without_capitals_and_marks(spark):
+    rng = random.Random(13)
+    passages = [prose(rng, 51), prose(rng, 300), prose(rng, 25) + ". Then " + prose(rng, 30)]
+    docs = [(i, prose(rng, 200)) for i in range(20)]
+    docs += [(100 + i, prose(rng, 70) + " " + passages[i % 3] + " " + prose(rng, 90)) for i in range(9)]
+    found = repeats.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == set(range(100, 109))
+    assert all(r.first_doc_id == 100 + (r.doc_id - 100) % 3 for r in found)
+    long = [r for r in found if r.doc_id in (101, 104, 107)]
+    assert len(long) == 3 and all(r.n_words > 250 and r.removed == (r.doc_id > 101) for r in long)
