@@ -188,9 +188,12 @@ class ItemIndex:
         reach = np.minimum(begins + group.most + edits_of(group.most), len(text))
         return marks[reach] - marks[begins] >= need
 
-    def find(self, text: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """``item, distance, start, end`` of runs in the text that are near an item, the nearest
-        one of any that overlap."""
+    def find(self, text: np.ndarray, edges: list[tuple[int, int]] | None = None) -> list[tuple[int, int, int, int]]:
+        """``item, distance, start, end`` of runs that are near an item, the nearest one of any
+        that overlap. ``edges`` are the ends of the texts that ``text`` holds; a run stays
+        within one of them."""
+        edges = edges or [(0, len(text))]
+        firsts = [first for first, _ in edges]
         begins = np.flatnonzero(text > 0)
         often = np.bincount(text, minlength=len(self.vocabulary) + 1)
         found: dict[int, list[tuple[int, int, int]]] = {}
@@ -211,16 +214,16 @@ class ItemIndex:
                         pairs.append(np.column_stack([items[np.repeat(low[hit], n) + nth], np.repeat(starts[hit], n)]))
             if pairs:
                 for item, at in np.unique(np.concatenate(pairs), axis=0).tolist():
-                    self._verify(text, item, at, found)
+                    self._verify(text, edges[bisect_right(firsts, at) - 1], item, at, found)
         return [(item, *run) for item, runs in sorted(found.items()) for run in runs]
 
-    def _verify(self, text: np.ndarray, item: int, at: int, found: dict) -> None:
+    def _verify(self, text: np.ndarray, edge: tuple[int, int], item: int, at: int, found: dict) -> None:
         symbols = self.items[item]
         allowed = edits_of(len(symbols))
         runs = found.setdefault(item, [])
         if any(start <= at < end for _, start, end in runs[-2:]):
             return
-        low, high = max(0, at - 2 * allowed), min(len(text), at + len(symbols) + 2 * allowed)
+        low, high = max(edge[0], at - 2 * allowed), min(edge[1], at + len(symbols) + 2 * allowed)
         part = text[low:high]
         if np.isin(part, symbols).sum() < len(symbols) - allowed:
             return
@@ -275,20 +278,21 @@ def _searcher(shared):
             bodies, keys = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             # All texts of a batch end to end, too far apart for a run to reach over.
             apart = [0] * index.apart
-            numbers, begin = [], []
+            numbers, edges = [], []
             for body in bodies:
-                begin.append(len(numbers))
+                first = len(numbers)
                 numbers += map(number, body.lower().split())
+                edges.append((first, len(numbers)))
                 numbers += apart
+            begin = [first for first, _ in edges]
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for item, *run in index.find(np.array(numbers, np.int64)):
+            for item, *run in index.find(np.array(numbers, np.int64), edges):
                 row = bisect_right(begin, run[1]) - 1
                 best[row, item] = min(best.get((row, item), tuple(run)), tuple(run))
             for (row, item), (distance, a, b) in sorted(best.items()):
                 body = bodies[row]
                 spans = [m.span() for m in _RUN.finditer(body)]
-                a, b = a - begin[row], min(b - begin[row], len(spans))
-                first, last = spans[a][0], spans[max(b, a + 1) - 1][1]
+                first, last = spans[a - begin[row]][0], spans[b - begin[row] - 1][1]
                 values = (keys[row], index.ids[item], first, last, distance, len(index.items[item]))
                 for column, value in zip(out, values, strict=True):
                     column.append(value)

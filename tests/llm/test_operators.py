@@ -410,3 +410,67 @@ def test_shared_passages_without_capitals_and_marks(spark):
     assert all(r.first_doc_id == 100 + (r.doc_id - 100) % 3 for r in found)
     long = [r for r in found if r.doc_id in (101, 104, 107)]
     assert len(long) == 3 and all(r.n_words > 250 and r.removed == (r.doc_id > 101) for r in long)
+
+
+def test_items_at_the_ends_of_texts_lack_words(spark):
+    rng = random.Random(14)
+    items = [(i, prose(rng, 30)) for i in range(4)]
+    bodies, wanted = [], set()
+    for item, text in items:
+        part = text.split()
+        for cut in (0, 1, 2, 3):
+            bodies += [" ".join(part[cut:]), "", " ".join(part[: len(part) - cut]), prose(rng, 20) + " " + " ".join(part[: len(part) - cut])]
+            wanted |= {(len(bodies) - k, item) for k in (1, 2, 4)}
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, text string")
+    whole = decontaminate.find_leaks(docs.coalesce(1), table).collect()
+    assert {(r.doc_id, r.item_id) for r in whole} == wanted
+    for row in whole:
+        # Each run begins and ends at a word of its own text.
+        assert 0 <= row.start < row.end <= len(bodies[row.doc_id])
+        assert not bodies[row.doc_id][row.start : row.end].startswith(" ") and row.distance <= 3
+    assert sorted(decontaminate.find_leaks(docs.repartition(40), table).collect()) == sorted(whole)
+
+
+def test_stages_keep_and_drop_what_they_should(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(15)
+    item = prose(rng, 40)
+    same = prose(rng, 200)
+    texts = {
+        0: same, 1: same, 2: same + " end", 3: None, 4: "", 5: "too short",
+        6: prose(rng, 100) + " " + item + " " + prose(rng, 90),
+        # Without its first line, which 8 holds too, the text begins with an item's second word.
+        7: "a line that several documents hold\n" + item.split(" ", 1)[1] + " " + prose(rng, 90),
+        8: "a line that several documents hold\n" + prose(rng, 120),
+    }
+    texts |= {i: prose(rng, 150) for i in range(9, 60)}
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, n_lines int, kept string"
+    rows = [(i, t, "en", None, None if t is None else len(t), "x", 1, None) for i, t in texts.items()]
+    # A repeated row, and one without an id.
+    rows += [rows[20], (None, prose(rng, 130), None, None, None, None, None, None)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels = [(i, int(t is not None and len(t) > 50), 0) for i, t in texts.items()]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, after = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        done = stage(spark, docs, str(tmp_path))
+        if number < 4:
+            assert done.columns == docs.columns
+        done.write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+        after[name] = {r.doc_id: r for r in docs.collect()}
+    ids = set(after["quality rules"])
+    assert ids == {None, *texts} - {3, 4, 5}
+    assert "several" in after["line dedup"][7].text and after["line dedup"][8].text.count("\n") == 0
+    assert after["line dedup"][8].n_chars == len(after["line dedup"][8].text)
+    # Line deduplication empties the copy, and a text without words is linked with nothing.
+    assert after["line dedup"][1].text == ""
+    assert set(after["n-gram Jaccard join"]) == set(after["line dedup"]) - {2}
+    assert set(after["n-gram Jaccard join"]) - set(after["benchmark decontamination"]) == {6, 7}
+    assert set(after["best-fit packing"]) == set(after["benchmark decontamination"])
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES[1:], 1):
+        none = spark.createDataFrame([], schema)
+        assert stage(spark, none, str(tmp_path)).count() == 0, number
