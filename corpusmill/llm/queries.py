@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import lines, ngramjoin, secrets
+from corpusmill.llm import chat, lines, ngramjoin, secrets
+from corpusmill.llm.chat import op13_chat_formatting
 from corpusmill.llm.decontaminate import op6_decontamination
 from corpusmill.llm.lines import op2_line_dedup
 from corpusmill.llm.lmscore import op10_lm_scoring
@@ -27,7 +28,13 @@ QUERIES = {
         op8_substring_dedup,
         op9_ngram_join,
         op10_lm_scoring,
+        op13_chat_formatting,
     )
 }
 
-ORACLES = {"op1_secrets": secrets.SQL, "op2_line_dedup": lines.SQL, "op9_ngram_join": ngramjoin.SQL}
+ORACLES = {
+    "op1_secrets": secrets.SQL,
+    "op2_line_dedup": lines.SQL,
+    "op9_ngram_join": ngramjoin.SQL,
+    "op13_chat_formatting": chat.SQL,
+}
