@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import chat, lines, ngramjoin, secrets
+from corpusmill.llm import chat, lines, merkle, ngramjoin, secrets
 from corpusmill.llm.chat import op13_chat_formatting
 from corpusmill.llm.decontaminate import op6_decontamination
 from corpusmill.llm.lines import op2_line_dedup
 from corpusmill.llm.lmscore import op10_lm_scoring
+from corpusmill.llm.merkle import op11_merkle_manifest
 from corpusmill.llm.ngramjoin import op9_ngram_join
 from corpusmill.llm.packing import op3_packing
 from corpusmill.llm.repeats import op8_substring_dedup
@@ -28,6 +29,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_ngram_join,
         op10_lm_scoring,
+        op11_merkle_manifest,
         op13_chat_formatting,
     )
 }
@@ -36,5 +38,6 @@ ORACLES = {
     "op1_secrets": secrets.SQL,
     "op2_line_dedup": lines.SQL,
     "op9_ngram_join": ngramjoin.SQL,
+    "op11_merkle_manifest": merkle.SQL,
     "op13_chat_formatting": chat.SQL,
 }
