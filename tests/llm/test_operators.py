@@ -474,3 +474,15 @@ def test_stages_keep_and_drop_what_they_should(spark, tmp_path):
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES[1:], 1):
         none = spark.createDataFrame([], schema)
         assert stage(spark, none, str(tmp_path)).count() == 0, number
+
+
+def test_long_runs_have_the_ids_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    from corpusmill.llm.vocabularies import place
+
+    library = Tokenizer.from_file(place(packing.VOCABULARY))
+    texts = [c * 1_000_000 for c in " \t\n"] + ["a" * 300_000, "x" + " " * 900_000 + "y <|endoftext|>", "short  text\n\n é", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in packing.cut_pieces(docs, context=1 << 24, ids=True).collect():
+        assert row.ids == [*library.encode(texts[row.doc_id], add_special_tokens=False).ids, 2]
