@@ -163,7 +163,8 @@ def learn_rules(labelled: DataFrame) -> list[Rule]:
     # The base rule comes first, so the list is for what it leaves.
     part = F.pmod(F.xxhash64("row.doc_id", F.lit(7)), F.lit(3)) < 2
     rows = labelled.where(~base_failed()).select("bad", part.alias("grow"), *[c.alias(n) for n, c in features.items()])
-    rows = materialize(rows.coalesce(4), "statistics")
+    # Repartitioned after the scan, which keeps its tasks: what is left is the bounded sample.
+    rows = materialize(rows.repartition(4), "statistics")
     shares = F.array(*[F.lit((k + 0.5) / CUTS) for k in range(CUTS)])
     # Cuts among all rows and among the bad ones, which may be few.
     points = [
