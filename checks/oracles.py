@@ -16,6 +16,8 @@ from checks.queries import (
     SHARD_START,
     THRESHOLD,
 )
+from corpusmill.operators.language import MOST_GRAMS, UNIT
+from corpusmill.operators.linear import MOST_TEXTS
 from corpusmill.operators.minhash import PRIME, hash_family
 from corpusmill.operators.tokens import VOCABULARY
 
@@ -23,6 +25,7 @@ SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 BREAK = r"\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}"
 WORD = r"\p{L}\p{M}\p{N}_"
 TOKEN = rf"[{WORD}]+(?:[.''’-][{WORD}]+)*|\.{{2,}}|[^{WORD}{SPACE}]"
+# The patterns that are masked.
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 IP = r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b"
 PHONE = r"(^|[^0-9])(\+?[0-9]{1,3}[- ]?)?\(?[0-9]{3}\)?[- ]?[0-9]{3}[- ]?[0-9]{4}($|[^0-9])"
@@ -41,6 +44,7 @@ def sub(text: str, pattern: str, by: str = "''") -> str:
 
 
 def masked(text: str, kind: str) -> str:
+    # The marks that take the place of what is masked.
     return {
         "email": sub(text, EMAIL, "'|||EMAIL_ADDRESS|||'"),
         "ip": sub(text, IP, "'|||IP_ADDRESS|||'"),
@@ -173,6 +177,45 @@ def shuffled(key: str) -> str:
     return f"md5('{SEED}:' || {key})"
 
 
+def part(key: str) -> str:
+    return f"CASE WHEN ('0x' || substr({shuffled(key)}, 1, 8))::bigint % 4 < 3 THEN 'train' ELSE 'valid' END"
+
+
+#: Naive Bayes over runs of three characters, in sums of whole numbers.
+LANGUAGE = f"""
+    numbered AS (SELECT doc_id, lang, translate(text, chr(10), ' ') AS flat, count(*) OVER (PARTITION BY lang) AS n FROM documents),
+    runs AS (SELECT doc_id, unnest([flat[i : i + 2] for i in range(1, length(flat) - 1)]) AS gram FROM numbered),
+    found AS (SELECT doc_id, gram, count(*) AS n FROM runs GROUP BY ALL),
+    drawn AS (
+      SELECT doc_id, lang FROM numbered
+      WHERE lang IS NOT NULL AND (n <= {MOST_TEXTS} OR ('0x' || substr(md5('0:' || doc_id), 1, 8))::bigint / 4294967296 < {MOST_TEXTS} / n)),
+    counts AS (SELECT lang, gram, sum(n) AS n FROM found JOIN drawn USING (doc_id) GROUP BY ALL),
+    kept AS (SELECT gram FROM counts GROUP BY gram ORDER BY sum(n) DESC, gram LIMIT {MOST_GRAMS}),
+    totals AS (SELECT lang, sum(n) AS total FROM counts JOIN kept USING (gram) GROUP BY lang),
+    weights AS (
+      SELECT gram, lang, round(ln((coalesce(n, 0) + 1) / (total + (SELECT count(*) FROM kept))) * {UNIT})::bigint AS w
+      FROM kept CROSS JOIN totals LEFT JOIN counts USING (gram, lang)),
+    sums AS (
+      SELECT d.doc_id, t.lang, coalesce(s.total, 0) AS s
+      FROM documents d CROSS JOIN totals t
+      LEFT JOIN (SELECT doc_id, lang, sum(n * w) AS total FROM found JOIN weights USING (gram) GROUP BY ALL) s
+        ON d.doc_id = s.doc_id AND t.lang = s.lang),
+    best AS (SELECT *, max(s) OVER (PARTITION BY doc_id) AS top FROM sums),
+    languages AS (
+      SELECT doc_id, min(lang) FILTER (s = top) AS language, round(1 / sum(exp((s - top) / {UNIT})), 6) AS confidence
+      FROM best GROUP BY doc_id)
+"""
+
+
+def floors(label: str) -> str:
+    return f"""
+      WITH {VERDICTS}, known AS (
+        SELECT doc_id, {label} AS label FROM documents LEFT JOIN verdicts USING (doc_id))
+      SELECT label, count(*) FILTER (label IS NOT NULL AND {part("doc_id")} = 'valid') AS n_held_out, count(*) AS n_sound,
+        CASE WHEN label IS NOT NULL THEN true END AS floor_reached
+      FROM known GROUP BY label"""
+
+
 def training(tail: str) -> str:
     flat = "translate(text, chr(10) || chr(13), ' ')"
     return f"""
@@ -296,6 +339,15 @@ ORACLES = {
       WITH {GOPHER} SELECT doc_id, n_tokens, round(mean_token_chars, 6) AS mean_token_chars,
         round(ellipsis_share, 6) AS ellipsis_share, round(alphabetic_share, 6) AS alphabetic_share FROM stats""",
     "gopher_filter": f"WITH {GOPHER} SELECT doc_id, text FROM judged WHERE ok",
+    "classify_language": f"WITH {LANGUAGE} SELECT * FROM languages",
+    "model_io": f"WITH {LANGUAGE} SELECT doc_id, language FROM languages",
+    "classify_quality": floors("quality"),
+    "classify_toxic": floors("toxicity"),
+    "classify_nsfw": floors("CASE toxicity WHEN 'toxic' THEN 'nsfw' WHEN 'non-toxic' THEN 'non-nsfw' END"),
+    "train_classifier": f"""
+      WITH {VERDICTS} SELECT quality AS label, count(*) FILTER ({part("doc_id")} = 'train') AS n_train,
+        count(*) FILTER ({part("doc_id")} = 'valid') AS n_held_out, true AS beats_guess
+      FROM documents JOIN verdicts USING (doc_id) WHERE quality IS NOT NULL GROUP BY quality""",
     "pii_limit": f"WITH {mask_chain('documents')} SELECT doc_id, text, n_pii FROM pii WHERE n_pii <= 50",
     "curate": f"""
       WITH {GOPHER}, {VERDICTS},
@@ -349,7 +401,7 @@ ORACLES = {
       WHERE rank <= {RECORDS} AND length(html) > 0""",
     "balanced_training_set": training(f"""
       SELECT doc_id, label, text,
-        CASE WHEN ('0x' || substr({shuffled("doc_id")}, 1, 8))::bigint % 4 < 3 THEN 'train' ELSE 'valid' END AS part
+        {part("doc_id")} AS part
       FROM examples"""),
     "interleave_classes": training(f"""
       , rendered AS (SELECT doc_id, label || ' ' || text AS line FROM examples),

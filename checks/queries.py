@@ -3,7 +3,7 @@ engines can be compared by value."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import html, pii, quality, text
@@ -231,50 +231,63 @@ def gopher_filter(spark, folder):
     return quality.gopher_filter(documents(spark, folder))
 
 
-_MODELS: dict = {}
-
-
-def _train(spark, kind, folder):
-    if kind == "language":
-        return classify.train_classifier(documents(spark, folder, "text", F.col("lang").alias("label")), method="bayes")
+def examples(spark, kind, folder) -> DataFrame:
+    """``doc_id, text, label, part`` of all documents, label and part empty where none is known."""
     label = F.col("quality" if kind == "quality" else "toxicity")
     if kind == "nsfw":
-        label = F.when(label == "toxic", "nsfw").otherwise("non-nsfw")
-    examples = documents(spark, folder).join(verdicts(spark, folder), "doc_id")
-    return classify.train_classifier(examples.select("doc_id", "text", label.alias("label")))
+        label = F.when(label == "toxic", "nsfw").when(label == "non-toxic", "non-nsfw")
+    known = documents(spark, folder).join(verdicts(spark, folder), "doc_id", "left")
+    part = F.when(label.isNotNull(), sampling.train_or_valid("doc_id", SEED))
+    return known.select("doc_id", "text", label.alias("label"), part.alias("part"))
 
 
-def _trained(spark, kind, folder):
-    """Each model is trained once per session and folder."""
-    key = (spark.sparkContext.applicationId, kind, folder)
-    if key not in _MODELS:
-        _MODELS[key] = _train(spark, kind, folder)
-    return _MODELS[key]
+def trained(spark, kind, folder):
+    """A model of three quarters of the labelled documents."""
+    return classify.train_classifier(examples(spark, kind, folder).where("part = 'train'"), key="doc_id")
 
 
 def language_model(spark, folder):
-    return _trained(spark, "language", folder)
+    labelled = documents(spark, folder, "text", F.col("lang").alias("label"))
+    return classify.train_classifier(labelled, method="language", key="doc_id")
 
 
 def classify_language(spark, folder):
     scored = classify.classify_language(documents(spark, folder), language_model(spark, folder))
-    return scored.select("doc_id", "language", "confidence")
+    return scored.select("doc_id", "language", F.round("confidence", 6).alias("confidence"))
+
+
+#: The share of the held-out documents of a label that must be found. The smallest table holds out
+#: four documents of one rarer label and one of the other, hence their low floors.
+FLOORS = {"wiki": 0.9, "cc": 0.25, "non-toxic": 0.9, "toxic": 0.25, "non-nsfw": 0.9, "nsfw": 0.25}
+
+
+def floors_reached(spark, kind, folder, classifier, prediction) -> DataFrame:
+    """Every document is scored; per label: how many were held out, whether enough of them were
+    found, and how many documents of the whole table got a label and a probability."""
+    known = examples(spark, kind, folder)
+    scored = classifier(known, trained(spark, kind, folder))
+    sound = F.col(prediction).isin(list(FLOORS)) & F.col("confidence").between(0.5, 1)
+    held = F.col("part") == "valid"
+    tall = scored.groupBy("label").agg(
+        F.count_if(held).alias("n_held_out"),
+        F.count_if(held & (F.col(prediction) == F.col("label"))).alias("n_found"),
+        F.count_if(sound).alias("n_sound"),
+    )
+    floor = F.element_at(F.create_map(*[F.lit(x) for pair in FLOORS.items() for x in pair]), F.col("label"))
+    return tall.select("label", "n_held_out", "n_sound", (F.col("n_found") >= floor * F.col("n_held_out")).alias("floor_reached"))
 
 
 def classify_nsfw(spark, folder):
     """No table labels this kind of text; the toxicity label stands in."""
-    scored = classify.classify_nsfw(documents(spark, folder), _trained(spark, "nsfw", folder))
-    return scored.select("doc_id", "nsfw", "confidence")
+    return floors_reached(spark, "nsfw", folder, classify.classify_nsfw, "nsfw")
 
 
 def classify_toxic(spark, folder):
-    scored = classify.classify_toxic(documents(spark, folder), _trained(spark, "toxic", folder))
-    return scored.select("doc_id", "toxicity", "confidence")
+    return floors_reached(spark, "toxic", folder, classify.classify_toxic, "toxicity")
 
 
 def classify_quality(spark, folder):
-    scored = classify.classify_quality(documents(spark, folder), _trained(spark, "quality", folder))
-    return scored.select("doc_id", "quality", "confidence")
+    return floors_reached(spark, "quality", folder, classify.classify_quality, "quality")
 
 
 def pii_limit(spark, folder):
@@ -288,7 +301,7 @@ def curated(spark, folder):
 
 
 def curate_scored(spark, folder):
-    models = [_trained(spark, kind, folder) for kind in ("quality", "language", "toxic")]
+    models = (trained(spark, "quality", folder), language_model(spark, folder), trained(spark, "toxic", folder))
     return curate.curate_scored(documents(spark, folder), *models)
 
 
@@ -391,13 +404,16 @@ def random_file_order(spark, folder):
 
 
 def train_classifier(spark, folder):
-    """A model of three quarters of the labelled documents, on the other quarter."""
-    examples = documents(spark, folder).join(verdicts(spark, folder), "doc_id")
-    examples = examples.select("doc_id", "text", F.col("quality").alias("label"))
-    parted = materialize(examples.withColumn("part", sampling.train_or_valid("doc_id", SEED)), "parted")
-    model = classify.train_classifier(parted.where("part = 'train'"))
-    scored = classify.score(parted.where("part = 'valid'"), model, "prediction", "confidence")
-    return scored.select("doc_id", "label", "prediction", "confidence")
+    """A model of three quarters of the labelled documents, on the other quarter: per label the
+    held-out documents, and whether the model beats the guess that all have the commonest label
+    in the mean share found per label."""
+    known = examples(spark, "quality", folder).where("label is not null")
+    scored = classify.score(known, trained(spark, "quality", folder), "prediction", "confidence")
+    held = F.col("part") == "valid"
+    found = F.count_if(held & (F.col("prediction") == F.col("label"))) / F.greatest(F.count_if(held), F.lit(1))
+    per = scored.groupBy("label").agg(F.count_if(~held).alias("n_train"), F.count_if(held).alias("n_held_out"), found.alias("found"))
+    mean = F.avg("found").over(Window.partitionBy())
+    return per.select("label", "n_train", "n_held_out", (mean > 0.5).alias("beats_guess"))
 
 
 def evaluate_classifier(spark, folder):

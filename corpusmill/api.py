@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,19 +17,19 @@ def extract_text_from_html_bytes(pages: DataFrame, content: str = "content", tex
     return decoded.withColumn(text, html_to_text(F.col("_html"))).drop("_html", content)
 
 
-def identify_language(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+def identify_language(docs: DataFrame, model: classify.Model, text: str = "text") -> DataFrame:
     return classify.classify_language(docs, model, text)
 
 
-def detect_nsfw(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+def detect_nsfw(docs: DataFrame, model: classify.Model, text: str = "text") -> DataFrame:
     return classify.classify_nsfw(docs, model, text)
 
 
-def detect_toxic(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+def detect_toxic(docs: DataFrame, model: classify.Model, text: str = "text") -> DataFrame:
     return classify.classify_toxic(docs, model, text)
 
 
-def detect_quality(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+def detect_quality(docs: DataFrame, model: classify.Model, text: str = "text") -> DataFrame:
     return classify.classify_quality(docs, model, text)
 
 

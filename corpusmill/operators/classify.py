@@ -1,4 +1,8 @@
-"""Bag-of-words classifiers: training, evaluation, scoring, saving."""
+"""Classifiers: training, evaluation, scoring, saving.
+
+Three kinds, told apart by their models: linear over averaged vectors (the default), languages
+by a table of character runs, and Spark's own over bags of words.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +10,15 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import flatten_for_scoring
+from corpusmill.operators.language import LanguageModel, best_language, train_language
+from corpusmill.operators.linear import LinearModel, best_label, load_linear, save_linear, train_linear
+
+Model = LinearModel | LanguageModel | PipelineModel
 
 FEATURES = 1 << 18
 
@@ -26,13 +35,18 @@ def _weighted(examples: DataFrame, label: str) -> DataFrame:
 
 
 def train_classifier(
-    examples: DataFrame, label: str = "label", text: str = "text", method: str = "logistic"
-) -> PipelineModel:
-    """Fit words to labels, which must be a small set.
+    examples: DataFrame, label: str = "label", text: str = "text", method: str = "linear", key: str | None = None
+) -> Model:
+    """Fit texts to labels, which must be a small set.
 
-    ``logistic`` looks at which words occur, unscaled, so that a few telling words count in
-    a long text; ``bayes`` looks at how often they occur.
+    ``linear`` is a linear model over averaged vectors of words and parts of words, ``language``
+    a table of runs of characters. ``logistic`` looks at which words occur, unscaled, ``bayes``
+    at how often they occur. ``key`` names a column by which a bounded sample is drawn.
     """
+    if method == "linear":
+        return train_linear(examples, label, text, key)
+    if method == "language":
+        return train_language(examples, label, text, key)
     flat = examples.select(F.col(label), flatten_for_scoring(F.col(text)).alias("_flat"))
     flat = _weighted(flat, label)
     index = StringIndexer(inputCol=label, outputCol="_class", stringOrderType="alphabetAsc").fit(flat)
@@ -48,28 +62,33 @@ def train_classifier(
 
 
 def score(
-    docs: DataFrame, model: PipelineModel, label: str, confidence: str | None = None, text: str = "text"
+    docs: DataFrame, model: Model, label: str, confidence: str | None = None, text: str = "text"
 ) -> DataFrame:
     """Add the most likely label and its probability. Line ends are flattened first."""
-    scored = model.transform(docs.withColumn("_flat", flatten_for_scoring(F.col(text))))
-    scored = scored.withColumn("_best", F.array_max(vector_to_array("probability")))
-    columns = [*docs.columns, F.col("_label").alias(label)]
-    return scored.select(*columns, *([F.col("_best").alias(confidence)] if confidence else []))
-
-
-def classify_language(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+    if isinstance(model, PipelineModel):
+        scored = model.transform(docs.withColumn("_flat", flatten_for_scoring(F.col(text))))
+        scored = scored.withColumn("_best", F.array_max(vector_to_array("probability")))
+        columns = [*docs.columns, F.col("_label").alias(label)]
+        return scored.select(*columns, *([F.col("_best").alias(confidence)] if confidence else []))
+    best = best_language if isinstance(model, LanguageModel) else best_label
+    scored = docs.withColumn("_best", best(flatten_for_scoring(F.col(text)), model))
+    found = [F.col("_best.label").alias(label), *([F.col("_best.confidence").alias(confidence)] if confidence else [])]
+    return scored.select(*docs.columns, *found)
+
+
+def classify_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return score(docs, model, "language", "confidence", text)
 
 
-def classify_nsfw(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+def classify_nsfw(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return score(docs, model, "nsfw", "confidence", text)
 
 
-def classify_toxic(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+def classify_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return score(docs, model, "toxicity", "confidence", text)
 
 
-def classify_quality(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+def classify_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return score(docs, model, "quality", "confidence", text)
 
 
@@ -87,9 +106,20 @@ def confusion(scored: DataFrame, label: str = "label", prediction: str = "predic
     return scored.groupBy(label, prediction).agg(F.count("*").alias("n"))
 
 
-def save_model(model: PipelineModel, folder: str) -> None:
-    model.write().overwrite().save(folder)
+def save_model(model: Model, folder: str) -> None:
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(folder)
+    elif isinstance(model, LanguageModel):
+        model.table.write.mode("overwrite").parquet(folder)
+    else:
+        save_linear(model, folder)
 
 
-def load_model(folder: str) -> PipelineModel:
-    return PipelineModel.load(folder)
+def load_model(folder: str) -> Model:
+    """What ``save_model`` wrote: a table, or a folder of Spark's own."""
+    spark = SparkSession.active()
+    try:
+        rows = spark.read.parquet(folder)
+    except AnalysisException:
+        return PipelineModel.load(folder)
+    return LanguageModel(rows) if "gram" in rows.columns else load_linear(rows)

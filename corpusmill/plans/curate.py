@@ -8,14 +8,13 @@ language, toxicity, symbols and lengths, personal data.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.pii import mask_pii, pii_limit
 from corpusmill.functions.quality import gopher_filter, gopher_ok, gopher_stats, with_gopher
 from corpusmill.functions.text import bind, drop_short_lines
-from corpusmill.operators.classify import score
+from corpusmill.operators.classify import Model, score
 
 REASONS = ("quality", "language", "toxic", "gopher", "pii")
 PII_LIMIT = 50
@@ -50,9 +49,9 @@ def curate(
 
 def curate_scored(
     docs: DataFrame,
-    quality: PipelineModel,
-    language: PipelineModel,
-    toxicity: PipelineModel,
+    quality: Model,
+    language: Model,
+    toxicity: Model,
     text: str = "text",
 ) -> DataFrame:
     """Curate with models. Each scores only what the rules before it have left."""
@@ -85,9 +84,9 @@ def reject_reason(
 
 def judge(
     docs: DataFrame,
-    quality: PipelineModel,
-    language: PipelineModel,
-    toxicity: PipelineModel,
+    quality: Model,
+    language: Model,
+    toxicity: Model,
     text: str = "text",
 ) -> DataFrame:
     """Finish every document and add the ``reason`` for which it is to be rejected, by

@@ -88,7 +88,7 @@ def test_classifier(spark, tmp_path):
     words = {"en": "the cat and the dog", "de": "der hund und die katze"}
     rows = [(i, f"{text}\nx{i}", label) for i in range(40) for label, text in words.items()]
     examples = spark.createDataFrame(rows, "doc_id bigint, text string, label string")
-    for method in ("bayes", "logistic"):
+    for method in ("linear", "language", "bayes", "logistic"):
         model = classify.train_classifier(examples, method=method)
         scored = classify.score(examples, model, "prediction", "confidence")
         row = classify.evaluate_classifier(scored).first()
