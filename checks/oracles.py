@@ -380,10 +380,15 @@ ORACLES = {
     "candidate_pairs": f"WITH {FIRSTS} SELECT src, dst FROM firsts",
     "signature_jaccard": f"WITH {FIRSTS}, {estimate('firsts', 'rated')} SELECT src, dst, jaccard FROM rated",
     "duplicate_pairs": f"""
-      WITH RECURSIVE {CLUSTERS},
-      members AS (SELECT component AS src, doc_id AS dst FROM clusters WHERE component <> doc_id),
-      {estimate("members", "found")}
-      SELECT src, dst, jaccard FROM found""",
+      WITH RECURSIVE {PAIRS},
+      edges AS (
+        SELECT src, dst, jaccard, row_number() OVER (ORDER BY jaccard DESC, src, dst) AS r FROM rated WHERE jaccard > {THRESHOLD}),
+      arcs AS (SELECT src AS a, dst AS c, r FROM edges UNION ALL SELECT dst, src, r FROM edges),
+      -- What better links than an edge connect its first end with.
+      better(e, n) AS (SELECT r, src FROM edges UNION SELECT e, c FROM better JOIN arcs ON a = n AND r < e)
+      SELECT src, dst, jaccard FROM edges WHERE NOT EXISTS (SELECT 1 FROM better WHERE e = edges.r AND n = edges.dst)
+      UNION ALL
+      SELECT r.doc_id, s.doc_id, 1.0 FROM sigs s JOIN reps r ON r.sig = s.sig AND r.doc_id < s.doc_id""",
     "duplicate_clusters": f"WITH RECURSIVE {CLUSTERS} SELECT doc_id, component FROM clusters",
     "fuzzy_dedup": f"""
       WITH RECURSIVE {CLUSTERS} SELECT d.doc_id, d.text FROM documents d LEFT JOIN clusters c USING (doc_id)

@@ -20,7 +20,7 @@ def _is_star_forest(arcs: DataFrame) -> bool:
 def _star(arcs: DataFrame, total: int) -> DataFrame:
     """Join every arc with the smallest neighbour of its node."""
     least = arcs.groupBy("node").agg(F.min("other").alias("least"), F.count("*").alias("n"))
-    return join_counted(arcs, least, "node", total)
+    return join_counted(arcs, materialize(least, "least"), "node", total)
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -39,6 +39,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         both = current.unionByName(current.select(F.col("other").alias("node"), F.col("node").alias("other")))
         large = _star(both, total).where("other > node")
         large = large.select(F.col("other").alias("node"), F.least("least", "node").alias("other")).distinct()
+        # Written, since the next step reads it four times.
+        large = materialize(large, "large")
         small = _star(large, total)
         # Each smaller neighbour, and the node itself, hangs from the least of them.
         small = small.select(F.explode(F.array("node", "other")).alias("node"), F.col("least").alias("other"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import explode_ngrams, normalize_text
 from corpusmill.operators.components import connected_components
+from corpusmill.operators.forest import spanning_forest
 from corpusmill.operators.skew import join_counted
 from corpusmill.session import materialize
 
@@ -247,17 +248,21 @@ def candidate_pairs(sigs: DataFrame, num_hashes: int, num_bands: int, doc_id: st
 def duplicate_pairs(
     sigs: DataFrame, num_hashes: int, num_bands: int, threshold: float, doc_id: str = "doc_id", **options
 ) -> DataFrame:
-    """``src, dst, jaccard``: the smallest document of each cluster with each other one of
-    it, and the estimate for the two, which may be below the threshold."""
+    """``src, dst, jaccard``: pairs whose estimate exceeds the threshold and that connect every
+    cluster, one fewer than it has documents: a spanning forest of the verified links.
+
+    Among different signatures they are the likest pairs that do so (ties by ids; of buckets over
+    the pair limit, among the links that settle them). A copy is linked to the smallest document
+    of its signature.
+    """
+    if threshold >= 1:
+        return sigs.select(F.col(doc_id).alias("src"), F.col(doc_id).alias("dst"), F.lit(1.0).alias("jaccard")).where(F.lit(False))
     sigs = materialize(sigs, "signatures")
-    clusters = materialize(duplicate_clusters(sigs, num_hashes, num_bands, threshold, doc_id, **options), "clusters")
-    members = clusters.select(F.col("component").alias("src"), F.col(doc_id).alias("dst"))
-    signature = sigs.select(F.col(doc_id).alias("dst"), F.col("sig"))
-    heads = members.groupBy("src").agg(F.count("*").alias("n"))
-    heads = heads.join(signature.select(F.col("dst").alias("src"), F.col("sig").alias("head")), "src")
-    rows = members.where("src <> dst").join(signature, "dst")
-    rated = join_counted(rows, materialize(heads, "heads"), "src", max(clusters.count(), 1))
-    return rated.select("src", "dst", signature_jaccard("sig", "head").alias("jaccard"))
+    reps = materialize(distinct_signatures(sigs, doc_id), "representatives")
+    links = _similar(reps, num_hashes, num_bands, threshold, doc_id, **options)
+    forest = spanning_forest(links, weight="matches")
+    copies = copy_links(sigs, reps, doc_id).withColumn("jaccard", F.lit(1.0))
+    return forest.select("src", "dst", (F.col("weight") / num_hashes).alias("jaccard")).unionByName(copies)
 
 
 def _similar(reps, num_hashes, num_bands, threshold, doc_id, **options) -> DataFrame:
@@ -281,15 +286,15 @@ def duplicate_clusters(
     reps = materialize(distinct_signatures(sigs, doc_id), "representatives")
     components = connected_components(_similar(reps, num_hashes, num_bands, threshold, doc_id, **options))
     components = materialize(components, "components")
-    copies = copy_links(sigs, reps, doc_id)
-    # One row per representative on the left, so the many copies of one signature are
-    # only joined to it by the skew-safe join.
-    copied = reps.where("n > 1").select(F.col(doc_id).alias("src"), "n")
-    copied = copied.join(components.withColumnRenamed("node", "src"), "src", "left")
-    copied = materialize(copied.withColumn("component", F.coalesce("component", "src")), "copied")
-    by_copy = join_counted(copies, copied, "src", max(sigs.count(), 1)).select(F.col("dst").alias("node"), "component")
-    by_source = copied.select(F.col("src").alias("node"), "component")
-    every = components.unionByName(by_copy).unionByName(by_source).distinct()
+    # A signature with copies, by its hash, with its component. Rows of a signature, its smallest
+    # document among them, meet it in one skew-safe join.
+    finger = F.xxhash64("sig").alias("finger")
+    named = components.withColumnRenamed("node", doc_id)
+    copied = reps.where("n > 1").join(named, doc_id, "left")
+    copied = copied.select(finger, F.col("sig").alias("rep_sig"), F.coalesce("component", doc_id).alias("component"), "n")
+    docs = sigs.select(F.col(doc_id).alias("node"), "sig", finger)
+    found = join_counted(docs, materialize(copied, "copied"), "finger", max(sigs.count(), 1)).where("sig = rep_sig")
+    every = components.unionByName(found.select("node", "component")).distinct()
     return every.withColumnRenamed("node", doc_id)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusmill import api
 from corpusmill.operators import minhash
 from corpusmill.operators.components import connected_components
+from corpusmill.operators.forest import spanning_forest
 from corpusmill.operators.lines import line_counts
 from corpusmill.operators.skew import join_counted
 
@@ -140,9 +141,36 @@ def test_pairs_follow_one_rule_at_any_bucket_size(spark, size):
     assert set(got) == least_of_buckets(reps, 20, 5) and len(got) == len(set(got))
 
     clusters = brute_components(brute_pairs(sigs, 20, 5, 0.8))
-    alike = {(c, i): sum(p == q for p, q in zip(sigs[c], sigs[i])) / 20 for i, c in clusters.items() if i != c}
     pairs = minhash.duplicate_pairs(df, 20, 5, 0.8).collect()
-    assert {(r.src, r.dst): r.jaccard for r in pairs} == alike and len(pairs) == len(alike)
+    # A forest of links over the threshold, with the components of all of them.
+    assert all(r.jaccard == sum(p == q for p, q in zip(sigs[r.src], sigs[r.dst])) / 20 > 0.8 for r in pairs)
+    assert brute_components((r.src, r.dst) for r in pairs) == clusters
+    assert len(pairs) == len(clusters) - len(set(clusters.values()))
+
+
+def test_the_forest_is_the_heaviest(spark):
+    rng = random.Random(9)
+    links = {}
+    # A hub with a third of all links, chains, parallel links both ways, a loop, many ties.
+    for i in range(200):
+        a, b = rng.sample(range(40), 2)
+        links[min(a, b), max(a, b)] = rng.randrange(4)
+    links |= {(100, i): 1 for i in range(101, 260)} | {(i, i + 1): i % 7 for i in range(300, 420)}
+    rows = [(b, a, w) if rng.random() < 0.5 else (a, b, w) for (a, b), w in links.items()] + [(7, 7, 9)]
+    parent, want = {}, set()
+
+    def root(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    for (a, b), w in sorted(links.items(), key=lambda e: (-e[1], e[0])):
+        if root(a) != root(b):
+            parent[root(a)] = root(b)
+            want.add((a, b, w))
+    got = spanning_forest(spark.createDataFrame(rows, "src bigint, dst bigint, weight int")).collect()
+    assert {(r.src, r.dst, r.weight) for r in got} == want and len(got) == len(want)
+    assert spanning_forest(spark.createDataFrame([(1, 1, 1)], "src bigint, dst bigint, weight int")).count() == 0
 
 
 def test_components(spark):
