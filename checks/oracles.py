@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.queries import (
+    ARCHIVES,
     CONTEXT,
     HASH_INDEX,
     NGRAMS,
@@ -298,7 +299,24 @@ DEDUP_LINES = f"""
     SELECT d.doc_id, coalesce(kept.text, '') AS text FROM documents d LEFT JOIN kept USING (doc_id)
 """
 
+def warc_bytes(kind: str, length: str) -> str:
+    """The bytes of a record and the blank line after it."""
+    head = f"WARC/1.0..WARC-Type: {kind}..WARC-Record-ID: <urn:page:>..WARC-Target-URI: ..Content-Type: application/http; msgtype={kind}..Content-Length: ...."
+    return f"{len(head) + 4} + length(page_id::varchar) + octet_length(encode(url)) + length(({length})::varchar) + {length}"
+
+
+#: Bytes of the status line and headers of a page in an archive, and of a request for one.
+RESPONSE_HEAD = len("HTTP/1.1 200 OK..Content-Type: text/html; charset=utf-8....")
+REQUEST = len("GET / HTTP/1.1....")
+
 ORACLES = {
+    "scan_archives": f"""
+      SELECT page_id % {ARCHIVES} AS part,
+        sum({warc_bytes("request", str(REQUEST))} + {warc_bytes("response", f"({RESPONSE_HEAD} + octet_length(encode(html)))")})::bigint AS n_bytes
+      FROM pages GROUP BY page_id % {ARCHIVES}""",
+    "index_records": f"""
+      SELECT url, 'request' AS warc_type, {REQUEST} AS length, 0 AS missing FROM pages
+      UNION ALL SELECT url, 'response', {RESPONSE_HEAD} + octet_length(encode(html)), 0 FROM pages""",
     "scan_records": "SELECT page_id, url, html FROM pages",
     "shard_files": f"""
       SELECT source, position FROM (

@@ -41,33 +41,43 @@ def joined(values: Column, separator: str = " ") -> Column:
 # Sources and sinks ------------------------------------------------------------------
 
 
+ARCHIVES = 16
+
+
+def warc_record(kind: str, block: Column) -> Column:
+    return F.concat(
+        F.lit(f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:"),
+        F.col("page_id").cast("string"),
+        F.lit(">\r\nWARC-Target-URI: "),
+        F.col("url"),
+        F.lit(f"\r\nContent-Type: application/http; msgtype={kind}\r\nContent-Length: "),
+        F.octet_length(block).cast("string"),
+        F.lit("\r\n\r\n"),
+        block,
+    )
+
+
+def warc_records() -> Column:
+    body = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"), F.col("html"))
+    return F.array(warc_record("request", F.lit("GET / HTTP/1.1\r\n\r\n")), warc_record("response", body))
+
+
 def write_archives(spark: SparkSession, folder: str) -> str:
     """All pages as archives: a request and a response record each."""
     target = scratch_path(spark, "archives")
-    body = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"), F.col("html"))
-    request = F.lit("GET / HTTP/1.1\r\n\r\n")
-
-    def record(kind: str, block: Column) -> Column:
-        return F.concat(
-            F.lit(f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:"),
-            F.col("page_id").cast("string"),
-            F.lit(">\r\nWARC-Target-URI: "),
-            F.col("url"),
-            F.lit(f"\r\nContent-Type: application/http; msgtype={kind}\r\nContent-Length: "),
-            F.octet_length(block).cast("string"),
-            F.lit("\r\n\r\n"),
-            block,
-        )
-
-    both = F.array(record("request", request), record("response", body))
-    rendered = pages(spark, folder).select(F.explode(both).alias("value"))
+    rendered = pages(spark, folder).select(F.explode(warc_records()).alias("value"))
     rendered.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(target)
     return target
 
 
 def scan_archives(spark, folder):
-    found = archives.scan_archives(spark, write_archives(spark, folder), ".gz")
-    return found.select(F.regexp_extract("path", "[^/]+$", 0).alias("file_name"), "n_bytes")
+    """One file for the pages of a part, not packed, so that its size can be told from the pages."""
+    target = scratch_path(spark, "plain-archives")
+    part = F.pmod("page_id", F.lit(ARCHIVES)).alias("part")
+    rendered = pages(spark, folder).select(part, F.explode(warc_records()).alias("value")).repartition("part")
+    rendered.write.partitionBy("part").option("lineSep", "\r\n\r\n").text(target)
+    found = archives.scan_archives(spark, target, ".txt")
+    return found.select(F.regexp_extract("path", r"part=(\d+)", 1).cast("bigint").alias("part"), "n_bytes")
 
 
 def scan_records(spark, folder):
@@ -76,6 +86,11 @@ def scan_records(spark, folder):
     return records.select(number.alias("page_id"), "url", html.decode_bytes(F.col("content")).alias("html"))
 
 
+def index_records(spark, folder):
+    index = archives.index_records(archives.scan_archives(spark, write_archives(spark, folder), ".gz"))
+    return index.select("url", "warc_type", "length", "missing")
+
+
 def shard_files(spark, folder):
     listed = documents(spark, folder, "source")
     return files.shard_files(listed, SHARD_START, SHARD_FILES, "source")
@@ -447,6 +462,7 @@ def token_windows(spark, folder):
 QUERIES = {
     "scan_archives": scan_archives,
     "scan_records": scan_records,
+    "index_records": index_records,
     "shard_files": shard_files,
     "scan_documents": scan_documents,
     "scan_url_lines": scan_url_lines,

@@ -5,11 +5,16 @@ Every random choice is a seeded hash order, so that a lost task draws the same r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import flatten_text
 from corpusmill.operators.ranks import hash_rank, seeded_hash
+from corpusmill.session import materialize
 
 
 def sample_k(df: DataFrame, k: int, key: str, seed: int = 0, rank: str = "rank") -> DataFrame:
@@ -61,6 +66,46 @@ def balanced_training_set(
     return labelled(positives, pos_label).unionByName(labelled(chosen, neg_label))
 
 
+def first_accepted(
+    files: DataFrame, accept: Callable[[DataFrame], DataFrame], limit: int, order: list[str], path: str = "path", first: int = 8
+) -> DataFrame:
+    """The first ``limit`` rows that ``accept`` makes of files, in order of ``files.position`` and
+    within a file of the columns ``order``; all if there are fewer. ``accept`` gets the rows of
+    ``files`` that it is to read, and keeps the column ``path``.
+
+    Files are read a slice at a time: ``first`` of them, then as many as the rows accepted so far
+    let expect to be needed, and at least twice as many as before. The rows accepted from each
+    file are counted; a prefix sum over these counts says in which file the limit falls, and only
+    that one is cut. Files of later slices are never read.
+    """
+    files = materialize(files, "files")
+    taken, done, have, step = [], 0, 0, first
+    total = files.count()
+    while done < total and have < limit:
+        part = files.where(F.col("position").between(done + 1, done + step))
+        rows = materialize(accept(part).join(part.select(path, "position"), path), "accepted")
+        counts = rows.groupBy("position").agg(F.count("*").alias("n"))
+        before = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+        # One row per file of the slice.
+        counts = counts.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        counts = materialize(counts, "counts")
+        need = limit - have
+        whole = counts.where(F.col("_before") + F.col("n") <= need).select("position")
+        taken.append(rows.join(whole, "position", "left_semi"))
+        cut = counts.where((F.col("_before") < need) & (F.col("_before") + F.col("n") > need)).first()
+        if cut:
+            # A bounded top of one file's rows.
+            last = rows.where(F.col("position") == cut["position"]).orderBy(*order).limit(int(need - cut["_before"]))
+            taken.append(last)
+        have += min(need, rows.count())
+        done += step
+        rate = max(have, 1) / done
+        step = max(2 * step, math.ceil((limit - have) / rate))
+    if not taken:
+        return accept(files).where(F.lit(False)).withColumn("position", F.lit(0).cast("bigint"))
+    return reduce(DataFrame.unionByName, taken)
+
+
 def train_or_valid(key: str = "doc_id", seed: int = 0, train_parts: int = 3, parts: int = 4):
     """``train`` for ``train_parts`` of ``parts`` of the keys, ``valid`` for the others."""
     bucket = F.conv(F.substring(seeded_hash(key, seed), 1, 8), 16, 10).cast("bigint") % parts

@@ -15,6 +15,8 @@ from corpusmill.functions.pii import mask_pii, pii_limit
 from corpusmill.functions.quality import gopher_filter, gopher_ok, gopher_stats, with_gopher
 from corpusmill.functions.text import bind, drop_short_lines
 from corpusmill.operators.classify import Model, score
+from corpusmill.operators.ranks import running_offsets
+from corpusmill.session import materialize
 
 REASONS = ("quality", "language", "toxic", "gopher", "pii")
 PII_LIMIT = 50
@@ -125,11 +127,17 @@ def english_gopher_docs(
     language: str = "lang",
     doc_id: str = "doc_id",
     text: str = "text",
+    quality_filter: bool = True,
 ) -> DataFrame:
-    """Documents that pass the symbol and length rules and are English, at most
-    ``max_len`` of them in id order; none or 0 means all."""
-    kept = gopher_filter(docs.where(F.col(language) == "en"), text)
-    return kept.orderBy(doc_id).limit(max_len) if max_len else kept
+    """Documents that pass the symbol and length rules and are English, or all of them without
+    ``quality_filter``; at most ``max_len`` in id order, none or 0 means all. Ids must be unique."""
+    kept = gopher_filter(docs.where(F.col(language) == "en"), text) if quality_filter else docs
+    if not max_len:
+        return kept
+    kept = materialize(kept, "kept")
+    # Ranks within ranges of ids; the rows are not sorted as a whole.
+    places = running_offsets(kept.select(doc_id, F.lit(1).alias("_one")), doc_id, "_one", "_place")
+    return kept.join(places.where(F.col("_place") < max_len).select(doc_id), doc_id, "left_semi")
 
 
 def english_gopher_rejects(docs: DataFrame, language: str = "lang", text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.api import extract_text_from_html_bytes
 from corpusmill.functions.quality import gopher_filter
 from corpusmill.operators import classify, sampling, tokens
+from corpusmill.operators.ranks import running_offsets
 from corpusmill.plans import curate
 from corpusmill.session import materialize
 from corpusmill.sources import archives, files
@@ -50,11 +51,42 @@ def choose_urls(spark: SparkSession, lines: str, folder: str, samples: int, num_
     parts.select("part", "url").repartition("part").write.partitionBy("part").mode("overwrite").text(folder)
 
 
-def _english(docs: DataFrame, language_model: str) -> DataFrame:
-    model = classify.load_model(language_model)
-    kept = classify.score(gopher_filter(docs), model, "language").where("language = 'en'")
+def page_documents(spark: SparkSession, archives_: DataFrame) -> DataFrame:
+    """``doc_id, path, text`` of the pages of listed archives."""
+    pages = extract_text_from_html_bytes(archives.read_archives(archives_).select("file", "record_no", "content"))
     key = F.concat_ws(":", "file", F.col("record_no").cast("string"))
-    return materialize(kept.select(key.alias("doc_id"), "text"), "english")
+    return pages.select(key.alias("doc_id"), F.col("file").alias("path"), "text")
+
+
+def documents_from_archives(
+    spark: SparkSession,
+    archives_: DataFrame,
+    language_model: str | None = None,
+    max_len: int | None = None,
+    quality_filter: bool = False,
+    seed: int | None = None,
+) -> DataFrame:
+    """``doc_id, path, text`` of the pages of listed archives, with ``quality_filter`` those that pass the
+    length and symbol rules and are English. With ``max_len`` archives are read in order of their
+    path (with ``seed``, in random order) until there are so many; later ones are not opened."""
+    model = classify.load_model(language_model) if quality_filter else None
+
+    def accept(part: DataFrame) -> DataFrame:
+        docs = page_documents(spark, part.select("path", "n_bytes"))
+        if model is None:
+            return docs
+        kept = classify.score(gopher_filter(docs), model, "language").where("language = 'en'")
+        return kept.select("doc_id", "path", "text")
+
+    if not max_len:
+        return materialize(accept(archives_), "pages")
+    if seed is None:
+        order = running_offsets(archives_.withColumn("_one", F.lit(1)), "path", "_one", "position")
+        order = order.withColumn("position", F.col("position") + 1)
+    else:
+        order = sampling.random_file_order(archives_, seed=seed)
+    listed = archives_.join(order, "path")
+    return sampling.first_accepted(listed, accept, max_len, ["doc_id"]).drop("position")
 
 
 def create_dataset(
@@ -67,9 +99,11 @@ def create_dataset(
     seed: int = 0,
 ) -> None:
     """Labelled lines of the good pages of two folders of archives, as many negatives as
-    positives; with ``valid``, a quarter of them goes there."""
-    good = _english(crawl_documents(spark, positive_folder, ".gz"), language_model)
-    bad = _english(crawl_documents(spark, negative_folder, ".gz"), language_model)
+    positives; with ``valid``, a quarter of them goes there. The negatives' archives are read in
+    random order, and no more of them than it takes."""
+    good = documents_from_archives(spark, archives.scan_archives(spark, positive_folder, ".gz"), language_model, quality_filter=True)
+    wanted, listed = good.count(), archives.scan_archives(spark, negative_folder, ".gz")
+    bad = documents_from_archives(spark, listed, language_model, wanted, True, seed) if wanted else good
     examples = sampling.balanced_training_set(good, bad, POSITIVE, NEGATIVE, seed)
     if valid:
         part = sampling.train_or_valid("doc_id", seed)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from fnmatch import fnmatchcase
+from fnmatch import translate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators.ranks import running_offsets
-from corpusmill.sources.listing import list_files
+from corpusmill.sources.listing import list_tree, read_contents
 
 # Fixed value: the line that ends a document in a corpus file.
 END_OF_TEXT = "<|endoftext|>"
@@ -26,20 +26,13 @@ def read_table(spark: SparkSession, folder: str, name: str, key: str | None = No
 
 def scan_documents(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """One file is one document: ``path, file_name, text``. Every kind of line end is
-    read as ``\\n``. Spark passes over empty files, so those are added from the listing."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    whole = files.text(folder, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.regexp_replace("value", "\r\n?", "\n").alias("text"),
-    )
-    named = ((path, path.rsplit("/", 1)[-1]) for path, size in list_files(folder) if size == 0)
-    empty = [
-        (path if "://" in path else f"file://{path}", name, "")
-        for path, name in named
-        if fnmatchcase(name, pattern) and not name.startswith(("_", "."))
-    ]
-    return whole.unionByName(spark.createDataFrame(empty, whole.schema)) if empty else whole
+    read as ``\\n``; empty files are empty documents. Files are listed and read by tasks."""
+    listed = list_tree(spark, folder, hidden=False)
+    name = F.regexp_extract("path", "[^/]*$", 0)
+    wanted = listed.where(name.rlike(f"(?s){translate(pattern)}"))
+    uri = F.when(F.contains("path", F.lit("://")), F.col("path")).otherwise(F.concat(F.lit("file://"), F.col("path")))
+    text = F.regexp_replace(F.col("content").cast("string"), "\r\n?", "\n")
+    return read_contents(wanted).select(uri.alias("path"), name.alias("file_name"), text.alias("text"))
 
 
 def scan_url_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -1,11 +1,12 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.__main__ import main, parser
-from corpusmill.operators import classify, tokens
+from corpusmill.operators import classify, sampling, tokens
 from corpusmill.plans import curate, jobs
-from corpusmill.sources import files
+from corpusmill.sources import archives, files
 
 ENGLISH = "This is a plain English sentence which is long enough to pass every rule of the filter. "
 GERMAN = "Das ist ein einfacher deutscher Satz, der lang genug ist, um jede Regel zu bestehen. "
@@ -88,6 +89,55 @@ def test_training_jobs(spark, models, tmp_path):
     assert (row.n, row.precision_at_1) == (12, 1.0)
 
 
+def test_archives_beyond_the_limit_are_not_read(spark, models, tmp_path):
+    for i in range(60):
+        write(tmp_path / "in" / f"{i:02}.warc.gz", ["good", "toxic", "short", "german"])
+    # Whoever opens one of these fails.
+    for i in range(50, 60):
+        (tmp_path / "in" / f"{i:02}.warc.gz").write_bytes(gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 99\r\n\r\nshort"))
+    listed = archives.scan_archives(spark, str(tmp_path / "in"), ".gz")
+    with pytest.raises(Exception, match="ends .* bytes before"):
+        jobs.documents_from_archives(spark, listed).count()
+
+    def found(**options):
+        return [r.doc_id.rsplit("/", 1)[1] for r in jobs.documents_from_archives(spark, listed, models["language"], **options).collect()]
+
+    plain = found(max_len=41)
+    assert len(plain) == 41 and {d[:2] for d in plain} == {f"{i:02}" for i in range(11)}
+    assert sum(d.startswith("10") for d in plain) == 1
+    judged = found(max_len=41, quality_filter=True)
+    assert len(judged) == 41 and {d[:2] for d in judged} == {f"{i:02}" for i in range(21)}
+
+
+def test_files_read_are_counted(spark, tmp_path):
+    files_ = spark.range(1, 401).select(F.concat(F.lit("f"), "id").alias("path"), F.col("id").alias("position"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def accept(part):
+        def read(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        rows = part.select("path", "position").coalesce(1).mapInArrow(read, "path string, position bigint")
+        # Every third file gives three rows, others none.
+        return rows.where("position % 3 = 0").select("path", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("doc_id"))
+
+    got = sampling.first_accepted(files_, accept, 31, ["doc_id"]).collect()
+    want = [(p, d) for p in range(3, 401, 3) for d in (1, 2, 3)][:31]
+    assert sorted((r.position, r.doc_id) for r in got) == want
+    assert 33 <= seen.value < 100
+    assert sampling.first_accepted(files_, accept, 10_000, ["doc_id"]).count() == 399
+    assert sampling.first_accepted(files_, accept, 0, ["doc_id"]).count() == 0
+
+
+def test_first_documents_in_id_order(spark):
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("x").alias("text"))
+    got = curate.english_gopher_docs(docs.repartition(7), 123, quality_filter=False)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(123))
+    assert curate.english_gopher_docs(docs, 123).count() == 0
+
+
 def test_choose_urls_from_the_command_line(spark, tmp_path):
     with gzip.open(tmp_path / "urls.gz", "wt") as out:
         out.write("\n".join(f" http://x/{i} " for i in range(100)))

@@ -3,7 +3,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.sources import archives, files
+from corpusmill.sources import archives, files, listing
 
 
 def record(i, kind="response"):
@@ -94,3 +94,64 @@ def test_tokens_have_16_bits(spark, tmp_path):
     bad = good.withColumn("tokens", F.array(F.lit(65536)))
     with pytest.raises(Exception, match="16 bits"):
         files.sink_tokens(bad, str(tmp_path / "u")).collect()
+
+
+def test_indexed_records_are_read_alone(spark, crawl, tmp_path):
+    listed = archives.scan_archives(spark, str(crawl))
+    index = archives.index_records(listed, split_bytes=4096)
+    every = {(r.file, r.record_no): r for r in archives.scan_records(spark, str(crawl), warc_type=None).collect()}
+    rows = index.collect()
+    assert {(r.file, r.record_no) for r in rows} == set(every) and all(r.missing == 0 for r in rows)
+    again = archives.read_indexed(index).collect()
+    assert {(r.file, r.record_no): r for r in again} == every and len(again) == len(every)
+
+    # After the index is made, all but the drawn members are overwritten: no other is unpacked.
+    copy = tmp_path / "many.warc.filtered.gz"
+    data = bytearray((crawl / "b" / "many.warc.filtered.gz").read_bytes())
+    copy.write_bytes(data)
+    index = archives.index_records(archives.scan_archives(spark, str(tmp_path))).collect()
+    drawn = [r for r in index if r.warc_type == "response"][5:300:37]
+    ends = {r.member: e.member for r, e in zip(index, index[1:])} | {index[-1].member: len(data)}
+    blank = bytearray(len(data))
+    for r in drawn:
+        blank[r.member : ends[r.member]] = data[r.member : ends[r.member]]
+    copy.write_bytes(blank)
+    got = archives.read_indexed(spark.createDataFrame(drawn, archives._INDEX)).collect()
+    assert {r.url: bytes(r.content) for r in got} == {r.url: record(int(r.url.rsplit("/", 1)[1]))[0] for r in drawn}
+
+
+def test_drawn_records(spark, crawl):
+    listed = archives.scan_archives(spark, str(crawl))
+    got = archives.sample_archives(listed, 30, seed=3).collect()
+    assert len({(r.file, r.record_no) for r in got}) == 30
+    assert all(bytes(r.content) == record(int(r.url.rsplit("/", 1)[1]))[0] for r in got)
+    assert archives.sample_archives(listed, 30, seed=3).count() == 30
+    assert archives.sample_archives(listed, 10_000).count() == 500
+
+
+@pytest.mark.parametrize("cut", [5, 40, 90])
+def test_cut_off_records_are_an_error_or_counted(spark, tmp_path, cut):
+    members = [gzip.compress(record(i)[1]) for i in range(1, 6)]
+    (tmp_path / "a.warc.filtered.gz").write_bytes(b"".join(members)[: -len(members[-1]) + cut])
+    listed = archives.scan_archives(spark, str(tmp_path))
+    index = archives.index_records(listed).collect()
+    assert [r.missing > 0 for r in index] == [False] * 4 + [True]
+    with pytest.raises(Exception, match="ends .* bytes before"):
+        archives.scan_records(spark, str(tmp_path)).collect()
+    assert archives.scan_records(spark, str(tmp_path), truncated="skip").count() == 4
+
+
+def test_trees_are_listed_by_tasks(spark, tmp_path):
+    for i in range(40):
+        folder = tmp_path / f"d{i % 7}" / f"e{i % 3}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"f{i}.txt").write_text("x" * i)
+    (tmp_path / "_skipped").mkdir()
+    (tmp_path / "_skipped" / "g.txt").write_text("no")
+    (tmp_path / "empty").mkdir()
+    listed = listing.list_tree(spark, str(tmp_path), hidden=False).collect()
+    assert {r.path.rsplit("/", 1)[1]: r.n_bytes for r in listed} == {f"f{i}.txt": i for i in range(40)}
+    assert listing.list_tree(spark, str(tmp_path)).count() == 41
+    assert listing.list_tree(spark, f"{tmp_path}/_skipped/g.txt").count() == 1
+    docs = files.scan_documents(spark, str(tmp_path), "f?.txt").collect()
+    assert {r.file_name: r.text for r in docs} == {f"f{i}.txt": "x" * i for i in range(10)}
