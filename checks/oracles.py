@@ -326,6 +326,7 @@ ORACLES = {
     "scan_url_lines": "SELECT url FROM pages",
     "sink_corpus": "SELECT text || chr(10) || '<|endoftext|>' AS record FROM documents",
     "sink_documents": DEDUP_LINES,
+    "sink_named_documents": "SELECT doc_id, regexp_replace(text, chr(13) || chr(10) || '?', chr(10), 'g') AS text FROM documents",
     "sink_labelled_lines": training("SELECT label, text FROM examples"),
     "sink_tokens": f"SELECT sum({count_of('text', TOKEN)} + 1)::bigint AS total_tokens FROM documents",
     "html_to_text": f"SELECT page_id, {html_text()} AS text FROM pages",

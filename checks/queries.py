@@ -10,7 +10,7 @@ from corpusmill.functions import html, pii, quality, text
 from corpusmill.operators import classify, lines, minhash, sampling, tokens
 from corpusmill.plans import curate
 from corpusmill.session import materialize, scratch_path
-from corpusmill.sources import archives, files
+from corpusmill.sources import archives, files, named
 
 NUM_HASHES, NUM_BANDS, NGRAMS, THRESHOLD = 20, 5, 5, 0.8
 SAMPLE, PARTS, RECORDS, SEED, CONTEXT = 100, 7, 20, 7, 128
@@ -123,6 +123,15 @@ def sink_documents(spark, folder):
     return spark.read.schema("doc_id bigint, text string").parquet(target)
 
 
+def sink_named_documents(spark, folder):
+    """Every document in a file of its own name, read back."""
+    target = scratch_path(spark, "named")
+    numbered = documents(spark, folder).withColumn("file_name", F.concat(F.col("doc_id") % 10, F.lit("/"), "doc_id", F.lit(".txt")))
+    named.sink_named_documents(numbered, target)
+    found = files.scan_documents(spark, target, "*.txt")
+    return found.select(F.regexp_extract("file_name", r"\d+", 0).cast("bigint").alias("doc_id"), "text")
+
+
 def labelled_documents(spark, folder) -> DataFrame:
     """``doc_id, text, quality`` of the English documents that pass the rules."""
     kept = curate.english_gopher_docs(documents(spark, folder, "text", "lang"))
@@ -468,6 +477,7 @@ QUERIES = {
     "scan_url_lines": scan_url_lines,
     "sink_corpus": sink_corpus,
     "sink_documents": sink_documents,
+    "sink_named_documents": sink_named_documents,
     "sink_labelled_lines": sink_labelled_lines,
     "sink_tokens": sink_tokens,
     "model_io": model_io,

@@ -1,9 +1,11 @@
 import gzip
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from corpusmill.sources import archives, files, listing
+from corpusmill.sources import archives, files, listing, named
 
 
 def record(i, kind="response"):
@@ -155,3 +157,47 @@ def test_trees_are_listed_by_tasks(spark, tmp_path):
     assert listing.list_tree(spark, f"{tmp_path}/_skipped/g.txt").count() == 1
     docs = files.scan_documents(spark, str(tmp_path), "f?.txt").collect()
     assert {r.file_name: r.text for r in docs} == {f"f{i}.txt": "x" * i for i in range(10)}
+
+
+def test_documents_under_their_own_names(spark, tmp_path):
+    target = tmp_path / "out"
+    target.mkdir()
+    (target / "other.txt").write_text("stays")
+    rows = [(f"d{i % 3}/doc {i}.txt", "é" * i if i % 5 else ("" if i % 2 else None)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "file_name string, text string")
+    named.sink_named_documents(docs, str(target), tasks=7)
+    found = {str(p.relative_to(target)): p.read_text() for p in target.rglob("*.txt")}
+    assert found == {n: t or "" for n, t in rows} | {"other.txt": "stays"}
+    assert sorted(p.name for p in target.iterdir()) == ["_SUCCESS", "d0", "d1", "d2", "other.txt"]
+    # Again with other texts: whole files take the place of the old ones.
+    named.sink_named_documents(docs.withColumn("text", F.lit("new")), str(target))
+    assert {p.read_text() for p in target.rglob("doc*.txt")} == {"new"}
+    for bad in ["", "/abs", "../up", "a//b", None]:
+        with pytest.raises(Exception, match="name"):
+            named.sink_named_documents(spark.createDataFrame([(bad, "x"), ("ok", "y")], docs.schema), str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="name"):
+        named.sink_named_documents(docs.unionAll(docs.limit(1)), str(tmp_path / "bad"))
+    assert all(p.name.startswith("_staging-") for p in (tmp_path / "bad").glob("*"))
+    assert not (tmp_path / "up").exists() and files.scan_documents(spark, str(target), "other.txt").count() == 1
+
+
+def test_a_failed_attempt_leaves_nothing(spark, tmp_path):
+    """The first attempt of a task writes some files and ends in an error; the second one goes through."""
+    writer = named.StagingWriter({"path": f"{tmp_path}/out/_staging"})
+    rows = [Row(name=f"{i}.txt", content=b"x" * i) for i in range(10)]
+
+    def failing():
+        yield from rows[:4]
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        writer.write(failing())
+    messages = [writer.write(iter(rows)), writer.write(iter([])), None]
+    writer.commit(messages)
+    # Moved twice, as a repeated task would.
+    for _ in range(2):
+        list(named._move(f"{tmp_path}/out")([pa.record_batch({"staged": [messages[0].folder]})]))
+    assert sorted(p.name for p in (tmp_path / "out").glob("*.txt")) == [f"{i}.txt" for i in range(10)]
+    assert all((tmp_path / "out" / f"{i}.txt").read_bytes() == b"x" * i for i in range(10))
+    writer.abort(messages)
+    assert not (tmp_path / "out" / "_staging").exists()
