@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks.queries import (
     ARCHIVES,
+    BATCH,
     CONTEXT,
     HASH_INDEX,
     NGRAMS,
@@ -451,4 +452,13 @@ ORACLES = {
       SELECT pos // {CONTEXT} AS window_id, string_agg(id::varchar, ' ' ORDER BY pos) AS x,
              string_agg(next::varchar, ' ' ORDER BY pos) AS y
       FROM placed WHERE next IS NOT NULL GROUP BY 1 HAVING count(*) = {CONTEXT}""",
+    "random_windows": f"""
+      WITH {VOCAB},
+      placed AS (
+        SELECT id, row_number() OVER (ORDER BY doc_id, i) - 1 AS pos, lead(id) OVER (ORDER BY doc_id, i) AS next FROM ids),
+      starts AS (
+        SELECT w AS window_id, ('0x' || substr(md5('{SEED}:' || w), 1, 15))::bigint % ((SELECT count(*) FROM ids) - {CONTEXT}) AS start
+        FROM range({BATCH}) t(w))
+      SELECT window_id, start, string_agg(id::varchar, ' ' ORDER BY pos) AS x, string_agg(next::varchar, ' ' ORDER BY pos) AS y
+      FROM starts JOIN placed ON pos >= start AND pos < start + {CONTEXT} GROUP BY ALL""",
 }

@@ -13,7 +13,7 @@ from corpusmill.session import materialize, scratch_path
 from corpusmill.sources import archives, files, named
 
 NUM_HASHES, NUM_BANDS, NGRAMS, THRESHOLD = 20, 5, 5, 0.8
-SAMPLE, PARTS, RECORDS, SEED, CONTEXT = 100, 7, 20, 7, 128
+SAMPLE, PARTS, RECORDS, SEED, CONTEXT, BATCH = 100, 7, 20, 7, 128, 64
 SHARD_START, SHARD_FILES = 5, 10
 HASH_INDEX = 3
 
@@ -468,6 +468,13 @@ def token_windows(spark, folder):
     return windows.select("window_id", joined(F.col("x")).alias("x"), joined(F.col("y")).alias("y"))
 
 
+def random_windows(spark, folder):
+    """A batch of windows that begin at drawn places of the whole stream."""
+    index = tokens.index_tokens(materialize(encoded(spark, folder), "encoded"))
+    windows = tokens.read_windows(index, tokens.random_starts(index, BATCH, CONTEXT, SEED), CONTEXT)
+    return windows.select("window_id", "start", joined(F.col("x")).alias("x"), joined(F.col("y")).alias("y"))
+
+
 QUERIES = {
     "scan_archives": scan_archives,
     "scan_records": scan_records,
@@ -528,4 +535,5 @@ QUERIES = {
     "encode_tokens": encode_tokens,
     "token_totals": token_totals,
     "token_windows": token_windows,
+    "random_windows": random_windows,
 }

@@ -111,3 +111,61 @@ def sample_windows(windows: DataFrame, count: int, seed: int = 0) -> DataFrame:
     from corpusmill.operators.sampling import sample_k
 
     return sample_k(windows, count, "window_id", seed)
+
+
+# Documents and windows meet in stretches of so many tokens.
+_STRETCH = 1 << 20
+
+
+def index_tokens(encoded: DataFrame, doc_id: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+    """``doc_id, offset, length, file``: where each document's tokens begin in the whole stream, how many
+    there are, and the file that holds them. ``encoded`` is a written table; only lengths are moved."""
+    sizes = encoded.select(
+        doc_id, F.size(tokens).cast("bigint").alias("length"), F.col("_metadata.file_path").alias("file")
+    )
+    sizes = materialize(sizes.where("length > 0"), "lengths")
+    offsets = running_offsets(sizes, doc_id, "length", "offset")
+    return materialize(sizes.join(offsets, doc_id), "token-index")
+
+
+def random_starts(index: DataFrame, count: int, context: int, seed: int = 0) -> DataFrame:
+    """``window_id, start``: ``count`` places of the stream, drawn with replacement, at which a window
+    and the token after it fit; none if it is too short."""
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    places = total - context
+    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id"))), 1, 15), 16, 10).cast("bigint")
+    ids = index.sparkSession.range(count if places > 0 else 0)
+    return ids.select(F.col("id").alias("window_id"), (drawn % max(places, 1)).alias("start"))
+
+
+def read_windows(index: DataFrame, starts: DataFrame, context: int, doc_id: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+    """``window_id, start, x, y``: the windows that begin at ``starts``, anywhere in the stream, with
+    ``y`` one token ahead of ``x``.
+
+    A window finds its documents in the index, by stretches of the stream in which both lie: a join
+    of narrow rows. Only the files that hold some of them are read, and of those only the rows that
+    a window touches are joined. The files' names, at most a few per window, are collected.
+    """
+    spark = index.sparkSession
+
+    def stretches(begin, end):
+        return F.explode(F.sequence(F.floor(begin / _STRETCH), F.floor((end - 1) / _STRETCH))).alias("stretch")
+
+    docs = index.select(doc_id, "offset", "length", "file", stretches(F.col("offset"), F.col("offset") + F.col("length")))
+    windows = starts.select("window_id", "start", stretches(F.col("start"), F.col("start") + context + 1))
+    meets = (F.col("offset") < F.col("start") + context + 1) & (F.col("offset") + F.col("length") > F.col("start"))
+    hits = docs.join(windows, "stretch").where(meets).drop("stretch").distinct()
+    hits = materialize(hits, "window-documents")
+    touched = [r.file for r in hits.select("file").distinct().collect()]
+    if not touched:
+        empty = "window_id bigint, start bigint, x array<int>, y array<int>"
+        return spark.createDataFrame([], empty)
+    held = spark.read.parquet(*touched).select(doc_id, tokens)
+    begin = F.greatest("start", "offset")
+    end = F.least(F.col("start") + context + 1, F.col("offset") + F.col("length"))
+    local = (begin - F.col("offset") + 1).cast("int")
+    piece = F.struct(begin.alias("begin"), F.slice(tokens, local, (end - begin).cast("int")).alias("ids"))
+    pieces = held.join(hits, doc_id).select("window_id", "start", piece.alias("piece"))
+    gathered = pieces.groupBy("window_id", "start").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    whole = gathered.select("window_id", "start", F.flatten("pieces.ids").alias("ids")).where(F.size("ids") == context + 1)
+    return whole.select("window_id", "start", F.slice("ids", 1, context).alias("x"), F.slice("ids", 2, context).alias("y"))

@@ -70,18 +70,23 @@ def reject_reason(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Add ``reason``, the first rule a document fails, null if it passes them all."""
-    judged = with_gopher(docs, text)
-    masked = mask_pii(_shorten(judged, text), text)
-    numbers = masked.drop(text).join(verdicts, doc_id, "left")
-    return numbers.withColumn(
-        "reason",
+    """Add ``reason``, the first rule a document fails, null if it passes them all.
+
+    The rules run in stages: what the verdicts reject is given no text to the length and symbol
+    rules, and what those reject none to the masks, whose patterns pass over missing texts.
+    """
+    known = docs.join(verdicts, doc_id, "left")
+    early = (
         F.when(F.col("quality") != "wiki", "quality")
         .when(F.col(language) != "en", "language")
         .when(F.col("toxicity") != "non-toxic", "toxic")
-        .when(~F.col("gopher_ok"), "gopher")
-        .when(F.col("n_pii") > PII_LIMIT, "pii"),
     )
+    known = bind(known, _early=early).withColumn(text, F.when(F.col("_early").isNull(), F.col(text)))
+    judged = with_gopher(known, text)
+    reached = judged.withColumn(text, F.when(F.col("gopher_ok"), F.col(text)))
+    masked = mask_pii(_shorten(reached, text), text).drop(text)
+    late = F.when(~F.col("gopher_ok"), "gopher").when(F.col("n_pii") > PII_LIMIT, "pii")
+    return masked.withColumn("reason", F.coalesce("_early", late)).drop("_early")
 
 
 def judge(

@@ -64,7 +64,7 @@ def test_offsets(spark):
         assert {r.k: r.offset for r in ranks.running_offsets(df, "k", "n", buckets=buckets).collect()} == want
 
 
-def test_vocabulary_and_windows(spark):
+def test_vocabulary_and_windows(spark, tmp_path):
     docs = spark.createDataFrame([(3, "b a a"), (1, "a, a b c"), (2, ""), (4, "z " * 50)], "doc_id bigint, text string")
     vocab = tokens.build_vocab(docs, 5)
     assert [(r.token, r.n, r.id) for r in vocab.orderBy("id").collect()] == [("z", 50, 2), ("a", 4, 3), ("b", 2, 4)]
@@ -80,6 +80,23 @@ def test_vocabulary_and_windows(spark):
             w: (stream[w * context : (w + 1) * context], stream[w * context + 1 : (w + 1) * context + 1]) for w in range(count)
         }
     assert tokens.sample_windows(tokens.token_windows(encoded, 4), 3).count() == 3
+
+    # Windows at any place, from files of which only those touched are read.
+    encoded.repartition(4, "doc_id").write.parquet(f"{tmp_path}/encoded")
+    index = tokens.index_tokens(spark.read.parquet(f"{tmp_path}/encoded"))
+    for context in (1, 5, 60, 61):
+        drawn = tokens.random_starts(index, 40, context, 3)
+        starts = {r.window_id: r.start for r in drawn.collect()}
+        assert len(starts) == 40 and all(0 <= s < len(stream) - context for s in starts.values())
+        got = {r.window_id: (r.x, r.y) for r in tokens.read_windows(index, drawn, context).collect()}
+        assert got == {w: (stream[s : s + context], stream[s + 1 : s + context + 1]) for w, s in starts.items()}
+    assert tokens.random_starts(index, 40, 62).count() == 0
+    far = index.where("doc_id = 4").first()
+    for path in (tmp_path / "encoded").glob("*.parquet"):
+        if not far.file.endswith(path.name):
+            path.unlink()
+    one = spark.createDataFrame([(0, far.offset + 3)], "window_id bigint, start bigint")
+    assert tokens.read_windows(index, one, 5).first().x == [2] * 5
     with pytest.raises(ValueError):
         tokens.build_vocab(docs, 70_000)
 
