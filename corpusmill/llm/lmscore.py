@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,13 +16,13 @@ from corpusmill.llm.trie import NgramTrie, distinct_rows
 PARTS, HELD_OUT = 7, 2
 # How much the estimates after one and after two words weigh against those of the order below.
 SECOND, THIRD = 0.6, 0.5
-# Contexts of one word that hold more than this share of all tokens, fewer than its inverse in
-# number, are not told apart by the word before them; their n-grams are spread by successor.
-COMMON = 1 / 4096
-# Bytes of text in a block of documents, tokens per shard of n-grams.
-BLOCK_BYTES, SHARD_TOKENS = 6 << 20, 700_000
+# Bytes of text in a block of documents, tokens per shard of n-grams, words of blocks per shard of words.
+BLOCK_BYTES, SHARD_TOKENS, SHARD_WORDS = 6 << 20, 700_000, 1_000_000
+# The n-grams of a middle word that is more frequent than this are spread over all shards, and bring the
+# counts of their pairs along. The model is the same whatever the bound.
+SPLIT = SHARD_TOKENS // 4
 # Words that no text holds: the end of a text, what comes before it, and any unknown word.
-END, BEGIN, UNKNOWN, NONE, RAISED = np.uint64(1), -2, -1, -3, 4
+END, BEGIN, UNKNOWN, RAISED = np.uint64(1), -2, -1, 4
 
 _BLOCKS = "block bigint, ids array<bigint>, held array<boolean>, counts array<bigint>, words array<bigint>, tokens binary"
 
@@ -43,10 +42,11 @@ def token_blocks(docs: DataFrame) -> DataFrame:
         names = ["block", "ids", "held", "counts", "words", "tokens"]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
         ids, held, counts, tokens, size = [], [], [], [], 0
+        context, done = TaskContext.get(), 0
 
         def flush():
             words, local = np.unique(np.concatenate(tokens), return_inverse=True)
-            row = [int.from_bytes(os.urandom(7), "little"), ids, held, np.concatenate(counts), words.view(np.int64), _squeeze(local.astype(np.int32))]
+            row = [context.partitionId() << 32 | done, ids, held, np.concatenate(counts), words.view(np.int64), _squeeze(local.astype(np.int32))]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in text_slices(batches):
@@ -61,7 +61,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
             size += batch.column(1).nbytes
             if size >= BLOCK_BYTES:
                 yield flush()
-                ids, held, counts, tokens, size = [], [], [], [], 0
+                ids, held, counts, tokens, size, done = [], [], [], [], 0, done + 1
         if ids:
             yield flush()
 
@@ -77,47 +77,103 @@ def _rows(batches):
             for name, column in zip(batch.schema.names, row.columns, strict=True):
                 if pa.types.is_list(column.type):
                     values = column.flatten()
-                    out[name] = values.to_numpy(zero_copy_only=False)
+                    out[name] = values.to_pylist() if pa.types.is_binary(values.type) else values.to_numpy(zero_copy_only=False)
                 else:
                     out[name] = column[0].as_py()
             yield out
 
 
-def _training_counts(blocks: DataFrame) -> DataFrame:
-    """``word, n`` over training documents, by block."""
+def _word_shards(blocks: DataFrame, shards: int) -> DataFrame:
+    """``shard, counts, blocks, places``: one row per range of word hashes with the training counts of
+    its distinct words, and of each block the places of its own words among them."""
 
-    def count(batches):
+    def route(batches):
         for row in _rows(batches):
             local = _expand(row["tokens"], np.int32)
-            train = np.repeat(~row["held"], row["counts"])
-            n = np.bincount(local[train], minlength=len(row["words"]))
-            some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(row["words"][some]), pa.array(n[some])], names=["word", "n"])
+            words = row["words"].view(np.uint64)
+            n = np.bincount(local[np.repeat(~row["held"], row["counts"])], minlength=len(words))
+            # Words come sorted, so a block's words for a shard lie together.
+            shard = ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+            edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+            data = [_pack(np.diff(row["words"][x:y], prepend=0)) + _pack(n[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+            columns = [pa.array(shard[edges[:-1]]), pa.array([row["block"]] * len(data), pa.int64()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "block", "data"])
+
+    def gather(batches):
+        current, pieces = None, []
+
+        def finish():
+            words, n = (np.concatenate([p[k] for _, p in pieces]) for k in range(2))
+            distinct, which = np.unique(words, return_inverse=True)
+            sums = np.bincount(which, n, len(distinct)).astype(np.int64)
+            ends = np.cumsum([len(p[0]) for _, p in pieces])[:-1]
+            places = [_pack(np.diff(part, prepend=0)) for part in np.split(which, ends)]
+            columns = [
+                pa.array([current], pa.int64()), pa.array([_pack(sums)], pa.binary()),
+                pa.array([[block for block, _ in pieces]], pa.list_(pa.int64())), pa.array([places], pa.list_(pa.binary())),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "counts", "blocks", "places"])
+
+        for batch in batches:
+            for shard, block, data in zip(*(batch.column(batch.schema.names.index(n)).to_pylist() for n in ("shard", "block", "data")), strict=True):
+                if shard != current and pieces:
+                    yield finish()
+                    pieces.clear()
+                current = shard
+                gaps, n = _unpack(data)
+                pieces.append((block, [np.cumsum(gaps).view(np.uint64), n]))
+        if pieces:
+            yield finish()
+
+    routed = blocks.select("block", "held", "counts", "words", "tokens").mapInArrow(route, "shard bigint, block bigint, data binary")
+    placed = routed.repartition(shards, "shard").sortWithinPartitions("shard")
+    return placed.mapInArrow(gather, "shard bigint, counts binary, blocks array<bigint>, places array<binary>")
+
 
-    return blocks.select("held", "counts", "words", "tokens").mapInArrow(count, "word bigint, n bigint")
+def _number_words(lexicon: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``block, shard, numbers``: of a block's words in a shard their numbers from 0, the most frequent
+    first; and ``n, m, first``: how many words have this count and where their numbers begin. There
+    are at most about the square root of twice the tokens of these. Words that training
+    documents lack have the number of the unknown word."""
 
+    def histogram(batches):
+        for batch in batches:
+            for shard, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                n, m = np.unique(_unpack(data)[0], return_counts=True)
+                some = n > 0
+                yield pa.RecordBatch.from_arrays([pa.array(n[some]), pa.array(np.full(some.sum(), shard)), pa.array(m[some])], names=["n", "shard", "m"])
 
-def _number_words(counts: DataFrame, total_words: int) -> tuple[DataFrame, DataFrame]:
-    """``word, number`` from 0, the most frequent first, and ``n, first``: where the numbers of words
-    with this count begin. There are at most about the square root of twice the tokens of these."""
-    buckets = 4 * partitions(counts.sparkSession)
-    bucketed = counts.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
-    cells = settle(bucketed.groupBy("n", "bucket").agg(F.count("*").alias("m")), "cells")
+    cells = settle(lexicon.select("shard", "counts").mapInArrow(histogram, "n bigint, shard bigint, m bigint"), "cells")
     sizes = cells.groupBy("n").agg(F.sum("m").alias("m"))
     before = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    firsts = settle(sizes.select("n", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("first")), "firsts")
-    inside = Window.partitionBy("n").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.join(firsts, "n").select("n", "bucket", (F.col("first") + F.coalesce(F.sum("m").over(inside), F.lit(0))).alias("start"))
-    within = Window.partitionBy("n", "bucket").orderBy("word")
-    numbered = bucketed.join(starts, ["n", "bucket"]).select("word", (F.col("start") + F.row_number().over(within) - 1).alias("number"))
-    return numbered, firsts
+    firsts = settle(sizes.select("n", "m", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("first")), "firsts")
+    inside = Window.partitionBy("n").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.join(firsts.select("n", "first"), "n").select("n", "shard", (F.col("first") + F.coalesce(F.sum("m").over(inside), F.lit(0))).alias("start"))
+    by_shard = starts.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("n", "start"))).alias("starts"))
+
+    def number(batches):
+        for row in _rows(batches):
+            counts = _unpack(row["counts"])[0]
+            order = np.argsort(counts, kind="stable")
+            ordered = counts[order]
+            rank = np.arange(len(order)) - np.searchsorted(ordered, ordered)
+            numbers = np.full(len(counts), UNKNOWN, np.int64)
+            if (known := ordered > 0).any():
+                at = np.searchsorted(row["n"], ordered[known])
+                numbers[order[known]] = row["start"][at] + rank[known]
+            data = [_pack(numbers[np.cumsum(_unpack(p)[0])]) for p in row["places"]]
+            columns = [pa.array(row["blocks"]), pa.array([row["shard"]] * len(data), pa.int64()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "shard", "numbers"])
+
+    joined = lexicon.join(by_shard, "shard", "left").select("shard", "counts", "blocks", "places", "starts.n", "starts.start")
+    return joined.mapInArrow(number, "block bigint, shard bigint, numbers binary"), firsts
 
 
 class _Counts:
     """A word's training count by its number; 0 for an unknown word."""
 
-    def __init__(self, first: np.ndarray, n: np.ndarray, tokens: int, words: int, texts: int) -> None:
-        self.first, self.n, self.tokens, self.words, self.texts = first, n, tokens, words, texts
+    def __init__(self, first: np.ndarray, n: np.ndarray, tokens: int, words: int, texts: int, limit: int) -> None:
+        self.first, self.n, self.tokens, self.words, self.texts, self.limit = first, n, tokens, words, texts, limit
 
     def of(self, number: np.ndarray) -> np.ndarray:
         out = np.zeros(len(number), np.int64)
@@ -126,6 +182,10 @@ class _Counts:
         out[number == BEGIN] = self.texts
         return out
 
+    def split(self, number: np.ndarray) -> np.ndarray:
+        """Whether a middle word's n-grams are spread."""
+        return self.of(number) > self.limit
+
     def log_single(self, number: np.ndarray) -> np.ndarray:
         return np.log10((self.of(number) + 1) / (self.tokens + self.words + 1))
 
@@ -136,37 +196,75 @@ class _Counts:
         return self.log_single(c) + np.where(self.of(b) > 0, np.log10(1 - SECOND), 0.0)
 
 
+def _sequences(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block's tokens, in numbers: the one before the last, the last, the token; and its document."""
+    number = np.concatenate([_unpack(p)[0] for p in row["numbers"]])
+    sizes = row["counts"]
+    begin = np.cumsum(sizes) - sizes
+    c = number[_expand(row["tokens"], np.int32)]
+    b, a = np.roll(c, 1), np.roll(c, 2)
+    b[begin] = BEGIN
+    a[begin] = BEGIN
+    a[begin[sizes > 1] + 1] = BEGIN
+    return a, b, c, np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _pair_counts(ready: DataFrame, shared) -> DataFrame:
+    """``block, x, y, total``: the training counts of a block's pairs that hold a word whose n-grams are
+    spread. A pair comes once from each block, however often the block holds it."""
+
+    def emit(batches):
+        counts = shared.value
+        for row in _rows(batches):
+            _, x, y, doc = _sequences(row)
+            wide = np.flatnonzero((counts.split(x) | counts.split(y)) & (x != UNKNOWN) & (y != UNKNOWN))
+            (px, py), at = distinct_rows(x[wide], y[wide])
+            n = np.bincount(at, ~row["held"][doc[wide]], len(px)).astype(np.int64)
+            columns = [pa.array(np.full(len(px), row["block"], np.int64)), pa.array(px), pa.array(py), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "x", "y", "n"])
+
+    pairs = settle(ready.mapInArrow(emit, "block bigint, x bigint, y bigint, n bigint"), "pairs")
+    totals = pairs.groupBy("x", "y").agg(F.sum("n").alias("total")).where("total > 0")
+    return pairs.select("block", "x", "y").join(totals, ["x", "y"])
+
+
 def _route(ready: DataFrame, shared, shards: int) -> DataFrame:
     """``shard, block, grams``: each block's n-grams for each shard, sorted and squeezed: the numbers
-    of ``b``, ``c``, ``a``, the document, and whether it is held out."""
+    of ``b``, ``c``, ``a``, the document and whether it is held out; and, where ``b`` is spread,
+    the training counts of ``b c`` and ``a b``."""
 
     def route(batches):
         counts = shared.value
         for row in _rows(batches):
-            local = _expand(row["tokens"], np.int32)
-            number = np.full(row["distinct"], UNKNOWN, np.int64)
-            number[row["places"]] = row["numbers"]
-            sizes = row["counts"]
-            begin = np.cumsum(sizes) - sizes
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            c = number[local]
-            b, a = np.roll(c, 1), np.roll(c, 2)
-            b[begin] = BEGIN
-            a[begin] = BEGIN
-            second = begin[sizes > 1] + 1
-            a[second] = BEGIN
-            common = counts.of(b) > COMMON * counts.tokens
-            a[common] = NONE
-            spread = np.where(common, mix(b.astype(np.uint64), c.astype(np.uint64)), mix(b.astype(np.uint64), 5))
-            shard = (spread % np.uint64(shards)).astype(np.int64)
+            a, b, c, doc = _sequences(row)
+            spread = counts.split(b)
+            base = np.int64(counts.words + RAISED)
+            of_pair = (row["x"] + RAISED) * base + row["y"] + RAISED
+            order = np.argsort(of_pair)
+            of_pair, total = np.append(of_pair[order], np.iinfo(np.int64).max), np.append(row["total"][order], 0)
+
+            def count(x, y, of_pair=of_pair, total=total, base=base, spread=spread):
+                out = np.zeros(len(x), np.int64)
+                wanted = (x[spread] + RAISED) * base + y[spread] + RAISED
+                at = np.searchsorted(of_pair, wanted)
+                out[spread] = np.where(of_pair[at] == wanted, total[at], 0)
+                return out
+
+            after, context = count(b, c), count(a, b)
+            # Before a text lies nothing that a pair could show.
+            context[spread & (b == BEGIN)] = counts.texts
+            first = mix(b.astype(np.uint64), 5)
+            key = np.where(spread, mix(mix(first, c.astype(np.uint64)), a.astype(np.uint64)), first)
+            shard = (key % np.uint64(shards)).astype(np.int64)
             held = row["held"][doc]
-            order = np.lexsort((c, b, shard))
+            order = np.lexsort((a, c, b, shard))
             edges = np.flatnonzero(np.diff(shard[order], prepend=-1, append=-1))
             out = [[], []]
-            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                part = order[x:y]
+            for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                part = order[low:high]
                 # Gaps of sorted columns are small numbers, which squeeze well.
                 columns = [np.diff(b[part], prepend=0), np.diff(c[part], prepend=0), a[part], doc[part] * 2 + held[part]]
+                columns += [np.diff(after[part], prepend=0), context[part]]
                 out[0].append(int(shard[part[0]]))
                 out[1].append(b"".join(_pack(v) for v in columns))
             size = len(out[0])
@@ -215,12 +313,17 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
         def finish():
             # In the trie, numbers are raised so that the marks among them count from 0 too.
             blocks = np.concatenate([np.full(len(p[0]), i) for i, (_, p) in enumerate(pieces)])
-            b, c, a, mark = (np.concatenate([p[k] for _, p in pieces]) for k in range(4))
-            a = np.where(a == NONE, -1, a + RAISED)
-            train = mark & 1 == 0
-            (gb, gc, ga), at = distinct_rows(b[train] + RAISED, c[train] + RAISED, a[train])
-            n = np.bincount(at, minlength=len(gb)).astype(np.float64)
-            trie = NgramTrie.build(ga, gb, gc, n, second, THIRD) if len(gb) else None
+            b, c, a, mark, after, context = (np.concatenate([p[k] for _, p in pieces]) for k in range(6))
+            a = a + RAISED
+            spread = counts.split(b)
+            used = np.flatnonzero((mark & 1 == 0) | spread)
+            (gb, gc, ga), at = distinct_rows(b[used] + RAISED, c[used] + RAISED, a[used])
+            n = np.bincount(at, mark[used] & 1 == 0, len(gb)).astype(np.float64)
+            # What a spread word's n-grams brought along; otherwise all n-grams of the word are here.
+            brought = np.full((2, len(gb)), -1, np.int64)
+            wide = spread[used]
+            brought[0, at[wide]], brought[1, at[wide]] = after[used][wide], context[used][wide]
+            trie = NgramTrie.build(ga, gb, gc, n, second, THIRD, *brought) if len(gb) else None
             logs = np.zeros(len(b))
             trie = trie.mapped() if trie else None
             for x in range(0, len(b), 1 << 19):
@@ -239,8 +342,8 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
                     yield finish()
                     pieces.clear()
                 current = shard
-                b, c, a, mark = _unpack(data)
-                pieces.append((block, [np.cumsum(b), np.cumsum(c), a, mark]))
+                b, c, a, mark, after, context = _unpack(data)
+                pieces.append((block, [np.cumsum(b), np.cumsum(c), a, mark, np.cumsum(after), context]))
         if pieces:
             yield finish()
 
@@ -256,7 +359,9 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     gathered grows with them. Words are numbered by frequency, documents are turned into
     blocks of numbers once, and each block's n-grams go, sorted and squeezed, to the shard of their
     middle word. There the trie of the shard is built and queried; sums by document come back.
-    A shard's size follows from the number of shards, which follows from the tokens.
+    A shard's size follows from the number of shards, which follows from the tokens. The n-grams of
+    a word that would fill a shard are spread by all their words and bring the counts of
+    their pairs along, so the model has one rule for all words.
 
     A missing or empty text is its end alone. Repeated rows are learned from and scored as often
     as they come; a row without an id is not held out. An empty table gives no rows.
@@ -265,20 +370,21 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % PARTS == HELD_OUT, F.lit(False))
     rows = id_and_text(docs, doc_id, text).withColumn("held", held)
     blocks = settle(token_blocks(rows), "blocks")
-    counts = settle(_training_counts(blocks).groupBy("word").agg(F.sum("n").alias("n")), "counts")
-    words, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    per_block = F.size("counts"), F.size(F.filter("held", lambda h: ~h)), F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)
-    _, texts, every = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in per_block]).first()
-    numbered, firsts = _number_words(counts, words)
-    steps = sorted((r.first, r.n) for r in firsts.collect())
-    known = _Counts(np.array([s[0] for s in steps], np.int64), np.array([s[1] for s in steps], np.int64), tokens, words, texts)
+    per_block = F.size("words"), F.size(F.filter("held", lambda h: ~h)), F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)
+    asked, texts, every = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in per_block]).first()
+    lexicon = settle(_word_shards(blocks, max(partitions(spark), -(-asked // SHARD_WORDS))), "lexicon")
+    numbered, firsts = _number_words(lexicon)
+    steps = sorted((r.first, r.n, r.m) for r in firsts.collect())
+    words, tokens = sum(m for _, _, m in steps), sum(n * m for _, n, m in steps)
+    known = _Counts(np.array([s[0] for s in steps], np.int64), np.array([s[1] for s in steps], np.int64), tokens, words, texts, SPLIT)
     shared = spark.sparkContext.broadcast(known)
-    asked = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    pairs = asked.join(numbered, "word").groupBy("block").agg(F.collect_list(F.struct("place", "number")).alias("numbers"))
-    # The hashes have done their work: their number alone goes on, and none of them is shuffled.
-    lean = blocks.select("block", "held", "counts", "tokens", F.size("words").alias("distinct"))
-    ready = lean.join(pairs, "block", "left").select("*", F.col("numbers.place").alias("places"), "numbers.number")
-    ready = settle(ready.drop("numbers").withColumnRenamed("number", "numbers"), "ready")
+    # Both the hashes of words and the shards of them are in rising order.
+    numbers = numbered.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "numbers"))).alias("parts"))
+    lean = blocks.select("block", "held", "counts", "tokens")
+    ready = settle(lean.join(numbers, "block").select("*", F.col("parts.numbers").alias("numbers")).drop("parts"), "ready")
+    found = _pair_counts(ready, shared).groupBy("block").agg(F.collect_list(F.struct("x", "y", "total")).alias("found"))
+    brought = [F.coalesce(F.col(f"found.{c}"), F.array().cast("array<bigint>")).alias(c) for c in ("x", "y", "total")]
+    ready = ready.join(found, "block", "left").select(*ready.columns, *brought)
     shards = max(partitions(spark), -(-every // SHARD_TOKENS))
     sums = _score_shards(_route(ready, shared, shards), shared, shards)
     totals = sums.groupBy("block", "doc").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])

@@ -98,6 +98,14 @@ def restore(codes: np.ndarray) -> np.ndarray:
     return codes.astype(np.float64) / CODES * FLOOR
 
 
+def _given(sums: np.ndarray, at: np.ndarray, known: np.ndarray | None) -> np.ndarray:
+    """The sums, but what is ``known`` of a row where that is not negative."""
+    if known is not None:
+        there = known >= 0
+        sums[at[there]] = known[there]
+    return sums
+
+
 class NgramTrie:
     """Probabilities of ``c`` after ``b`` and after ``a b``, where ``b`` is the root.
 
@@ -113,22 +121,25 @@ class NgramTrie:
         self.words = roots.at(np.arange(roots.size))
 
     @classmethod
-    def build(cls, a, b, c, count, log_second, weight_third: float) -> NgramTrie:
-        """From distinct ``a b c`` (``a`` below 0: no context beyond ``b``) with counts.
+    def build(cls, a, b, c, count, log_second, weight_third: float, pair_count=None, context_count=None) -> NgramTrie:
+        """From distinct ``a b c`` with counts.
 
         ``log_second(b, c, n)`` gives the smoothed log10 probability of ``c`` after ``b`` seen ``n``
-        times; level 3 mixes in the share among ``a b`` with ``weight_third``.
+        times; level 3 mixes in the share among ``a b`` with ``weight_third``. Counts of ``b c`` and
+        ``a b`` are sums over the rows, but for rows where ``pair_count`` and ``context_count`` are not
+        negative: those n-grams are not all here. Contexts without a count are left out.
         """
         words, root = np.unique(b, return_inverse=True)
         (pair_root, pair_c), at_pair = distinct_rows(root, c)
-        n_pair = np.bincount(at_pair, count, len(pair_root))
+        n_pair = _given(np.bincount(at_pair, count, len(pair_root)), at_pair, pair_count)
         second = log_second(words[pair_root], pair_c, n_pair)
         successors = Ranges.build(pair_root, pair_c, len(words))
-        deep = a >= 0
+        deep = np.flatnonzero(context_count != 0) if context_count is not None else np.arange(len(a))
         (context_root, context_a), at_context = distinct_rows(root[deep], a[deep])
         before = Ranges.build(context_root, context_a, len(words))
         n_context = np.bincount(at_context, count[deep], len(context_root))
-        relative = at_pair[deep] - successors.first(root[deep]) if len(words) else at_pair[deep]
+        n_context = _given(n_context, at_context, context_count[deep] if context_count is not None else None)
+        relative = at_pair[deep] - successors.first(root[deep])
         order = np.lexsort((relative, at_context))
         third = Ranges.build(at_context[order], relative[order], len(context_root))
         share = count[deep][order] / n_context[at_context[order]]

@@ -347,9 +347,15 @@ def test_divide_skip_is_exact():
         assert ngramjoin.divide_skip(query, sets) == wanted
 
 
-def test_scores_are_those_of_the_formula(spark, odd, empty):
+@pytest.mark.parametrize("split", [0, 60, 1 << 40])
+def test_scores_are_those_of_the_formula(spark, odd, empty, monkeypatch, split):
+    # The words' share of all tokens lies on both sides of 60; the model is one and the same.
+    monkeypatch.setattr(lmscore, "SPLIT", split)
+    monkeypatch.setattr(lmscore, "BLOCK_BYTES", 2000)
     rng = random.Random(11)
-    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(rng.randrange(0, 60)))) for i in range(120)] + [(900, None)]
+    often = [w for i, w in enumerate(WORDS) for _ in range(1 + i)]
+    rows = [(i, " ".join(rng.choice(often) for _ in range(rng.randrange(0, 60)))) for i in range(120)] + [(900, None)]
+    rows += [(i, prose(rng, 40) + " new" + str(i)) for i in range(300, 330)]
     texts = {i: (t or "").encode().lower().split() + [None] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
     single, pair, triple, context = Counter(), Counter(), Counter(), Counter()
@@ -363,22 +369,21 @@ def test_scores_are_those_of_the_formula(spark, odd, empty):
 
     def grams(t):
         for i, c in enumerate(t):
-            b, a = t[i - 1] if i else "<", t[i - 2] if i > 1 else "<"
-            yield "*" if times(b) > lmscore.COMMON * total else a, b, c
+            yield t[i - 2] if i > 1 else "<", t[i - 1] if i else "<", c
 
     for t in train:
         for a, b, c in grams(t):
             pair[b, c] += 1
             triple[a, b, c] += 1
             context[a, b] += 1
-    for r in lmscore.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+    for r in lmscore.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
         base = score = 0.0
         for a, b, c in grams(texts[r.doc_id]):
             p = (single[c] + 1) / (total + vocabulary + 1)
             base += math.log10(p)
             if times(b):
                 p = lmscore.SECOND * pair[b, c] / times(b) + (1 - lmscore.SECOND) * p
-            if a != "*" and context[a, b]:
+            if context[a, b]:
                 p = lmscore.THIRD * triple[a, b, c] / context[a, b] + (1 - lmscore.THIRD) * p
             score += math.log10(p)
         assert (r.held_out, r.n_tokens, r.train_tokens) == (held[r.doc_id], len(texts[r.doc_id]), total)
@@ -387,8 +392,6 @@ def test_scores_are_those_of_the_formula(spark, odd, empty):
     assert lmscore.score_texts(odd).count() == 13 and lmscore.score_texts(empty).count() == 0
 
 
-
-
 def test_sets_without_a_like_neighbour_are_left_out(spark):
     shared = [(1, 40, g) for g in range(9)] + [(2, 44, g) for g in range(9)]
     alone = [(3, 40, g) for g in range(100, 109)]
