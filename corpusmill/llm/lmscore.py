@@ -83,6 +83,20 @@ def _rows(batches):
             yield out
 
 
+def _groups(batches):
+    """Of rows ``shard, block, data`` that come by shard: each shard with its blocks and columns."""
+    current, pieces = None, []
+    for batch in batches:
+        for shard, block, data in zip(*(batch.column(batch.schema.names.index(n)).to_pylist() for n in ("shard", "block", "data")), strict=True):
+            if shard != current and pieces:
+                yield current, pieces
+                pieces = []
+            current = shard
+            pieces.append((block, _unpack(data)))
+    if pieces:
+        yield current, pieces
+
+
 def _word_shards(blocks: DataFrame, shards: int) -> DataFrame:
     """``shard, counts, blocks, places``: one row per range of word hashes with the training counts of
     its distinct words, and of each block the places of its own words among them."""
@@ -100,30 +114,17 @@ def _word_shards(blocks: DataFrame, shards: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["shard", "block", "data"])
 
     def gather(batches):
-        current, pieces = None, []
-
-        def finish():
-            words, n = (np.concatenate([p[k] for _, p in pieces]) for k in range(2))
+        for shard, pieces in _groups(batches):
+            words = np.concatenate([np.cumsum(gaps).view(np.uint64) for _, (gaps, _) in pieces])
             distinct, which = np.unique(words, return_inverse=True)
-            sums = np.bincount(which, n, len(distinct)).astype(np.int64)
+            sums = np.bincount(which, np.concatenate([n for _, (_, n) in pieces]), len(distinct)).astype(np.int64)
             ends = np.cumsum([len(p[0]) for _, p in pieces])[:-1]
             places = [_pack(np.diff(part, prepend=0)) for part in np.split(which, ends)]
             columns = [
-                pa.array([current], pa.int64()), pa.array([_pack(sums)], pa.binary()),
+                pa.array([shard], pa.int64()), pa.array([_pack(sums)], pa.binary()),
                 pa.array([[block for block, _ in pieces]], pa.list_(pa.int64())), pa.array([places], pa.list_(pa.binary())),
             ]
-            return pa.RecordBatch.from_arrays(columns, names=["shard", "counts", "blocks", "places"])
-
-        for batch in batches:
-            for shard, block, data in zip(*(batch.column(batch.schema.names.index(n)).to_pylist() for n in ("shard", "block", "data")), strict=True):
-                if shard != current and pieces:
-                    yield finish()
-                    pieces.clear()
-                current = shard
-                gaps, n = _unpack(data)
-                pieces.append((block, [np.cumsum(gaps).view(np.uint64), n]))
-        if pieces:
-            yield finish()
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "counts", "blocks", "places"])
 
     routed = blocks.select("block", "held", "counts", "words", "tokens").mapInArrow(route, "shard bigint, block bigint, data binary")
     placed = routed.repartition(shards, "shard").sortWithinPartitions("shard")
@@ -209,39 +210,61 @@ def _sequences(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return a, b, c, np.repeat(np.arange(len(sizes)), sizes)
 
 
-def _pair_counts(ready: DataFrame, shared) -> DataFrame:
-    """``block, x, y, total``: the training counts of a block's pairs that hold a word whose n-grams are
-    spread. A pair comes once from each block, however often the block holds it."""
+def _wide_pairs(row: dict, sequences, counts: _Counts, shards: int):
+    """``x, y, n, shard`` by shard: a block's distinct pairs with a word whose n-grams are spread, and
+    how often its training documents hold them."""
+    _, x, y, doc = sequences
+    wide = np.flatnonzero((counts.split(x) | counts.split(y)) & (x != UNKNOWN) & (y != UNKNOWN))
+    (px, py), at = distinct_rows(x[wide], y[wide])
+    n = np.bincount(at, ~row["held"][doc[wide]], len(px)).astype(np.int64)
+    shard = (mix(px.astype(np.uint64), py.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    return px[order], py[order], n[order], shard[order]
 
-    def emit(batches):
-        counts = shared.value
+
+def _pair_counts(ready: DataFrame, shared, shards: int) -> DataFrame:
+    """``block, shard, totals``: the training counts of a block's wide pairs of a shard, in their order.
+    A pair comes once from each block, however often the block holds it."""
+
+    def route(batches):
         for row in _rows(batches):
-            _, x, y, doc = _sequences(row)
-            wide = np.flatnonzero((counts.split(x) | counts.split(y)) & (x != UNKNOWN) & (y != UNKNOWN))
-            (px, py), at = distinct_rows(x[wide], y[wide])
-            n = np.bincount(at, ~row["held"][doc[wide]], len(px)).astype(np.int64)
-            columns = [pa.array(np.full(len(px), row["block"], np.int64)), pa.array(px), pa.array(py), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "x", "y", "n"])
+            x, y, n, shard = _wide_pairs(row, _sequences(row), shared.value, shards)
+            edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)) if len(shard) else np.zeros(1, np.int64)
+            data = [_pack(np.diff(x[i:j], prepend=0)) + _pack(y[i:j]) + _pack(n[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+            columns = [pa.array(shard[edges[:-1]]) if data else pa.array([], pa.int64()), pa.array([row["block"]] * len(data), pa.int64()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "block", "data"])
+
+    def total(batches):
+        for shard, pieces in _groups(batches):
+            x, y, n = (np.concatenate([p[k] for _, p in pieces]) for k in range(3))
+            edges = np.cumsum([len(p[0]) for _, p in pieces])[:-1]
+            x = np.concatenate([np.cumsum(part) for part in np.split(x, edges)])
+            (distinct, _), which = distinct_rows(x, y)
+            sums = np.bincount(which, n, len(distinct)).astype(np.int64)[which]
+            data = [_pack(part) for part in np.split(sums, edges)]
+            columns = [pa.array([block for block, _ in pieces], pa.int64()), pa.array([shard] * len(data), pa.int64()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "shard", "totals"])
 
-    pairs = settle(ready.mapInArrow(emit, "block bigint, x bigint, y bigint, n bigint"), "pairs")
-    totals = pairs.groupBy("x", "y").agg(F.sum("n").alias("total")).where("total > 0")
-    return pairs.select("block", "x", "y").join(totals, ["x", "y"])
+    placed = ready.mapInArrow(route, "shard bigint, block bigint, data binary").repartition(shards, "shard").sortWithinPartitions("shard")
+    return placed.mapInArrow(total, "block bigint, shard bigint, totals binary")
 
 
 def _route(ready: DataFrame, shared, shards: int) -> DataFrame:
-    """``shard, block, grams``: each block's n-grams for each shard, sorted and squeezed: the numbers
+    """``shard, block, data``: each block's n-grams for each shard, sorted and squeezed: the numbers
     of ``b``, ``c``, ``a``, the document and whether it is held out; and, where ``b`` is spread,
     the training counts of ``b c`` and ``a b``."""
 
     def route(batches):
         counts = shared.value
         for row in _rows(batches):
-            a, b, c, doc = _sequences(row)
+            a, b, c, doc = sequences = _sequences(row)
             spread = counts.split(b)
             base = np.int64(counts.words + RAISED)
-            of_pair = (row["x"] + RAISED) * base + row["y"] + RAISED
+            x, y, _, _ = _wide_pairs(row, sequences, counts, shards)
+            totals = np.concatenate([np.zeros(0, np.int64), *(_unpack(p)[0] for p in row["totals"])])
+            of_pair = (x + RAISED) * base + y + RAISED
             order = np.argsort(of_pair)
-            of_pair, total = np.append(of_pair[order], np.iinfo(np.int64).max), np.append(row["total"][order], 0)
+            of_pair, total = np.append(of_pair[order], np.iinfo(np.int64).max), np.append(totals[order], 0)
 
             def count(x, y, of_pair=of_pair, total=total, base=base, spread=spread):
                 out = np.zeros(len(x), np.int64)
@@ -270,10 +293,10 @@ def _route(ready: DataFrame, shared, shards: int) -> DataFrame:
             size = len(out[0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array([row["block"]] * size, pa.int64()), pa.array(out[1], pa.binary())],
-                names=["shard", "block", "grams"],
+                names=["shard", "block", "data"],
             )
 
-    return ready.mapInArrow(route, "shard bigint, block bigint, grams binary")
+    return ready.mapInArrow(route, "shard bigint, block bigint, data binary")
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -301,8 +324,6 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
 
     def score(batches):
         counts = shared.value
-        pieces: list[tuple[int, list[np.ndarray]]] = []
-        current = None
 
         def second(b, c, n):
             return counts.log_second(b - RAISED, c - RAISED, n)
@@ -310,10 +331,11 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
         def unseen(b, c):
             return counts.log_unseen(b - RAISED, c - RAISED)
 
-        def finish():
+        def finish(pieces):
             # In the trie, numbers are raised so that the marks among them count from 0 too.
             blocks = np.concatenate([np.full(len(p[0]), i) for i, (_, p) in enumerate(pieces)])
-            b, c, a, mark, after, context = (np.concatenate([p[k] for _, p in pieces]) for k in range(6))
+            # Columns 0, 1 and 4 are gaps.
+            b, c, a, mark, after, context = (np.concatenate([np.cumsum(p[k]) if k in (0, 1, 4) else p[k] for _, p in pieces]) for k in range(6))
             a = a + RAISED
             spread = counts.split(b)
             used = np.flatnonzero((mark & 1 == 0) | spread)
@@ -336,16 +358,8 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
             columns += [pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(sums[3])]
             return pa.RecordBatch.from_arrays(columns, names=["block", "doc", "n_tokens", "n_known", "base_score", "score"])
 
-        for batch in batches:
-            for shard, block, data in zip(*(batch.column(batch.schema.names.index(n)).to_pylist() for n in ("shard", "block", "grams")), strict=True):
-                if shard != current and pieces:
-                    yield finish()
-                    pieces.clear()
-                current = shard
-                b, c, a, mark, after, context = _unpack(data)
-                pieces.append((block, [np.cumsum(b), np.cumsum(c), a, mark, np.cumsum(after), context]))
-        if pieces:
-            yield finish()
+        for _, pieces in _groups(batches):
+            yield finish(pieces)
 
     placed = routed.repartition(max(shards, 1), "shard").sortWithinPartitions("shard")
     return placed.mapInArrow(score, _SUMS)
@@ -382,10 +396,11 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     numbers = numbered.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "numbers"))).alias("parts"))
     lean = blocks.select("block", "held", "counts", "tokens")
     ready = settle(lean.join(numbers, "block").select("*", F.col("parts.numbers").alias("numbers")).drop("parts"), "ready")
-    found = _pair_counts(ready, shared).groupBy("block").agg(F.collect_list(F.struct("x", "y", "total")).alias("found"))
-    brought = [F.coalesce(F.col(f"found.{c}"), F.array().cast("array<bigint>")).alias(c) for c in ("x", "y", "total")]
-    ready = ready.join(found, "block", "left").select(*ready.columns, *brought)
     shards = max(partitions(spark), -(-every // SHARD_TOKENS))
+    totals = settle(_pair_counts(ready, shared, shards), "totals")
+    found = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "totals"))).alias("found"))
+    totals = F.coalesce(F.col("found.totals"), F.array().cast("array<binary>")).alias("totals")
+    ready = ready.join(found, "block", "left").select(*ready.columns, totals)
     sums = _score_shards(_route(ready, shared, shards), shared, shards)
     totals = sums.groupBy("block", "doc").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     names = blocks.select("block", F.posexplode(F.arrays_zip("ids", "held")).alias("doc", "of"))
