@@ -15,9 +15,6 @@ from corpusmill.operators.components import connected_components
 
 # Fixed values of the contract: words of a shingle; 100 * shared >= LIKE * union.
 SHINGLE, LIKE = 4, 85
-# Rounds in which what is left of a list is compared with a leader of its own, before whatever
-# still lies in different components is compared pair by pair.
-STAR_ROUNDS = 3
 
 
 def shingle_sets(bodies: list[str]) -> list[np.ndarray]:
@@ -71,7 +68,7 @@ def _heads(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in text_slices(batches):
             at = batch.schema.names.index
             sets = shingle_sets(batch.column(at("text")).to_pylist())
-            chosen = [(k, s) for s, found in zip(sets, batch.column(at("keys")).to_pylist(), strict=True) if (k := _key(s)) in found]
+            chosen = [(k, s) for s, found in zip(sets, batch.column(at("keys")).to_pylist(), strict=True) if (k := _key(s)) in (found or (k,)) and len(s)]
             sizes = np.array([len(s) for _, s in chosen], np.int64)
             lengths = np.minimum(sizes - least_overlap(sizes) + 1 + sizes // 16, sizes)
             grams = np.concatenate([s[:k] for (_, s), k in zip(chosen, lengths.tolist(), strict=True)] or [np.zeros(0, np.uint64)])
@@ -83,9 +80,11 @@ def _heads(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _holding(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``text, keys`` of the documents that stand for a set in ``wanted``."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
-    return docs.join(lists, docs.doc_id.eqNullSafe(lists.doc_id)).select("text", "keys")
+    """``text, keys`` of the documents that stand for a set in ``wanted``; of all rows without an id
+    the text alone, since no id tells which set is whose."""
+    lists = wanted.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    nameless = docs.where("doc_id IS NULL").select("text", F.lit(None).cast("array<bigint>").alias("keys"))
+    return docs.join(lists, "doc_id").select("text", "keys").unionByName(nameless)
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
@@ -97,15 +96,15 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
             keys, out = [], []
             for grams, found in zip(sets, batch.column(at("keys")).to_pylist(), strict=True):
                 key = _key(grams)
-                if key in found:
+                if len(grams) and (found is None or key in found):
                     keys.append(key)
                     out.append(grams.view(np.int64))
             arrays = [pa.array(keys, pa.int64()), pa.array([len(g) for g in out], pa.int64()), pa.array(out, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "grams"])
 
-    # Rows with the same id may hold the same set twice.
     found = _holding(docs, wanted).mapInArrow(emit, "key bigint, n bigint, grams array<bigint>")
-    return found.dropDuplicates(["key"]) if repeated else found
+    # Rows with the same id may hold the same set twice, rows without an id any set.
+    return found.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]) if repeated else found
 
 
 def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
@@ -206,39 +205,55 @@ def _short_lists(sets: DataFrame) -> DataFrame:
     return placed.where(F.col("at") <= F.col("n") - least + 1).select("gram", "key", "n", "at")
 
 
+def _asked(lists: DataFrame, known: DataFrame | None, tested: DataFrame | None, turn: int) -> DataFrame:
+    """``leader, key``: for each set one leader to be compared with. Every list is led by the member that
+    comes first in this turn's order; a set asks the leader of most of its lists among those of
+    another component that it has not asked before. So there are at most as many pairs as sets."""
+    rows = lists.select("gram", "key")
+    rows = rows.withColumn("component", F.col("key")) if known is None else rows.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    order = F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), F.col("key").alias("leader"), F.col("component").alias("of"))
+    # Aggregated before it is shuffled, so that a list that most sets are in is no single task.
+    led = rows.groupBy("gram").agg(F.min(order).alias("first"), F.min("component").alias("low"), F.max("component").alias("high"))
+    led = led.where("low < high").select("gram", "first.leader", "first.of")
+    pairs = rows.join(led, "gram").where("component <> of").groupBy("leader", "key").agg(F.count("*").alias("n"))
+    if tested is not None:
+        pairs = pairs.join(tested, ["leader", "key"], "left_anti")
+    best = pairs.groupBy("key").agg(F.max(F.struct("n", "leader")).alias("best"))
+    return best.select("best.leader", "key")
+
+
 def _links(sets: DataFrame) -> DataFrame:
     """``src, dst``: links that connect what all links connect.
 
-    The sets in a short list are compared with its smallest, those that are not linked with it with
-    the smallest of what is left, and so on for a few rounds. Members of a list that then
-    lie in different components are compared with each other, where their sizes and places allow
-    a link: exact, and linear where a list's members are copies of each other.
+    In turns, every set is compared with one leader of its short lists that lies in another
+    component, for as long as a turn links anything: most copies find one another there, with no more
+    comparisons than sets. Members of a list that then still lie in different components are compared
+    with each other, where their sizes and places allow a link, so nothing is left out.
     """
     lists = settle(_short_lists(sets), "lists")
-    leader = F.min("key").over(Window.partitionBy("gram"))
-    rows = lists.select("gram", "key").withColumn("leader", leader).where("key <> leader")
-    links = None
-    for _ in range(STAR_ROUNDS):
-        rows = settle(rows, "rows")
-        if rows.isEmpty():
+    none = sets.select(F.col("key").alias("leader"), "key").where(F.lit(False))
+    links, known, tested, turn = none, None, None, 0
+    while True:
+        asked = settle(_asked(lists, known, tested, turn), "asked")
+        if asked.isEmpty():
+            break
+        new = settle(_compare(asked, sets), "links")
+        if new.isEmpty():
             break
-        new = settle(_compare(rows.select("leader", "key").distinct(), sets), "links")
-        links = new if links is None else links.unionByName(new)
-        left = rows.join(new, ["leader", "key"], "left_anti").select("gram", "key")
-        rows = left.withColumn("leader", leader).where("key <> leader")
-    if links is None:
-        return sets.select(F.col("key").alias("src"), F.col("key").alias("dst")).where(F.lit(False))
-    known = settle(connected_components(links, "leader", "key").withColumnRenamed("node", "key"), "known")
-    placed = lists.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    mixed = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = settle(placed.join(mixed.select("gram"), "gram"), "mixed")
+        links = links.unionByName(new)
+        tested = asked if tested is None else tested.unionByName(asked)
+        known = settle(connected_components(links, "leader", "key").withColumnRenamed("node", "key"), "known")
+        turn += 1
+    rows = lists.withColumn("component", F.col("key")) if known is None else lists.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    mixed = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    placed = settle(rows.join(mixed.select("gram"), "gram"), "mixed")
     other = placed.select("gram", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "at", "component")])
     # What may still be shared from this place on, in either set.
     bound = F.least(F.col("n") - F.col("at"), F.col("n_") - F.col("at_")) + F.least("at", "at_")
     pairs = placed.join(other, "gram").where("component < component_").where(_fits(F.col("n"), F.col("n_")))
     pairs = pairs.where((100 + LIKE) * bound >= LIKE * (F.col("n") + F.col("n_")))
     pairs = pairs.select(F.least("key", "key_").alias("leader"), F.greatest("key", "key_").alias("key")).distinct()
-    every = links.unionByName(_compare(pairs, sets))
+    every = links.unionByName(_compare(settle(pairs, "pairs"), sets))
     return every.select(F.col("leader").alias("src"), F.col("key").alias("dst"))
 
 
@@ -259,7 +274,7 @@ def linked_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     some = keys.where("n_shingles > 0")
     distinct = some.groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"))
     distinct = distinct.withColumn("doc_id", F.when(F.col("doc_id") < NO_ID, F.col("doc_id")))
-    twice = not keys.groupBy("doc_id").count().where("count > 1").isEmpty()
+    twice = not keys.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty()
     active = settle(_active(_heads(rows, distinct).distinct() if twice else _heads(rows, distinct)), "active")
     sets = settle(_sets_of(rows, distinct.join(active, "key"), twice), "sets")
     ends = connected_components(_links(sets)).select(F.col("node").alias("key"), F.col("component").alias("class"))

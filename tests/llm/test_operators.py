@@ -338,6 +338,26 @@ def test_links_are_those_of_brute_force(spark, odd, empty):
     assert ngramjoin.linked_documents(odd).count() == 13
 
 
+def test_links_of_near_copies_and_of_rows_without_ids(spark):
+    rng = random.Random(8)
+    base = prose(rng, 200).split()
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(len(words))] = "new" + str(rng.randrange(10**6))
+        rows.append((i, " ".join(words)))
+    schema = "doc_id bigint, text string"
+    out = ngramjoin.linked_documents(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(map(tuple, out)) == sorted(plain_components(rows))
+    # Without ids every second row: sizes stay, and a component is named by an id that is there.
+    some = [(i if i % 2 else None, t) for i, t in rows]
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in ngramjoin.linked_documents(spark.createDataFrame(some, schema)).collect()}
+    root = {i: c for i, _, c in plain_components(rows)}
+    least = {c: min((i for i, d in root.items() if d == c and i % 2), default=None) for c in set(root.values())}
+    assert {(i, c) for i, _, c in found if i is not None} == {(i, least[root[i]]) for i, _ in rows if i % 2}
+
+
 def test_divide_skip_is_exact():
     rng = np.random.default_rng(3)
     for _ in range(50):
