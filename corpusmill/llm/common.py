@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.session import materialize
+from corpusmill.session import materialize, scratch_path
 
 # Stands for a missing document id: such rows count as one document after all others.
 NO_ID = 2**63 - 1
@@ -111,3 +111,17 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     table = materialize(df, label)
     df.sparkSession.sparkContext._jvm.System.gc()
     return table
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, and its path for ``release``."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Removes tables of ``written`` that no later step reads; what came of them is written itself."""
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

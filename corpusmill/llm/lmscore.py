@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import hashed_words, id_and_text, mix, partitions, settle, split_words, table, text_slices
+from corpusmill.llm.common import hashed_words, id_and_text, mix, partitions, release, settle, split_words, table, text_slices, written
 from corpusmill.llm.trie import NgramTrie, distinct_rows
 
 # Fixed values of the contract: which documents are held out.
@@ -17,10 +17,10 @@ PARTS, HELD_OUT = 7, 2
 # How much the estimates after one and after two words weigh against those of the order below.
 SECOND, THIRD = 0.6, 0.5
 # Bytes of text in a block of documents, tokens per shard of n-grams, words of blocks per shard of words.
-BLOCK_BYTES, SHARD_TOKENS, SHARD_WORDS = 6 << 20, 700_000, 1_000_000
+BLOCK_BYTES, SHARD_TOKENS, SHARD_WORDS = 6 << 20, 400_000, 1_000_000
 # The n-grams of a middle word that is more frequent than this are spread over all shards, and bring the
 # counts of their pairs along. The model is the same whatever the bound.
-SPLIT = SHARD_TOKENS // 4
+SPLIT = 150_000
 # Words that no text holds: the end of a text, what comes before it, and any unknown word.
 END, BEGIN, UNKNOWN, RAISED = np.uint64(1), -2, -1, 4
 
@@ -316,11 +316,23 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-_SUMS = "block bigint, doc int, n_tokens bigint, n_known bigint, base_score double, score double"
+def _base_sums(ready: DataFrame, shared) -> DataFrame:
+    """``block, doc, n_tokens, n_known, base_score``: what takes single words alone."""
+
+    def sums(batches):
+        counts = shared.value
+        for row in _rows(batches):
+            _, _, c, doc = _sequences(row)
+            size = len(row["counts"])
+            columns = [np.full(size, row["block"], np.int64), np.arange(size, dtype=np.int32), np.asarray(row["counts"], np.int64)]
+            columns += [np.bincount(doc, counts.of(c) > 0, size).astype(np.int64), np.bincount(doc, counts.log_single(c), size)]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["block", "doc", "n_tokens", "n_known", "base_score"])
+
+    return ready.mapInArrow(sums, "block bigint, doc int, n_tokens bigint, n_known bigint, base_score double")
 
 
 def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
-    """``_SUMS`` by shard: builds the trie of a shard's training n-grams, then scores all of its own."""
+    """``block, doc, score`` by shard: builds the trie of a shard's training n-grams, then scores all of its own."""
 
     def score(batches):
         counts = shared.value
@@ -336,6 +348,8 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
             blocks = np.concatenate([np.full(len(p[0]), i) for i, (_, p) in enumerate(pieces)])
             # Columns 0, 1 and 4 are gaps.
             b, c, a, mark, after, context = (np.concatenate([np.cumsum(p[k]) if k in (0, 1, 4) else p[k] for _, p in pieces]) for k in range(6))
+            names = np.array([block for block, _ in pieces], np.int64)
+            pieces.clear()
             a = a + RAISED
             spread = counts.split(b)
             used = np.flatnonzero((mark & 1 == 0) | spread)
@@ -352,17 +366,14 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
                 s = slice(x, x + (1 << 19))
                 logs[s] = trie.score(a[s], b[s] + RAISED, c[s] + RAISED, unseen, THIRD) if trie else counts.log_unseen(b[s], c[s])
             key, where = np.unique(blocks << 32 | mark >> 1, return_inverse=True)
-            names = np.array([block for block, _ in pieces], np.int64)[key >> 32]
-            sums = [np.bincount(where, weights, len(key)) for weights in (None, counts.of(c) > 0, counts.log_single(c), logs)]
-            columns = [pa.array(names), pa.array((key & 0xFFFFFFFF).astype(np.int32))]
-            columns += [pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(sums[3])]
-            return pa.RecordBatch.from_arrays(columns, names=["block", "doc", "n_tokens", "n_known", "base_score", "score"])
+            columns = [pa.array(names[key >> 32]), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(np.bincount(where, logs, len(key)))]
+            return pa.RecordBatch.from_arrays(columns, names=["block", "doc", "score"])
 
         for _, pieces in _groups(batches):
             yield finish(pieces)
 
     placed = routed.repartition(max(shards, 1), "shard").sortWithinPartitions("shard")
-    return placed.mapInArrow(score, _SUMS)
+    return placed.mapInArrow(score, "block bigint, doc int, score double")
 
 
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -383,10 +394,10 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % PARTS == HELD_OUT, F.lit(False))
     rows = id_and_text(docs, doc_id, text).withColumn("held", held)
-    blocks = settle(token_blocks(rows), "blocks")
+    blocks, first = written(token_blocks(rows), "blocks")
     per_block = F.size("words"), F.size(F.filter("held", lambda h: ~h)), F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)
     asked, texts, every = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in per_block]).first()
-    lexicon = settle(_word_shards(blocks, max(partitions(spark), -(-asked // SHARD_WORDS))), "lexicon")
+    lexicon, second = written(_word_shards(blocks, max(partitions(spark), -(-asked // SHARD_WORDS))), "lexicon")
     numbered, firsts = _number_words(lexicon)
     steps = sorted((r.first, r.n, r.m) for r in firsts.collect())
     words, tokens = sum(m for _, _, m in steps), sum(n * m for _, n, m in steps)
@@ -394,18 +405,20 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     shared = spark.sparkContext.broadcast(known)
     # Both the hashes of words and the shards of them are in rising order.
     numbers = numbered.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "numbers"))).alias("parts"))
-    lean = blocks.select("block", "held", "counts", "tokens")
+    lean = blocks.select("block", "ids", "held", "counts", "tokens")
     ready = settle(lean.join(numbers, "block").select("*", F.col("parts.numbers").alias("numbers")).drop("parts"), "ready")
+    release(spark, first, second)
+    encoded = ready.drop("ids")
     shards = max(partitions(spark), -(-every // SHARD_TOKENS))
-    totals = settle(_pair_counts(ready, shared, shards), "totals")
+    totals = settle(_pair_counts(encoded, shared, shards), "totals")
     found = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "totals"))).alias("found"))
     totals = F.coalesce(F.col("found.totals"), F.array().cast("array<binary>")).alias("totals")
-    ready = ready.join(found, "block", "left").select(*ready.columns, totals)
-    sums = _score_shards(_route(ready, shared, shards), shared, shards)
-    totals = sums.groupBy("block", "doc").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
-    names = blocks.select("block", F.posexplode(F.arrays_zip("ids", "held")).alias("doc", "of"))
+    asking = encoded.join(found, "block", "left").select(*encoded.columns, totals)
+    sums = _score_shards(_route(asking, shared, shards), shared, shards)
+    scores = sums.groupBy("block", "doc").agg(F.sum("score").alias("score"))
+    names = ready.select("block", F.posexplode(F.arrays_zip("ids", "held")).alias("doc", "of"))
     named = names.select("block", "doc", F.col("of.ids").alias("doc_id"), F.col("of.held").alias("held_out"))
-    return named.join(totals, ["block", "doc"]).select(
+    return named.join(_base_sums(encoded, shared), ["block", "doc"]).join(scores, ["block", "doc"]).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )
 
