@@ -316,23 +316,34 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def _base_sums(ready: DataFrame, shared) -> DataFrame:
-    """``block, doc, n_tokens, n_known, base_score``: what takes single words alone."""
+def _documents(ready: DataFrame, shared) -> DataFrame:
+    """One row per document from its block and the sums that the shards made of it (``sums``)."""
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
-    def sums(batches):
+    def documents(batches):
         counts = shared.value
-        for row in _rows(batches):
-            _, _, c, doc = _sequences(row)
-            size = len(row["counts"])
-            columns = [np.full(size, row["block"], np.int64), np.arange(size, dtype=np.int32), np.asarray(row["counts"], np.int64)]
-            columns += [np.bincount(doc, counts.of(c) > 0, size).astype(np.int64), np.bincount(doc, counts.log_single(c), size)]
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["block", "doc", "n_tokens", "n_known", "base_score"])
-
-    return ready.mapInArrow(sums, "block bigint, doc int, n_tokens bigint, n_known bigint, base_score double")
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                ids = one.column(one.schema.names.index("ids")).flatten()
+                row = next(_rows([one.select([n for n in one.schema.names if n != "ids"])]))
+                _, _, c, doc = _sequences(row)
+                size = len(row["counts"])
+                score = np.zeros(size)
+                for part in row["sums"]:
+                    gaps, logs = _unpack(part)
+                    score[np.cumsum(gaps)] += logs.astype(np.int32).view(np.float32)
+                columns = [ids, pa.array(row["held"], pa.bool_()), pa.array(np.asarray(row["counts"], np.int64))]
+                columns += [pa.array(np.bincount(doc, counts.of(c) > 0, size).astype(np.int64)), pa.array(np.bincount(doc, counts.log_single(c), size)), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return ready.mapInArrow(documents, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
-    """``block, doc, score`` by shard: builds the trie of a shard's training n-grams, then scores all of its own."""
+    """``block, sums`` by shard: builds the trie of a shard's training n-grams, then scores all of its own.
+    A block's sums by document are one row, as gaps and single-precision bits: rows of their
+    own would be as many as a good part of the tokens."""
 
     def score(batches):
         counts = shared.value
@@ -366,14 +377,18 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
                 s = slice(x, x + (1 << 19))
                 logs[s] = trie.score(a[s], b[s] + RAISED, c[s] + RAISED, unseen, THIRD) if trie else counts.log_unseen(b[s], c[s])
             key, where = np.unique(blocks << 32 | mark >> 1, return_inverse=True)
-            columns = [pa.array(names[key >> 32]), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(np.bincount(where, logs, len(key)))]
-            return pa.RecordBatch.from_arrays(columns, names=["block", "doc", "score"])
+            sums = np.bincount(where, logs, len(key)).astype(np.float32).view(np.int32)
+            edges = np.flatnonzero(np.diff(key >> 32, prepend=-1, append=-1))
+            doc = key & 0xFFFFFFFF
+            data = [_pack(np.diff(doc[x:y], prepend=0)) + _pack(sums[x:y].astype(np.int64)) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+            columns = [pa.array(names[key[edges[:-1]] >> 32]), pa.array(data, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["block", "sums"])
 
         for _, pieces in _groups(batches):
             yield finish(pieces)
 
     placed = routed.repartition(max(shards, 1), "shard").sortWithinPartitions("shard")
-    return placed.mapInArrow(score, "block bigint, doc int, score double")
+    return placed.mapInArrow(score, "block bigint, sums binary")
 
 
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -415,12 +430,9 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     totals = F.coalesce(F.col("found.totals"), F.array().cast("array<binary>")).alias("totals")
     asking = encoded.join(found, "block", "left").select(*encoded.columns, totals)
     sums = _score_shards(_route(asking, shared, shards), shared, shards)
-    scores = sums.groupBy("block", "doc").agg(F.sum("score").alias("score"))
-    names = ready.select("block", F.posexplode(F.arrays_zip("ids", "held")).alias("doc", "of"))
-    named = names.select("block", "doc", F.col("of.ids").alias("doc_id"), F.col("of.held").alias("held_out"))
-    return named.join(_base_sums(encoded, shared), ["block", "doc"]).join(scores, ["block", "doc"]).select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
-    )
+    by_block = sums.groupBy("block").agg(F.collect_list("sums").alias("sums"))
+    scored = _documents(ready.join(by_block, "block"), shared)
+    return scored.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
 
 
 def op10_lm_scoring(spark, folder: str) -> DataFrame:
