@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import NO_ID, hashed_words, mix, settle, shingles, split_words, table, text_slices
+from corpusmill.llm.common import NO_ID, hashed_words, mix, partitions, settle, shingles, split_words, table, text_slices
 from corpusmill.operators.components import connected_components
+from corpusmill.operators.skew import join_counted
 
 # Fixed values of the contract: words of a shingle; 100 * shared >= LIKE * union.
 SHINGLE, LIKE = 4, 85
+# Sets and shingles in a block of sets that one task searches; turns of single comparisons go on
+# while one in so many links. None of these changes a result.
+MEMBERS, GRAMS, WORTH = 1000, 2_000_000, 4
 
 
 def shingle_sets(bodies: list[str]) -> list[np.ndarray]:
@@ -107,43 +110,77 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
     return found.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]) if repeated else found
 
 
-def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
-    """Which of ``sets`` are linked to ``query``: T-occurrence search by DivideSkip.
+def _occurrences(n: int, lists: list[np.ndarray], sizes: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
+    """T-occurrence search by DivideSkip: the sets that share enough with a query of ``n`` shingles,
+    given the sorted list of holders of each of its shingles that has any.
 
-    Each shingle of the query has the list of sets that hold it. The longest lists, one fewer
-    than the occurrences a result needs at least, are put aside. The others are merged by a
-    heap; a set met in them is then looked for in the long lists by binary search, as long as it can
-    still reach the occurrences that its own size asks for.
+    The longest lists, one fewer than the occurrences a result needs at least, are put aside. The
+    others are merged by a heap; the sets met in them (those ``wanted``) are then looked for in the
+    long lists by binary search, as long as they can still reach the occurrences that their own size
+    asks for.
     """
-    n = len(query)
-    tokens = np.concatenate(sets)
-    owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    place = np.searchsorted(query, tokens)
-    held = query[np.minimum(place, n - 1)] == tokens
-    order = np.lexsort((owners[held], place[held]))
-    place, owners = place[held][order], owners[held][order]
-    edges = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
-    lists = [owners[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    lists.sort(key=len)
+    lists = sorted(lists, key=len)
     aside = min(least_overlap(n) - 1, len(lists))
     short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
     counts: dict[int, int] = {}
-    for candidate in heapq.merge(*short):
+    for candidate in heapq.merge(*[postings.tolist() for postings in short]):
         counts[candidate] = counts.get(candidate, 0) + 1
-    found = []
-    for candidate, count in counts.items():
-        # 100 * shared >= LIKE * (both - shared)
-        needed = -(-LIKE * (n + len(sets[candidate])) // (100 + LIKE))
-        left = len(long)
-        for postings in long:
-            if count >= needed or count + left < needed:
-                break
-            left -= 1
-            at = bisect_left(postings, candidate)
-            count += at < len(postings) and postings[at] == candidate
-        if count >= needed:
-            found.append(candidate)
-    return sorted(found)
+    met = np.fromiter(counts.keys(), np.int64, len(counts))
+    count = np.fromiter(counts.values(), np.int64, len(counts))
+    if wanted is not None:
+        met, count = met[wanted[met]], count[wanted[met]]
+    # 100 * shared >= LIKE * (both - shared)
+    needed = -(-LIKE * (n + sizes[met]) // (100 + LIKE))
+    for left, postings in zip(range(len(long), 0, -1), long, strict=True):
+        able = count + left >= needed
+        met, count, needed = met[able], count[able], needed[able]
+        if (count >= needed).all():
+            break
+        at = np.minimum(np.searchsorted(postings, met), len(postings) - 1)
+        count += postings[at] == met
+    return met[count >= needed]
+
+
+def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
+    """Which of ``sets`` are linked to ``query``; only lists of the query's own shingles are made."""
+    tokens = np.concatenate(sets)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owners = np.repeat(np.arange(len(sets)), sizes)
+    place = np.searchsorted(query, tokens)
+    held = query[np.minimum(place, len(query) - 1)] == tokens
+    order = np.lexsort((owners[held], place[held]))
+    edges = np.flatnonzero(np.diff(place[held][order], prepend=-1, append=-1))
+    lists = np.split(owners[held][order], edges[1:-1]) if len(order) else []
+    return sorted(_occurrences(len(query), lists, sizes).tolist())
+
+
+def search_block(sets: list[np.ndarray], components: list, asks: np.ndarray, listed: np.ndarray):
+    """``(i, j)`` of linked sets, one that asks and one that is listed, enough of them to connect all
+    that such links connect. ``components`` are what earlier links connect; a set isn't compared with
+    those that it is connected to already."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    holders = np.flatnonzero(listed)
+    tokens = np.concatenate([sets[i] for i in holders])
+    owners = np.repeat(holders, sizes[holders])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owners = tokens[order], owners[order]
+    starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    distinct, ends = tokens[starts], np.append(starts[1:], len(tokens))
+    _, root = np.unique(np.array(components, np.int64), return_inverse=True)
+    both = bool((asks & listed).any())
+    for i in np.flatnonzero(asks).tolist():
+        # What both sides list is asked for once.
+        wanted = (root != root[i]) & (np.minimum(sizes, sizes[i]) * 100 >= LIKE * np.maximum(sizes, sizes[i]))
+        if both:
+            wanted[: i + 1] = False
+        if not wanted[holders].any():
+            continue
+        at = np.minimum(np.searchsorted(distinct, sets[i]), len(distinct) - 1)
+        lists = [owners[starts[p] : ends[p]] for p in at[distinct[at] == sets[i]].tolist()]
+        for j in _occurrences(int(sizes[i]), lists, sizes, wanted).tolist():
+            if root[i] != root[j]:
+                root[root == root[j]] = root[i]
+                yield i, j
 
 
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -222,13 +259,68 @@ def _asked(lists: DataFrame, known: DataFrame | None, tested: DataFrame | None,
     return best.select("best.leader", "key")
 
 
+def _blocks(lists: DataFrame, known: DataFrame | None) -> DataFrame:
+    """``unit, low, high, block, key, component``: which sets are searched together. Lists whose least
+    component is the same are one group, so that a set comes into few of them; of a group beyond
+    ``MEMBERS`` sets or ``GRAMS`` shingles every two blocks are a unit."""
+    rows = lists.select("gram", "key", "n")
+    rows = rows.withColumn("component", F.col("key")) if known is None else rows.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    mixed = rows.groupBy("gram").agg(F.min("component").alias("home"), F.max("component").alias("high")).where("home < high")
+    members = settle(rows.join(mixed.select("gram", "home"), "gram").select("home", "key", "n", "component").distinct(), "members")
+    sizes = members.groupBy("home").agg(
+        F.count("*").alias("n"), F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("n") / GRAMS)).alias("blocks")
+    )
+    placed = join_counted(members.drop("n"), settle(sizes, "sizes"), "home", members.count())
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("key"), "blocks"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    return placed.select(F.xxhash64("home", low, high).alias("unit"), low, high, "block", "key", "component")
+
+
+def _search(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """``leader, key``: links inside the units, each searched in one task."""
+
+    def flush(rows, sets):
+        low, high, block, keys, components = zip(*rows, strict=True)
+        asks, listed = np.array(block) == np.array(low), np.array(block) == np.array(high)
+        if not (asks.any() and listed.any()):
+            return None
+        found = list(search_block(sets, components, asks, listed))
+        columns = [pa.array([keys[pair[side]] for pair in found], pa.int64()) for side in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, names=["leader", "key"])
+
+    def search(batches):
+        unit, rows, held = None, [], []
+        for batch in batches:
+            at = batch.schema.names.index
+            lists = batch.column(at("grams"))
+            flat, edges = lists.flatten().to_numpy().view(np.uint64), np.asarray(lists.offsets, np.int64)
+            edges = edges - edges[0]
+            columns = [batch.column(at(n)).to_pylist() for n in ("unit", "low", "high", "block", "key", "component")]
+            for i, (of, *row) in enumerate(zip(*columns, strict=True)):
+                if of != unit and rows:
+                    if (out := flush(rows, held)) is not None:
+                        yield out
+                    rows, held = [], []
+                unit = of
+                rows.append(row)
+                held.append(flat[edges[i] : edges[i + 1]].copy())
+        if rows and (out := flush(rows, held)) is not None:
+            yield out
+
+    joined = blocks.join(sets.select("key", "grams"), "key")
+    placed = joined.repartition(partitions(sets.sparkSession), "unit").sortWithinPartitions("unit")
+    placed = placed.select("unit", "low", "high", "block", "key", "component", "grams")
+    return placed.mapInArrow(search, "leader bigint, key bigint")
+
+
 def _links(sets: DataFrame) -> DataFrame:
     """``src, dst``: links that connect what all links connect.
 
     In turns, every set is compared with one leader of its short lists that lies in another
-    component, for as long as a turn links anything: most copies find one another there, with no more
-    comparisons than sets. Members of a list that then still lie in different components are compared
-    with each other, where their sizes and places allow a link, so nothing is left out.
+    component, for as long as a good part of the comparisons links: most copies find one another there,
+    with no more comparisons than sets. Sets whose lists then still hold several components are searched,
+    all of a list against all, so nothing is left out; only links come out of the tasks.
     """
     lists = settle(_short_lists(sets), "lists")
     none = sets.select(F.col("key").alias("leader"), "key").where(F.lit(False))
@@ -238,22 +330,15 @@ def _links(sets: DataFrame) -> DataFrame:
         if asked.isEmpty():
             break
         new = settle(_compare(asked, sets), "links")
-        if new.isEmpty():
+        linked = new.count()
+        if linked:
+            links = links.unionByName(new)
+            known = settle(connected_components(links, "leader", "key").withColumnRenamed("node", "key"), "known")
+        if linked * WORTH < asked.count():
             break
-        links = links.unionByName(new)
         tested = asked if tested is None else tested.unionByName(asked)
-        known = settle(connected_components(links, "leader", "key").withColumnRenamed("node", "key"), "known")
         turn += 1
-    rows = lists.withColumn("component", F.col("key")) if known is None else lists.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    mixed = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = settle(rows.join(mixed.select("gram"), "gram"), "mixed")
-    other = placed.select("gram", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "at", "component")])
-    # What may still be shared from this place on, in either set.
-    bound = F.least(F.col("n") - F.col("at"), F.col("n_") - F.col("at_")) + F.least("at", "at_")
-    pairs = placed.join(other, "gram").where("component < component_").where(_fits(F.col("n"), F.col("n_")))
-    pairs = pairs.where((100 + LIKE) * bound >= LIKE * (F.col("n") + F.col("n_")))
-    pairs = pairs.select(F.least("key", "key_").alias("leader"), F.greatest("key", "key_").alias("key")).distinct()
-    every = links.unionByName(_compare(settle(pairs, "pairs"), sets))
+    every = links.unionByName(settle(_search(_blocks(lists, known), sets), "searched"))
     return every.select(F.col("leader").alias("src"), F.col("key").alias("dst"))
 
 

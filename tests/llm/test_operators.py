@@ -367,6 +367,27 @@ def test_divide_skip_is_exact():
         assert ngramjoin.divide_skip(query, sets) == wanted
 
 
+def test_search_of_blocks_connects_what_all_links_connect():
+    rng = np.random.default_rng(4)
+    for case in range(30):
+        base = np.unique(rng.integers(0, 10**6, 50))
+        sets = [np.unique(np.where(rng.random(len(base)) < rng.choice([0, 0.05, 0.2]), rng.integers(0, 10**6, len(base)), base)).astype(np.uint64) for _ in range(25)]
+        block = rng.integers(0, 2, 25) if case % 2 else np.zeros(25, int)
+        asks, listed = block == 0, block == (case % 2)
+        components = list(range(25)) if case % 3 else [i // 2 for i in range(25)]
+
+        def joined(pairs, components=components):
+            root = list(components)
+            for i, j in pairs:
+                root = [root[i] if r == root[j] else r for r in root]
+            return {tuple(k for k in range(25) if root[k] == r) for r in root}
+
+        links = [(i, j) for i in range(25) for j in range(25) if i != j and asks[i] and listed[j]
+                 and 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))]
+        found = list(ngramjoin.search_block(sets, components, asks, listed)) if asks.any() and listed.any() else []
+        assert set(found) <= set(links) and joined(found) == joined(links)
+
+
 @pytest.mark.parametrize("split", [0, 60, 1 << 40])
 def test_scores_are_those_of_the_formula(spark, odd, empty, monkeypatch, split):
     # The words' share of all tokens lies on both sides of 60; the model is one and the same.
