@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.session import materialize, scratch_path
+from corpusmill.operators.batches import text_slices  # noqa: F401
+from corpusmill.session import written
 
 # Stands for a missing document id: such rows count as one document after all others.
 NO_ID = 2**63 - 1
@@ -31,20 +31,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_slices(batches, limit: int = 4 << 20):
-    """Arrow batches with a column ``text``, cut so that each holds about ``limit`` bytes of
-    text. A single longer text is a batch of its own."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        column = batch.column(batch.schema.get_field_index("text"))
-        sizes = np.asarray(pc.binary_length(column).fill_null(0), dtype=np.int64)
-        group = np.cumsum(sizes) // limit
-        edges = np.flatnonzero(np.diff(group)) + 1
-        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
-            yield batch.slice(a, b - a)
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column without nulls, end to end, and its offsets."""
     column = column.cast(pa.large_string())
@@ -108,20 +94,11 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
 def settle(df: DataFrame, label: str) -> DataFrame:
     """``materialize``, after which the shuffle files that led to the table are let go: Spark
     removes them once the JVM has collected what refers to them."""
-    table = materialize(df, label)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return table
+    return settled(df, label)[0]
 
 
-def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``df`` as a table in the shared folder, and its path for ``release``."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def release(spark: SparkSession, *paths: str) -> None:
-    """Removes tables of ``written`` that no later step reads; what came of them is written itself."""
-    for path in paths:
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+def settled(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``settle``, and the table's path for ``release``."""
+    table, path = written(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return table, path

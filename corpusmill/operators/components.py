@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.skew import join_counted
-from corpusmill.session import materialize
+from corpusmill.session import release, written
 
 
 def _is_star_forest(arcs: DataFrame) -> bool:
@@ -17,10 +17,10 @@ def _is_star_forest(arcs: DataFrame) -> bool:
     return forked.isEmpty() and inner.isEmpty()
 
 
-def _star(arcs: DataFrame, total: int) -> DataFrame:
-    """Join every arc with the smallest neighbour of its node."""
-    least = arcs.groupBy("node").agg(F.min("other").alias("least"), F.count("*").alias("n"))
-    return join_counted(arcs, materialize(least, "least"), "node", total)
+def _star(arcs: DataFrame, total: int) -> tuple[DataFrame, str]:
+    """Join every arc with the smallest neighbour of its node, which a table of this path holds."""
+    least, path = written(arcs.groupBy("node").agg(F.min("other").alias("least"), F.count("*").alias("n")), "least")
+    return join_counted(arcs, least, "node", total), path
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -29,21 +29,24 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     Alternates the large-star and the small-star step (Kiveris and others, 2014) until
     only stars are left, which takes a number of rounds that grows with the logarithm of
     the graph's size. An arc leads from a larger ``node`` to a smaller ``other``; the steps
-    never add arcs beyond the first number of them.
+    never add arcs beyond the first number of them. Tables of earlier rounds are removed.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a <> b")
     ends = ends.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
-    current = materialize(ends.distinct(), "edges")
+    current, path = written(ends.distinct(), "edges")
     total = 2 * current.count()
     while not _is_star_forest(current):
         both = current.unionByName(current.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        large = _star(both, total).where("other > node")
+        large, first = _star(both, total)
+        large = large.where("other > node")
         large = large.select(F.col("other").alias("node"), F.least("least", "node").alias("other")).distinct()
         # Written, since the next step reads it four times.
-        large = materialize(large, "large")
-        small = _star(large, total)
+        large, second = written(large, "large")
+        small, third = _star(large, total)
         # Each smaller neighbour, and the node itself, hangs from the least of them.
         small = small.select(F.explode(F.array("node", "other")).alias("node"), F.col("least").alias("other"))
-        current = materialize(small.where("node <> other").distinct(), "edges")
+        before = path
+        current, path = written(small.where("node <> other").distinct(), "edges")
+        release(edges.sparkSession, before, first, second, third)
     leaves = current.select("node", F.col("other").alias("component"))
     return leaves.unionByName(leaves.select(F.col("component").alias("node"), "component").distinct())
