@@ -38,9 +38,9 @@ def shingle_sets(bodies: list[str]) -> list[np.ndarray]:
     return out
 
 
-def least_overlap(size):
+def least_overlap(size, like: int = LIKE):
     """Shingles that a set of this size shares with any set it is linked to, at least."""
-    return -(-LIKE * size // 100)
+    return -(-like * size // 100)
 
 
 def _key(grams: np.ndarray) -> int:
@@ -110,7 +110,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
     return found.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]) if repeated else found
 
 
-def _occurrences(n: int, lists: list[np.ndarray], sizes: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
+def _occurrences(n: int, lists: list[np.ndarray], sizes: np.ndarray, wanted: np.ndarray | None = None, like: int = LIKE) -> np.ndarray:
     """T-occurrence search by DivideSkip: the sets that share enough with a query of ``n`` shingles,
     given the sorted list of holders of each of its shingles that has any.
 
@@ -120,7 +120,7 @@ def _occurrences(n: int, lists: list[np.ndarray], sizes: np.ndarray, wanted: np.
     asks for.
     """
     lists = sorted(lists, key=len)
-    aside = min(least_overlap(n) - 1, len(lists))
+    aside = min(least_overlap(n, like) - 1, len(lists))
     short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
     counts: dict[int, int] = {}
     for candidate in heapq.merge(*[postings.tolist() for postings in short]):
@@ -129,8 +129,8 @@ def _occurrences(n: int, lists: list[np.ndarray], sizes: np.ndarray, wanted: np.
     count = np.fromiter(counts.values(), np.int64, len(counts))
     if wanted is not None:
         met, count = met[wanted[met]], count[wanted[met]]
-    # 100 * shared >= LIKE * (both - shared)
-    needed = -(-LIKE * (n + sizes[met]) // (100 + LIKE))
+    # 100 * shared >= like * (both - shared)
+    needed = -(-like * (n + sizes[met]) // (100 + like))
     for left, postings in zip(range(len(long), 0, -1), long, strict=True):
         able = count + left >= needed
         met, count, needed = met[able], count[able], needed[able]
@@ -141,7 +141,7 @@ def _occurrences(n: int, lists: list[np.ndarray], sizes: np.ndarray, wanted: np.
     return met[count >= needed]
 
 
-def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
+def divide_skip(query: np.ndarray, sets: list[np.ndarray], like: int = LIKE) -> list[int]:
     """Which of ``sets`` are linked to ``query``; only lists of the query's own shingles are made."""
     tokens = np.concatenate(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -151,10 +151,10 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
     order = np.lexsort((owners[held], place[held]))
     edges = np.flatnonzero(np.diff(place[held][order], prepend=-1, append=-1))
     lists = np.split(owners[held][order], edges[1:-1]) if len(order) else []
-    return sorted(_occurrences(len(query), lists, sizes).tolist())
+    return sorted(_occurrences(len(query), lists, sizes, None, like).tolist())
 
 
-def search_block(sets: list[np.ndarray], components: list, asks: np.ndarray, listed: np.ndarray):
+def search_block(sets: list[np.ndarray], components: list, asks: np.ndarray, listed: np.ndarray, like: int = LIKE):
     """``(i, j)`` of linked sets, one that asks and one that is listed, enough of them to connect all
     that such links connect. ``components`` are what earlier links connect; a set isn't compared with
     those that it is connected to already."""
@@ -170,20 +170,20 @@ def search_block(sets: list[np.ndarray], components: list, asks: np.ndarray, lis
     both = bool((asks & listed).any())
     for i in np.flatnonzero(asks).tolist():
         # What both sides list is asked for once.
-        wanted = (root != root[i]) & (np.minimum(sizes, sizes[i]) * 100 >= LIKE * np.maximum(sizes, sizes[i]))
+        wanted = (root != root[i]) & (np.minimum(sizes, sizes[i]) * 100 >= like * np.maximum(sizes, sizes[i]))
         if both:
             wanted[: i + 1] = False
         if not wanted[holders].any():
             continue
         at = np.minimum(np.searchsorted(distinct, sets[i]), len(distinct) - 1)
         lists = [owners[starts[p] : ends[p]] for p in at[distinct[at] == sets[i]].tolist()]
-        for j in _occurrences(int(sizes[i]), lists, sizes, wanted).tolist():
+        for j in _occurrences(int(sizes[i]), lists, sizes, wanted, like).tolist():
             if root[i] != root[j]:
                 root[root == root[j]] = root[i]
                 yield i, j
 
 
-def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _compare(pairs: DataFrame, sets: DataFrame, like: int) -> DataFrame:
     """``leader, key`` of the pairs that are linked. Pairs come by leader, so that one search
     serves many of them; a leader's pairs need not lie together."""
     joined = pairs.join(sets.select("key", F.col("grams").alias("b")), "key")
@@ -203,7 +203,7 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 return flat[offsets[row] : offsets[row + 1]]
 
             for leader, rows in first.items():
-                for hit in divide_skip(grams("a", rows[0]), [grams("b", r) for r in rows]):
+                for hit in divide_skip(grams("a", rows[0]), [grams("b", r) for r in rows], like):
                     out[0].append(leader)
                     out[1].append(int(keys[rows[hit]]))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["leader", "key"])
@@ -277,7 +277,7 @@ def _blocks(lists: DataFrame, known: DataFrame | None) -> DataFrame:
     return placed.select(F.xxhash64("home", low, high).alias("unit"), low, high, "block", "key", "component")
 
 
-def _search(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+def _search(blocks: DataFrame, sets: DataFrame, like: int) -> DataFrame:
     """``leader, key``: links inside the units, each searched in one task."""
 
     def flush(rows, sets):
@@ -285,7 +285,7 @@ def _search(blocks: DataFrame, sets: DataFrame) -> DataFrame:
         asks, listed = np.array(block) == np.array(low), np.array(block) == np.array(high)
         if not (asks.any() and listed.any()):
             return None
-        found = list(search_block(sets, components, asks, listed))
+        found = list(search_block(sets, components, asks, listed, like))
         columns = [pa.array([keys[pair[side]] for pair in found], pa.int64()) for side in (0, 1)]
         return pa.RecordBatch.from_arrays(columns, names=["leader", "key"])
 
@@ -314,22 +314,22 @@ def _search(blocks: DataFrame, sets: DataFrame) -> DataFrame:
     return placed.mapInArrow(search, "leader bigint, key bigint")
 
 
-def _links(sets: DataFrame) -> DataFrame:
-    """``src, dst``: links that connect what all links connect.
+def link_lists(lists: DataFrame, sets: DataFrame, like: int = LIKE) -> DataFrame:
+    """``src, dst``: links that connect what all links inside a list connect. ``lists`` (``gram, key, n``)
+    and ``sets`` (``key, n, grams``) are written tables; a link is ``like`` hundredths at least.
 
     In turns, every set is compared with one leader of its short lists that lies in another
     component, for as long as a good part of the comparisons links: most copies find one another there,
     with no more comparisons than sets. Sets whose lists then still hold several components are searched,
     all of a list against all, so nothing is left out; only links come out of the tasks.
     """
-    lists = settle(_short_lists(sets), "lists")
     none = sets.select(F.col("key").alias("leader"), "key").where(F.lit(False))
     links, known, tested, turn = none, None, None, 0
     while True:
         asked = settle(_asked(lists, known, tested, turn), "asked")
         if asked.isEmpty():
             break
-        new = settle(_compare(asked, sets), "links")
+        new = settle(_compare(asked, sets, like), "links")
         linked = new.count()
         if linked:
             links = links.unionByName(new)
@@ -338,7 +338,7 @@ def _links(sets: DataFrame) -> DataFrame:
             break
         tested = asked if tested is None else tested.unionByName(asked)
         turn += 1
-    every = links.unionByName(settle(_search(_blocks(lists, known), sets), "searched"))
+    every = links.unionByName(settle(_search(_blocks(lists, known), sets, like), "searched"))
     return every.select(F.col("leader").alias("src"), F.col("key").alias("dst"))
 
 
@@ -362,7 +362,7 @@ def linked_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     twice = not keys.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty()
     active = settle(_active(_heads(rows, distinct).distinct() if twice else _heads(rows, distinct)), "active")
     sets = settle(_sets_of(rows, distinct.join(active, "key"), twice), "sets")
-    ends = connected_components(_links(sets)).select(F.col("node").alias("key"), F.col("component").alias("class"))
+    ends = connected_components(link_lists(settle(_short_lists(sets), "lists"), sets)).select(F.col("node").alias("key"), F.col("component").alias("class"))
     holders = some.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     classed = holders.join(ends, "key", "left").withColumn("class", F.coalesce("class", "key"))
     least = classed.groupBy("class").agg(F.min("least").alias("component_id"))

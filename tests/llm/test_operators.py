@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 import zlib
@@ -550,3 +551,53 @@ def test_long_runs_have_the_ids_of_the_library(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for row in packing.cut_pieces(docs, context=1 << 24, ids=True).collect():
         assert row.ids == [*library.encode(texts[row.doc_id], add_special_tokens=False).ids, 2]
+
+
+def test_chains_of_like_passages_stay_together(spark):
+    rng = random.Random(15)
+    docs, wanted = [], set()
+    for chain in range(6):
+        part = [f"{w}{i}" for i, w in enumerate(prose(rng, 40).split())]
+        for k in range(12):
+            # Each is like the next two only.
+            part[2 * k : 2 * k + 2] = [f"c{chain}k{k}a", f"c{chain}k{k}b"]
+            docs.append((100 * chain + k, " ".join(part)))
+            wanted.add((100 * chain + k, 100 * chain))
+    found = repeats.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in found} == wanted
+
+
+def test_like_pairs_connect_what_all_pairs_connect():
+    rng = np.random.default_rng(16)
+
+    def components(n, pairs):
+        group = list(range(n))
+        for i, j in pairs:
+            low, high = sorted((group[i], group[j]))
+            group = [low if g == high else g for g in group]
+        return group
+
+    for trial in range(30):
+        n, shapes = int(rng.integers(1, 90)), [rng.choice(60, 20, replace=False) for _ in range(3)]
+        classes, sets = np.sort(rng.integers(0, 3, n)), []
+        for _ in range(n):
+            one = shapes[rng.integers(3)].copy()
+            one[rng.choice(20, 3, replace=False)] = rng.integers(100, 160, 3)
+            sets.append(np.unique(one).astype(np.uint64))
+        shared = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in range(n) for j in range(i) if classes[i] == classes[j]}
+        plain = [(i, j) for (i, j), s in shared.items() if 100 * s >= 80 * (len(sets[i]) + len(sets[j]) - s)]
+        assert components(n, plain) == components(n, zip(*(side.tolist() for side in repeats.like_pairs(classes, sets)), strict=True)), trial
+
+
+def test_scoring_leaves_no_tables_that_nothing_reads(spark):
+    from urllib.parse import urlparse
+
+    from corpusmill.session import scratch_root
+
+    rng = random.Random(17)
+    docs = spark.createDataFrame([(i, prose(rng, 40)) for i in range(60)], "doc_id long, text string")
+    folder = urlparse(scratch_root(spark)).path
+    before = set(os.listdir(folder))
+    assert lmscore.score_texts(docs).count() == 60
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert not left & {"blocks", "lexicon", "ready", "totals"}
