@@ -96,9 +96,17 @@ def shard_files(spark, folder):
     return files.shard_files(listed, SHARD_START, SHARD_FILES, "source")
 
 
+#: Folders that the documents to be scanned are dealt to.
+FOLDERS = 256
+
+
 def scan_documents(spark, folder):
+    """One file per document, in few folders: what a document costs is its file."""
     target = scratch_path(spark, "documents")
-    documents(spark, folder).write.partitionBy("doc_id").text(target)
+    texts = F.array_join(F.collect_list(F.coalesce("text", F.lit(""))), "\n")
+    whole = documents(spark, folder).groupBy("doc_id").agg(F.concat(texts, F.lit("\n")).alias("text"))
+    place = F.concat(F.pmod("doc_id", F.lit(FOLDERS)), F.lit("/doc_id="), "doc_id", F.lit(".txt"))
+    named.sink_named_documents(whole.withColumn("file_name", place), target)
     found = files.scan_documents(spark, target)
     number = F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint")
     return found.select(number.alias("doc_id"), F.regexp_replace("text", r"\n\z", "").alias("text"))

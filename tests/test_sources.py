@@ -1,4 +1,5 @@
 import gzip
+import os
 
 import pyarrow as pa
 import pytest
@@ -201,3 +202,19 @@ def test_a_failed_attempt_leaves_nothing(spark, tmp_path):
     assert all((tmp_path / "out" / f"{i}.txt").read_bytes() == b"x" * i for i in range(10))
     writer.abort(messages)
     assert not (tmp_path / "out" / "_staging").exists()
+
+
+def test_scanned_documents_lie_in_few_folders(spark, tmp_path):
+    from urllib.parse import urlparse
+
+    from checks.queries import FOLDERS, QUERIES
+    from corpusmill.session import scratch_root
+
+    rows = [(i, f"text {i}\nof two lines") for i in range(600)] + [(600, None), (601, ""), (602, "ends\n"), (603, "a\r\nb")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    root = urlparse(scratch_root(spark)).path
+    before = set(os.listdir(root))
+    found = {r.doc_id: r.text for r in QUERIES["scan_documents"](spark, str(tmp_path)).collect()}
+    assert found == dict(rows) | {600: "", 603: "a\nb"}
+    made = [name for name in set(os.listdir(root)) - before if name.startswith("documents")]
+    assert 0 < sum(len(folders) for name in made for _, folders, _ in os.walk(os.path.join(root, name))) <= FOLDERS
