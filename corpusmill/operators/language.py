@@ -8,13 +8,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import flatten_for_scoring
+from corpusmill.operators.batches import few_texts
 from corpusmill.operators.linear import MOST_LABELS, MOST_TEXTS, bounded_sample
 from corpusmill.session import materialize
 
@@ -102,14 +102,14 @@ def best_language(text: Column, model: LanguageModel) -> Column:
     weights[row, np.searchsorted(labels, cells["label"])] = cells["weight"]
     shared = SparkSession.active().sparkContext.broadcast((labels, grams, weights))
 
-    @F.pandas_udf("label string, confidence double")
-    def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("label string, confidence double")
+    def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names, known, cost = shared.value
-        for texts in batches:
-            rows = []
-            for body in texts:
+        for column in batches:
+            found, chance = [], []
+            for body in (body for texts in few_texts(column) for body in texts):
                 sums = np.zeros(len(names), np.int64)
-                codes = gram_codes(body or "")
+                codes = gram_codes(body)
                 # Some at a time, so a long text takes no more memory.
                 for a in range(0, len(codes), 1 << 16):
                     part = codes[a : a + (1 << 16)]
@@ -118,7 +118,8 @@ def best_language(text: Column, model: LanguageModel) -> Column:
                     at = np.where(known[at] == part, at, len(known)) if len(known) else at * 0
                     sums += np.bincount(at, minlength=len(known) + 1) @ cost
                 k = int(sums.argmax())
-                rows.append((names[k], float(1 / np.exp((sums - sums[k]) / UNIT).sum())))
-            yield pd.DataFrame(rows, columns=["label", "confidence"])
+                found.append(names[k])
+                chance.append(float(1 / np.exp((sums - sums[k]) / UNIT).sum()))
+            yield pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(chance, pa.float64())], ["label", "confidence"])
 
     return best(text)

@@ -14,6 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators.batches import few_texts, text_slices
 from corpusmill.operators.ranks import seeded_hash
 from corpusmill.session import materialize
 
@@ -31,18 +32,19 @@ LEAST_TEXTS, LEAST_DEVIATIONS = 3, 2.0
 MOST_LABELS = 64
 # Pieces in which parameters travel.
 PIECES = 32
-_REMEMBERED = 1 << 17
+_REMEMBERED = 1 << 16
 
 
 class _Buckets(dict):
     """Remembers the buckets of words met: the word itself and its runs of ``PART`` letters."""
 
-    def __missing__(self, word: str) -> list[int]:
+    def __missing__(self, word: str) -> np.ndarray:
         if len(self) >= _REMEMBERED:
             self.clear()
         marked = f"<{word}>"
         parts = [f"\0{marked[i : i + PART]}" for i in range(len(marked) - PART + 1)]
-        value = self[word] = [xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in (word, *parts)]
+        found = [xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in (word, *parts)]
+        value = self[word] = np.array(found, np.int32)
         return value
 
 
@@ -52,7 +54,7 @@ _MET = _Buckets()
 def buckets_of(text: str) -> np.ndarray:
     """The distinct buckets of a text, in order. How often one occurs does not count, so a few
     telling words show in a long text."""
-    return np.unique(np.array([b for word in set(text.split()) for b in _MET[word]], np.int64))
+    return np.unique(np.concatenate([np.zeros(0, np.int32), *map(_MET.__getitem__, set(text.split()))])).astype(np.int64)
 
 
 def bounded_sample(examples: DataFrame, label: str, most: int, key: str | None = None, seed: int = 0) -> DataFrame:
@@ -133,16 +135,18 @@ def best_label(text: Column, model: LinearModel) -> Column:
     context = SparkSession.active().sparkContext
     shared = context.broadcast(model)
 
-    @F.pandas_udf(_BEST)
-    def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_BEST)
+    def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
-        for texts in batches:
+        for column in batches:
             # A few texts at a time: long ones have many buckets.
-            rows = []
-            for a in range(0, len(texts), STEP):
-                chance = own.chances(own.mean([buckets_of(t or "") for t in texts[a : a + STEP]])[3])
-                rows += [(own.labels[k], float(c[k])) for c, k in zip(chance, chance.argmax(axis=1), strict=True)]
-            yield pd.DataFrame(rows, columns=["label", "confidence"])
+            rows = [np.zeros((0, len(own.labels)))]
+            for texts in few_texts(column):
+                for a in range(0, len(texts), STEP):
+                    rows.append(own.chances(own.mean([buckets_of(t) for t in texts[a : a + STEP]])[3]))
+            chance = np.concatenate(rows)
+            labels = pa.array(own.labels, pa.string()).take(pa.array(chance.argmax(axis=1)))
+            yield pa.StructArray.from_arrays([labels, pa.array(chance.max(axis=1, initial=0).astype(np.float64))], ["label", "confidence"])
 
     return best(text)
 
@@ -179,7 +183,7 @@ def train_linear(examples: DataFrame, label: str = "label", text: str = "text",
     )
 
     def prepare(batches):
-        for batch in batches:
+        for batch in text_slices(batches, 1 << 20):
             ids = [buckets_of(t).astype(np.int32) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(ids, pa.list_(pa.int32()))], names=["label", "ids"])
 

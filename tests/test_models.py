@@ -105,3 +105,18 @@ def test_runs_are_counted_as_in_a_plain_loop(spark):
                 plain[label, flat[i : i + 3]] = plain.get((label, flat[i : i + 3]), 0) + 1
     counted = language.count_grams(spark.createDataFrame(rows, "label string, text string")).collect()
     assert {(r.label, r.gram): r.n for r in counted} == plain and len(counted) == len(plain)
+
+
+def test_long_batches_are_cut():
+    import pyarrow as pa
+
+    from corpusmill.operators.batches import cut, few_texts, text_slices
+
+    texts = ["x" * 400, None, "", "y" * 5000, *["z" * 300] * 40]
+    parts = list(few_texts(pa.array(texts), 1000))
+    assert [t for part in parts for t in part] == [t or "" for t in texts]
+    assert all(len(part) == 1 or sum(map(len, part)) <= 2000 for part in parts if "y" * 5000 not in part)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(44)), pa.array(texts)], names=["n", "text"])
+    slices = list(text_slices([batch, batch.slice(0, 0)], 1000))
+    assert len(slices) > 10 and sum(s.num_rows for s in slices) == 44
+    assert cut(np.zeros(0, np.int64), 5) == [] and cut(np.array([0, 0, 9, 1]), 5)[-1][1] == 4
