@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.text import word_tokens
+from corpusmill.operators.batches import cut
 from corpusmill.operators.ranks import running_offsets
 from corpusmill.session import materialize
 
@@ -16,6 +18,8 @@ UNKNOWN, END_OF_TEXT, FIRST_WORD = 0, 1, 2
 # The vocabulary size of the training run, and what 16-bit ids can name.
 VOCABULARY = 50_257
 ID_LIMIT = 1 << 16
+# Tokens looked up at a time, at least one document.
+_TOKENS = 1 << 18
 
 
 def build_vocab(docs: DataFrame, size: int = VOCABULARY, text: str = "text") -> DataFrame:
@@ -58,18 +62,17 @@ def encode_tokens(
     def look_up(batches):
         known = pa.array(shared.value, pa.string())
         for batch in batches:
-            lists = batch.column(1)
-            if len(lists) == 0:
-                continue
-            place = pc.index_in(lists.flatten().cast(pa.string()), value_set=known)
-            ids = pc.fill_null(pc.add(place, FIRST_WORD), UNKNOWN).cast(pa.int32())
-            base = lists.offsets[0].as_py()
-            offsets = pc.subtract(lists.offsets, base).cast(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, ids)], [doc_id, "ids"])
-
-    cut = docs.select(doc_id, word_tokens(F.col(text)).alias("words"))
+            # Some at a time: ids and what leads to them are several times as many bytes as short words.
+            for a, b in cut(np.asarray(pc.list_value_length(batch.column(1)).fill_null(0), np.int64), _TOKENS):
+                keys, lists = (column.slice(a, b - a) for column in batch.columns)
+                place = pc.index_in(lists.flatten().cast(pa.string()), value_set=known)
+                ids = pc.fill_null(pc.add(place, FIRST_WORD), UNKNOWN).cast(pa.int32())
+                offsets = pc.subtract(lists.offsets, lists.offsets[0]).cast(pa.int32())
+                yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, ids)], [doc_id, "ids"])
+
+    split = docs.select(doc_id, word_tokens(F.col(text)).alias("words"))
     kept = T.StructType([docs.schema[doc_id], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    encoded = cut.mapInArrow(look_up, kept)
+    encoded = split.mapInArrow(look_up, kept)
     return encoded.select(doc_id, F.array_append("ids", END_OF_TEXT).alias("tokens"))
 
 
