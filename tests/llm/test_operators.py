@@ -557,11 +557,10 @@ def test_chains_of_like_passages_stay_together(spark):
     rng = random.Random(15)
     docs, wanted = [], set()
     for chain in range(6):
-        part = [f"{w}{i}" for i, w in enumerate(prose(rng, 40).split())]
+        words = [f"{w}{i}" for i, w in enumerate(prose(rng, 64).split())]
         for k in range(12):
-            # Each is like the next two only.
-            part[2 * k : 2 * k + 2] = [f"c{chain}k{k}a", f"c{chain}k{k}b"]
-            docs.append((100 * chain + k, " ".join(part)))
+            # Each is like the next two only: they share 34 and 32 of 36 shingles.
+            docs.append((100 * chain + k, " ".join(words[2 * k : 2 * k + 40])))
             wanted.add((100 * chain + k, 100 * chain))
     found = repeats.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.first_doc_id) for r in found} == wanted
