@@ -422,18 +422,19 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # Both the hashes of words and the shards of them are in rising order.
     numbers = numbered.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "numbers"))).alias("parts"))
     lean = blocks.select("block", "ids", "held", "counts", "tokens")
-    ready, third = settled(lean.join(numbers, "block").select("*", F.col("parts.numbers").alias("numbers")).drop("parts"), "ready")
+    ready = settle(lean.join(numbers, "block").select("*", F.col("parts.numbers").alias("numbers")).drop("parts"), "ready")
     release(spark, first, second)
+    encoded = ready.drop("ids")
     shards = max(partitions(spark), -(-every // SHARD_TOKENS))
-    totals, fourth = settled(_pair_counts(ready.drop("ids"), shared, shards), "totals")
+    totals, third = settled(_pair_counts(encoded, shared, shards), "totals")
     found = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "totals"))).alias("found"))
     totals = F.coalesce(F.col("found.totals"), F.array().cast("array<binary>")).alias("totals")
-    # Written, so that the blocks are not shuffled beside the n-grams, which are the most there is at a time.
-    asking = settle(ready.join(found, "block", "left").select(*ready.columns, totals), "asking")
-    release(spark, third, fourth)
-    sums = settle(_score_shards(_route(asking.drop("ids"), shared, shards), shared, shards), "sums")
+    asking = encoded.join(found, "block", "left").select(*encoded.columns, totals)
+    # Written, so that the blocks are not shuffled once more beside the n-grams, which are the most there is at a time.
+    sums = settle(_score_shards(_route(asking, shared, shards), shared, shards), "sums")
+    release(spark, third)
     by_block = sums.groupBy("block").agg(F.collect_list("sums").alias("sums"))
-    scored = _documents(asking.drop("totals").join(by_block, "block"), shared)
+    scored = _documents(ready.join(by_block, "block"), shared)
     return scored.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
 
 
