@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -9,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import hashed_words, id_and_text, mix, partitions, settle, settled, split_words, table, text_slices
+from corpusmill.llm.common import coded_words, id_and_text, mix, partitions, settle, settled, table, text_slices
 from corpusmill.llm.trie import NgramTrie, distinct_rows
 from corpusmill.session import release, written
 
@@ -28,12 +30,15 @@ END, BEGIN, UNKNOWN, RAISED = np.uint64(1), -2, -1, 4
 _BLOCKS = "block bigint, ids array<bigint>, held array<boolean>, counts array<bigint>, words array<bigint>, tokens binary"
 
 
+_SQUEEZE, _EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _squeeze(array: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
+    return _SQUEEZE.compress(array.tobytes())
 
 
 def _expand(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    return np.frombuffer(_EXPAND.decompress(data), kind)
 
 
 def token_blocks(docs: DataFrame) -> DataFrame:
@@ -42,27 +47,30 @@ def token_blocks(docs: DataFrame) -> DataFrame:
     def emit(batches):
         names = ["block", "ids", "held", "counts", "words", "tokens"]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-        ids, held, counts, tokens, size = [], [], [], [], 0
+        ids, held, counts, hashes, tokens, size = [], [], [], [], [], 0
         context, done = TaskContext.get(), 0
 
         def flush():
-            words, local = np.unique(np.concatenate(tokens), return_inverse=True)
-            row = [context.partitionId() << 32 | done, ids, held, np.concatenate(counts), words.view(np.int64), _squeeze(local.astype(np.int32))]
+            # The end is no word: it is put in by its own number.
+            words, place = np.unique(np.concatenate([[END], *hashes]), return_inverse=True)
+            place, at, local = place.astype(np.int32), 1, []
+            for found, which, n in zip(hashes, tokens, counts, strict=True):
+                local.append(np.insert(place[at : at + len(found)][which], np.cumsum(n - 1), place[0]))
+                at += len(found)
+            row = [context.partitionId() << 32 | done, ids, held, np.concatenate(counts), words.view(np.int64), _squeeze(np.concatenate(local))]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in text_slices(batches):
-            split = [split_words(b) for b in batch.column(1).to_pylist()]
-            # The end is no word: it is put in by its own number.
-            words, n = hashed_words(split)
-            ends = np.cumsum(n)
-            tokens.append(np.insert(words, ends, END))
+            found, which, n = coded_words(batch.column(1))
+            hashes.append(found)
+            tokens.append(which)
             counts.append(n + 1)
             ids += batch.column(0).to_pylist()
             held += batch.column(2).to_pylist()
             size += batch.column(1).nbytes
             if size >= BLOCK_BYTES:
                 yield flush()
-                ids, held, counts, tokens, size, done = [], [], [], [], 0, done + 1
+                ids, held, counts, hashes, tokens, size, done = [], [], [], [], [], 0, done + 1
         if ids:
             yield flush()
 
@@ -110,7 +118,7 @@ def _word_shards(blocks: DataFrame, shards: int) -> DataFrame:
             # Words come sorted, so a block's words for a shard lie together.
             shard = ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
             edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
-            data = [_pack(np.diff(row["words"][x:y], prepend=0)) + _pack(n[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+            data = [_pack(np.diff(row["words"][x:y], prepend=0), n[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
             columns = [pa.array(shard[edges[:-1]]), pa.array([row["block"]] * len(data), pa.int64()), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["shard", "block", "data"])
 
@@ -176,6 +184,8 @@ class _Counts:
 
     def __init__(self, first: np.ndarray, n: np.ndarray, tokens: int, words: int, texts: int, limit: int) -> None:
         self.first, self.n, self.tokens, self.words, self.texts, self.limit = first, n, tokens, words, texts, limit
+        # Numbers are by frequency, so those of the words whose n-grams are spread come first.
+        self.spread = int(first[n <= limit].min(initial=words))
 
     def of(self, number: np.ndarray) -> np.ndarray:
         out = np.zeros(len(number), np.int64)
@@ -186,7 +196,8 @@ class _Counts:
 
     def split(self, number: np.ndarray) -> np.ndarray:
         """Whether a middle word's n-grams are spread."""
-        return self.of(number) > self.limit
+        out = (number >= 0) & (number < self.spread)
+        return out | (number == BEGIN) if self.texts > self.limit else out
 
     def log_single(self, number: np.ndarray) -> np.ndarray:
         return np.log10((self.of(number) + 1) / (self.tokens + self.words + 1))
@@ -198,9 +209,14 @@ class _Counts:
         return self.log_single(c) + np.where(self.of(b) > 0, np.log10(1 - SECOND), 0.0)
 
 
+def _numbers(row: dict) -> np.ndarray:
+    number = np.concatenate([_unpack(p)[0] for p in row["numbers"]])
+    return number.astype(np.int32) if number.max() < 2**31 else number
+
+
 def _sequences(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a block's tokens, in numbers: the one before the last, the last, the token; and its document."""
-    number = np.concatenate([_unpack(p)[0] for p in row["numbers"]])
+    number = _numbers(row)
     sizes = row["counts"]
     begin = np.cumsum(sizes) - sizes
     c = number[_expand(row["tokens"], np.int32)]
@@ -212,15 +228,16 @@ def _sequences(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 
 def _wide_pairs(row: dict, sequences, counts: _Counts, shards: int):
-    """``x, y, n, shard`` by shard: a block's distinct pairs with a word whose n-grams are spread, and
-    how often its training documents hold them."""
-    _, x, y, doc = sequences
+    """``x, y, shard`` by shard: a block's distinct pairs with a word whose n-grams are spread; the
+    places of tokens that end one, and which of these pairs each ends."""
+    _, x, y, _ = sequences
     wide = np.flatnonzero((counts.split(x) | counts.split(y)) & (x != UNKNOWN) & (y != UNKNOWN))
     (px, py), at = distinct_rows(x[wide], y[wide])
-    n = np.bincount(at, ~row["held"][doc[wide]], len(px)).astype(np.int64)
     shard = (mix(px.astype(np.uint64), py.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    return px[order], py[order], n[order], shard[order]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return px[order], py[order], shard[order], wide, place[at]
 
 
 def _pair_counts(ready: DataFrame, shared, shards: int) -> DataFrame:
@@ -229,9 +246,11 @@ def _pair_counts(ready: DataFrame, shared, shards: int) -> DataFrame:
 
     def route(batches):
         for row in _rows(batches):
-            x, y, n, shard = _wide_pairs(row, _sequences(row), shared.value, shards)
+            sequences = _sequences(row)
+            x, y, shard, wide, at = _wide_pairs(row, sequences, shared.value, shards)
+            n = np.bincount(at, ~row["held"][sequences[3][wide]], len(x)).astype(np.int64)
             edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)) if len(shard) else np.zeros(1, np.int64)
-            data = [_pack(np.diff(x[i:j], prepend=0)) + _pack(y[i:j]) + _pack(n[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+            data = [_pack(np.diff(x[i:j], prepend=0), y[i:j], n[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
             columns = [pa.array(shard[edges[:-1]]) if data else pa.array([], pa.int64()), pa.array([row["block"]] * len(data), pa.int64()), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["shard", "block", "data"])
 
@@ -260,37 +279,28 @@ def _route(ready: DataFrame, shared, shards: int) -> DataFrame:
         for row in _rows(batches):
             a, b, c, doc = sequences = _sequences(row)
             spread = counts.split(b)
-            base = np.int64(counts.words + RAISED)
-            x, y, _, _ = _wide_pairs(row, sequences, counts, shards)
-            totals = np.concatenate([np.zeros(0, np.int64), *(_unpack(p)[0] for p in row["totals"])])
-            of_pair = (x + RAISED) * base + y + RAISED
-            order = np.argsort(of_pair)
-            of_pair, total = np.append(of_pair[order], np.iinfo(np.int64).max), np.append(totals[order], 0)
-
-            def count(x, y, of_pair=of_pair, total=total, base=base, spread=spread):
-                out = np.zeros(len(x), np.int64)
-                wanted = (x[spread] + RAISED) * base + y[spread] + RAISED
-                at = np.searchsorted(of_pair, wanted)
-                out[spread] = np.where(of_pair[at] == wanted, total[at], 0)
-                return out
-
-            after, context = count(b, c), count(a, b)
+            _, _, _, wide, at = _wide_pairs(row, sequences, counts, shards)
+            total = np.zeros(len(c), np.int64)
+            total[wide] = np.concatenate([np.zeros(0, np.int64), *(_unpack(p)[0] for p in row["totals"])])[at]
+            # The pair before a token's own ends at the token before.
+            after, context = np.where(spread, total, 0), np.where(spread, np.roll(total, 1), 0)
             # Before a text lies nothing that a pair could show.
             context[spread & (b == BEGIN)] = counts.texts
-            first = mix(b.astype(np.uint64), 5)
-            key = np.where(spread, mix(mix(first, c.astype(np.uint64)), a.astype(np.uint64)), first)
-            shard = (key % np.uint64(shards)).astype(np.int64)
-            held = row["held"][doc]
-            order = np.lexsort((a, c, b, shard))
-            edges = np.flatnonzero(np.diff(shard[order], prepend=-1, append=-1))
-            out = [[], []]
-            for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                part = order[low:high]
-                # Gaps of sorted columns are small numbers, which squeeze well.
-                columns = [np.diff(b[part], prepend=0), np.diff(c[part], prepend=0), a[part], doc[part] * 2 + held[part]]
-                columns += [np.diff(after[part], prepend=0), context[part]]
-                out[0].append(int(shard[part[0]]))
-                out[1].append(b"".join(_pack(v) for v in columns))
+            del sequences, wide, at, total
+            key = mix(b.astype(np.uint64), 5)
+            key[spread] = mix(mix(key[spread], c[spread].astype(np.uint64)), a[spread].astype(np.uint64))
+            shard = (key % np.uint64(shards)).astype(np.min_scalar_type(shards))
+            del key
+            order = np.argsort((b + np.int64(RAISED)) * np.int64(counts.words + RAISED) + (c + np.int64(RAISED)))
+            order = order[np.argsort(shard[order], kind="stable")]
+            edges = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
+            shard = shard[order[edges]]
+            # Gaps of sorted columns are small numbers, which squeeze well.
+            columns = [b[order], c[order], a[order], (doc * 2 + row["held"][doc])[order], after[order], context[order]]
+            out = [shard.astype(np.int64).tolist(), []]
+            for low, high in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
+                part = [v[low:high] for v in columns]
+                out[1].append(_pack(*(np.diff(v, prepend=v.dtype.type(0)) if k in (0, 1, 4) else v for k, v in enumerate(part))))
             size = len(out[0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array([row["block"]] * size, pa.int64()), pa.array(out[1], pa.binary())],
@@ -300,45 +310,69 @@ def _route(ready: DataFrame, shared, shards: int) -> DataFrame:
     return ready.mapInArrow(route, "shard bigint, block bigint, data binary")
 
 
-def _pack(values: np.ndarray) -> bytes:
-    kind = np.int32 if len(values) == 0 or max(-values.min(), values.max()) < 2**31 else np.int64
-    # Bytes of like weight together squeeze better.
-    body = _squeeze(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T))
-    return np.array([len(body), np.dtype(kind).itemsize], np.int64).tobytes() + body
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, squeezed together."""
+    bodies, widths = [], []
+    for values in columns:
+        top = max(-int(values.min()), int(values.max())) if len(values) else 0
+        width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w - 1))
+        # Bytes of like weight together squeeze better.
+        bodies.append(np.ascontiguousarray(values.astype(f"i{width}").view(np.uint8).reshape(-1, width).T).reshape(-1))
+        widths.append(width)
+    body = _squeeze(np.concatenate(bodies))
+    return struct.pack("<IIB", len(body), len(columns[0]), len(widths)) + bytes(widths) + body
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
     while at < len(data):
-        size, width = np.frombuffer(data, np.int64, 2, at).tolist()
-        raw = _expand(data[at + 16 : at + 16 + size], np.uint8)
-        out.append(np.ascontiguousarray(raw.reshape(width, -1).T).view(f"i{width}").reshape(-1).astype(np.int64))
-        at += 16 + size
+        size, length, columns = struct.unpack_from("<IIB", data, at)
+        widths = data[at + 9 : at + 9 + columns]
+        at += 9 + columns
+        raw, x = _expand(data[at : at + size], np.uint8), 0
+        for width in widths:
+            part = raw[x : x + width * length].reshape(width, length)
+            out.append(np.ascontiguousarray(part.T).view(f"i{width}").reshape(-1).astype(np.int64))
+            x += width * length
+        at += size
     return out
 
 
-def _documents(ready: DataFrame, shared) -> DataFrame:
-    """One row per document from its block and the sums that the shards made of it (``sums``)."""
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+def _bases(ready: DataFrame, shared) -> DataFrame:
+    """A block's documents without its tokens: what needs no more than counts of single words."""
 
-    def documents(batches):
+    def bases(batches):
         counts = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
-                ids = one.column(one.schema.names.index("ids")).flatten()
                 row = next(_rows([one.select([n for n in one.schema.names if n != "ids"])]))
-                _, _, c, doc = _sequences(row)
-                size = len(row["counts"])
-                score = np.zeros(size)
-                for part in row["sums"]:
+                number, local, sizes = _numbers(row), _expand(row["tokens"], np.int32), row["counts"]
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                known = np.bincount(doc, (counts.of(number) > 0)[local], len(sizes)).astype(np.int64)
+                base = np.bincount(doc, counts.log_single(number)[local], len(sizes))
+                columns = [one.column(one.schema.names.index(n)) for n in ("block", "ids", "held", "counts")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([known]), pa.array([base])], names=["block", "ids", "held", "counts", "known", "base"])
+
+    return ready.mapInArrow(bases, "block bigint, ids array<bigint>, held array<boolean>, counts array<bigint>, known array<bigint>, base array<double>")
+
+
+def _documents(summed: DataFrame) -> DataFrame:
+    """One row per document from its block's base and the sums that the shards made of it (``sums``)."""
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+
+    def documents(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                columns = [one.column(one.schema.names.index(n)).flatten() for n in ("ids", "held", "counts", "known", "base")]
+                score = np.zeros(len(columns[0]))
+                for part in one.column(one.schema.names.index("sums")).flatten().to_pylist():
                     gaps, logs = _unpack(part)
                     score[np.cumsum(gaps)] += logs.astype(np.int32).view(np.float32)
-                columns = [ids, pa.array(row["held"], pa.bool_()), pa.array(np.asarray(row["counts"], np.int64))]
-                columns += [pa.array(np.bincount(doc, counts.of(c) > 0, size).astype(np.int64)), pa.array(np.bincount(doc, counts.log_single(c), size)), pa.array(score)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=names)
 
-    return ready.mapInArrow(documents, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    return summed.mapInArrow(documents, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
@@ -357,31 +391,32 @@ def _score_shards(routed: DataFrame, shared, shards: int) -> DataFrame:
 
         def finish(pieces):
             # In the trie, numbers are raised so that the marks among them count from 0 too.
-            blocks = np.concatenate([np.full(len(p[0]), i) for i, (_, p) in enumerate(pieces)])
+            blocks = np.repeat(np.arange(len(pieces)), [len(p[0]) for _, p in pieces])
             # Columns 0, 1 and 4 are gaps.
             b, c, a, mark, after, context = (np.concatenate([np.cumsum(p[k]) if k in (0, 1, 4) else p[k] for _, p in pieces]) for k in range(6))
             names = np.array([block for block, _ in pieces], np.int64)
             pieces.clear()
-            a = a + RAISED
-            spread = counts.split(b)
-            used = np.flatnonzero((mark & 1 == 0) | spread)
-            (gb, gc, ga), at = distinct_rows(b[used] + RAISED, c[used] + RAISED, a[used])
-            n = np.bincount(at, mark[used] & 1 == 0, len(gb)).astype(np.float64)
+            (gb, gc, ga), at = distinct_rows(b + RAISED, c + RAISED, a + RAISED)
+            wide = counts.split(b)
+            del b, c, a
+            n = np.bincount(at, mark & 1 == 0, len(gb))
             # What a spread word's n-grams brought along; otherwise all n-grams of the word are here.
             brought = np.full((2, len(gb)), -1, np.int64)
-            wide = spread[used]
-            brought[0, at[wide]], brought[1, at[wide]] = after[used][wide], context[used][wide]
-            trie = NgramTrie.build(ga, gb, gc, n, second, THIRD, *brought) if len(gb) else None
-            logs = np.zeros(len(b))
-            trie = trie.mapped() if trie else None
-            for x in range(0, len(b), 1 << 19):
+            brought[0, at[wide]], brought[1, at[wide]] = after[wide], context[wide]
+            del after, context, wide
+            held = (n > 0) | (brought[0] >= 0)
+            trie = NgramTrie.build(ga[held], gb[held], gc[held], n[held], second, THIRD, *brought[:, held]).mapped() if held.any() else None
+            # Each n-gram is looked up once, however often it is here.
+            found = np.zeros(len(gb))
+            for x in range(0, len(gb), 1 << 19):
                 s = slice(x, x + (1 << 19))
-                logs[s] = trie.score(a[s], b[s] + RAISED, c[s] + RAISED, unseen, THIRD) if trie else counts.log_unseen(b[s], c[s])
+                found[s] = trie.score(ga[s], gb[s], gc[s], unseen, THIRD) if trie else unseen(gb[s], gc[s])
+            logs = found[at]
             key, where = np.unique(blocks << 32 | mark >> 1, return_inverse=True)
             sums = np.bincount(where, logs, len(key)).astype(np.float32).view(np.int32)
             edges = np.flatnonzero(np.diff(key >> 32, prepend=-1, append=-1))
             doc = key & 0xFFFFFFFF
-            data = [_pack(np.diff(doc[x:y], prepend=0)) + _pack(sums[x:y].astype(np.int64)) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+            data = [_pack(np.diff(doc[x:y], prepend=0), sums[x:y].astype(np.int64)) for x, y in zip(edges[:-1], edges[1:], strict=True)]
             columns = [pa.array(names[key[edges[:-1]] >> 32]), pa.array(data, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["block", "sums"])
 
@@ -422,19 +457,21 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # Both the hashes of words and the shards of them are in rising order.
     numbers = numbered.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "numbers"))).alias("parts"))
     lean = blocks.select("block", "ids", "held", "counts", "tokens")
-    ready = settle(lean.join(numbers, "block").select("*", F.col("parts.numbers").alias("numbers")).drop("parts"), "ready")
+    ready, third = settled(lean.join(numbers, "block").select("*", F.col("parts.numbers").alias("numbers")).drop("parts"), "ready")
     release(spark, first, second)
+    base = settle(_bases(ready, shared), "base")
     encoded = ready.drop("ids")
     shards = max(partitions(spark), -(-every // SHARD_TOKENS))
-    totals, third = settled(_pair_counts(encoded, shared, shards), "totals")
+    totals, fourth = settled(_pair_counts(encoded, shared, shards), "totals")
     found = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "totals"))).alias("found"))
     totals = F.coalesce(F.col("found.totals"), F.array().cast("array<binary>")).alias("totals")
-    asking = encoded.join(found, "block", "left").select(*encoded.columns, totals)
     # Written, so that the blocks are not shuffled once more beside the n-grams, which are the most there is at a time.
+    asking, fifth = settled(encoded.join(found, "block", "left").select(*encoded.columns, totals), "asking")
+    release(spark, third, fourth)
     sums = settle(_score_shards(_route(asking, shared, shards), shared, shards), "sums")
-    release(spark, third)
+    release(spark, fifth)
     by_block = sums.groupBy("block").agg(F.collect_list("sums").alias("sums"))
-    scored = _documents(ready.join(by_block, "block"), shared)
+    scored = _documents(base.join(by_block, "block"))
     return scored.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
 
 

@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import mmap
+from functools import cached_property
 
 import numpy as np
 
 
 def distinct_rows(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows of the columns, sorted by the first, then the next; and which each is."""
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for column in columns:
-        ordered = column[order]
-        new[1:] |= ordered[1:] != ordered[:-1]
+    """The distinct rows of the columns of whole numbers, sorted by the first, then the next; and which each is."""
+    order, new = np.zeros(0, np.int64), np.zeros(0, bool)
+    if len(columns[0]):
+        # One number for a row; what would not fit is numbered first.
+        key, size = np.zeros(len(columns[0]), np.int64), 1
+        for column in columns:
+            low = int(column.min())
+            span = int(column.max()) - low + 1
+            if size * span >= 1 << 63:
+                values, key = np.unique(key, return_inverse=True)
+                size = len(values)
+            key = key * span + (column.astype(np.int64) - low)
+            size *= span
+        order = np.arange(len(key)) if (key[1:] >= key[:-1]).all() else np.argsort(key)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
     return [column[order[new]] for column in columns], which
@@ -44,6 +54,10 @@ class EliasFano:
     def at(self, index: np.ndarray) -> np.ndarray:
         return ((self.ones[index] - index) << self.shift) | self.arrays["low"][index].astype(np.int64)
 
+    @cached_property
+    def whole(self) -> np.ndarray:
+        return self.at(np.arange(self.size))
+
 
 class Ranges:
     """Sorted lists of numbers, one after the other, as one Elias-Fano sequence: each list is
@@ -65,26 +79,22 @@ class Ranges:
 
     def find(self, owner: np.ndarray, value: np.ndarray) -> np.ndarray:
         """The place of each value within its owner's list, counted over all lists; -1 if absent
-        or if there is no owner. A successor search by halving within the list alone."""
+        or if there is no owner. The lists are one rising sequence, which is searched for all at once."""
         out = np.full(len(owner), -1, np.int64)
         there = np.flatnonzero((owner >= 0) & (value >= 0))
         if not len(there) or not self.values.size:
             return out
         own = owner[there]
-        low, end = self.pointers.at(own), self.pointers.at(own + 1)
-        wanted = value[there] + self.base.at(own)
-        high = end.copy()
-        while (open_ := low < high).any():
-            middle = (low + high) >> 1
-            less = open_ & (self.values.at(np.minimum(middle, self.values.size - 1)) < wanted)
-            low = np.where(less, middle + 1, low)
-            high = np.where(open_ & ~less, middle, high)
-        hit = (low < end) & (self.values.at(np.minimum(low, self.values.size - 1)) == wanted)
-        out[there[hit]] = low[hit]
+        wanted = value[there] + self.base.whole[own]
+        at = np.searchsorted(self.values.whole, wanted)
+        # Beyond the last of its list lie those of the next.
+        hit = at < self.pointers.whole[own + 1]
+        hit[hit] = self.values.whole[at[hit]] == wanted[hit]
+        out[there[hit]] = at[hit]
         return out
 
     def first(self, owner: np.ndarray) -> np.ndarray:
-        return self.pointers.at(owner)
+        return self.pointers.whole[owner]
 
 
 FLOOR, CODES = -30.0, 65_535
@@ -118,7 +128,7 @@ class NgramTrie:
         self.roots, self.successors, self.before, self.third = roots, successors, before, third
         self.second_code, self.third_code = second_code, third_code
         # Sorted root words, searched as a whole.
-        self.words = roots.at(np.arange(roots.size))
+        self.words = roots.whole
 
     @classmethod
     def build(cls, a, b, c, count, log_second, weight_third: float, pair_count=None, context_count=None) -> NgramTrie:
@@ -140,7 +150,7 @@ class NgramTrie:
         n_context = np.bincount(at_context, count[deep], len(context_root))
         n_context = _given(n_context, at_context, context_count[deep] if context_count is not None else None)
         relative = at_pair[deep] - successors.first(root[deep])
-        order = np.lexsort((relative, at_context))
+        order = np.argsort(at_context * (relative.max(initial=0) + 1) + relative)
         third = Ranges.build(at_context[order], relative[order], len(context_root))
         share = count[deep][order] / n_context[at_context[order]]
         log_third = np.log10(weight_third * share + (1 - weight_third) * 10 ** second[at_pair[deep][order]])

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusmill.llm import decontaminate, lines, lmscore, ngramjoin, packing, perfect, repeats, rules, secrets, tokencount, toxicity
@@ -600,3 +601,42 @@ def test_scoring_leaves_no_tables_that_nothing_reads(spark):
     assert lmscore.score_texts(docs).count() == 60
     left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
     assert not left & {"blocks", "lexicon", "totals"}
+
+
+def test_blocks_go_once_no_step_reads_them(spark):
+    from urllib.parse import urlparse
+
+    from corpusmill.session import scratch_root
+
+    rng = random.Random(18)
+    docs = spark.createDataFrame([(i, prose(rng, 40)) for i in range(60)] + [(None, "a b")], "doc_id long, text string")
+    folder = urlparse(scratch_root(spark)).path
+    before = set(os.listdir(folder))
+    scored = lmscore.score_texts(docs)
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert scored.count() == 61 and not left & {"ready", "asking"}
+
+
+def test_words_of_slices_are_coded_as_they_are_split():
+    from corpusmill.llm.common import coded_words, hashed_words, split_words
+
+    texts = ["", "  ", " a B  c\x0b\x0c\r\n\t d ", "Ü É x y z\x1c\x1d q\x85r", "\x00 \x01", "a a B b"] * 3
+    for low, size in ((0, 18), (3, 9), (1, 1), (2, 3)):
+        column = pa.array(texts).slice(low, size)
+        hashes, which, counts = coded_words(column)
+        words, expected = hashed_words([split_words(t) for t in column.to_pylist()])
+        assert (counts == expected).all() and (hashes[which] == words).all()
+
+
+@pytest.mark.parametrize("top", [5, 1 << 20, 1 << 40])
+def test_distinct_rows_are_those_of_tuples(top):
+    from corpusmill.llm.trie import distinct_rows
+
+    rng = np.random.default_rng(3)
+    values = np.append(rng.integers(0, top, 6), [-2, 0])
+    columns = [rng.choice(values, 400) for _ in range(3)]
+    found, which = distinct_rows(*columns)
+    rows = list(zip(*(c.tolist() for c in columns), strict=True))
+    distinct = list(zip(*(c.tolist() for c in found), strict=True))
+    assert distinct == sorted(set(rows)) and [distinct[i] for i in which] == rows
+    assert all(len(c) == 0 for c in distinct_rows(*(c[:0] for c in columns))[0])
