@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import hashed_words, id_and_text, mix, partitions, settle, settled, shingles, table, text_slices
+from corpusmill.llm.common import id_and_text, mix, partitions, settle, settled, shingles, table, text_slices
 from corpusmill.llm.ngramjoin import link_lists
 from corpusmill.operators.components import connected_components
 from corpusmill.session import release
@@ -30,6 +33,8 @@ BANDS, ROWS = 4, 2
 # Contents that chains of shared bands connect are searched by one task up to so many, all pairs of
 # them at once where no shingle is in more than ``FEW``. Neither changes a result.
 MEMBERS, FEW = 1000, 32
+# Paragraphs whose keys a task packs at a time.
+ROUTED = 1 << 17
 
 _RUN = re.compile(r"\S+")
 _KEYS = [f"band{b}" for b in range(BANDS)]
@@ -78,11 +83,11 @@ def _winnowed(words: np.ndarray, active: np.ndarray) -> np.ndarray:
 def _words(bodies: list[str]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
     """Word hashes of all texts end to end, how many each has, the distinct words and which one each is."""
     split = [body.split() for body in bodies]
-    flat = [w for part in split for w in part]
-    distinct = list(dict.fromkeys(flat))
-    place = dict(zip(distinct, range(len(distinct)), strict=True))
-    which = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
-    hashes, _ = hashed_words([[w.lower().encode("utf-8", "surrogatepass") for w in distinct]])
+    coded = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
+    distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    # No word holds a line end, so all are lowered at once.
+    lowered = "\n".join(distinct).lower().encode("utf-8").split(b"\n") if distinct else []
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lowered), np.uint64, len(distinct))
     return hashes[which], np.fromiter(map(len, split), np.int64, len(split)), distinct, which
 
 
@@ -96,8 +101,8 @@ def _cut(bodies: list[str]):
     """
     words, counts, distinct, which = _words(bodies)
     begin, flat = np.cumsum(counts) - counts, which
-    opens = np.fromiter((w[0].isupper() for w in distinct), bool, len(distinct))[which]
-    stops = np.fromiter((w[-1] in ".!?" for w in distinct), bool, len(distinct))[which]
+    opens = np.fromiter(map(str.isupper, map(itemgetter(0), distinct)), bool, len(distinct))[which]
+    stops = np.fromiter(map(".!?".__contains__, map(itemgetter(-1), distinct)), bool, len(distinct))[which]
     opens[1:] |= stops[:-1]
     opens[begin[counts > 0]] = True
     units = np.flatnonzero(opens)
@@ -135,8 +140,8 @@ def _cut(bodies: list[str]):
     if len(bare):
         active = np.flatnonzero(_windows(rows, bare, bare + SURE - WORDS - ROW + 2))
         more = _winnowed(words, active)
-        both = np.unique(np.column_stack([np.append(starts, more), np.append(stops, more + WORDS)]), axis=0)
-        starts, stops = both[:, 0], both[:, 1]
+        both = np.unique(np.append(starts, more) * (len(words) + 1) + np.append(stops, more + WORDS))
+        starts, stops = both // (len(words) + 1), both % (len(words) + 1)
     return words, counts, np.searchsorted(begin, starts, side="right") - 1, starts, stops, begin
 
 
@@ -176,9 +181,9 @@ def _groups(owner: np.ndarray, starts: np.ndarray, ends: np.ndarray, grams: np.n
     text = np.zeros(len(grams), np.int64)
     edges = np.flatnonzero(np.diff(owner, prepend=-1))
     text[starts[edges]] = owner[edges] - np.append(0, owner[edges][:-1])
-    order = np.lexsort((grams, np.cumsum(text)))
-    text, sorted_grams = np.cumsum(text)[order], grams[order]
-    same = (sorted_grams[1:] == sorted_grams[:-1]) & (text[1:] == text[:-1])
+    keys = mix(grams, np.cumsum(text).astype(np.uint64))
+    order = np.argsort(keys)
+    same = keys[order[1:]] == keys[order[:-1]]
     twice = np.zeros(len(grams) + 1, np.int64)
     twice[order] = np.append(False, same) | np.append(same, False)
     before = np.cumsum(twice) - twice
@@ -189,7 +194,8 @@ def _groups(owner: np.ndarray, starts: np.ndarray, ends: np.ndarray, grams: np.n
     if len(others):
         flat, at = _distinct(grams, starts[others], ends[others])
         n_distinct[others] = np.diff(at)
-        _, one = np.unique(np.column_stack([owner[others], content[others]]), axis=0, return_index=True)
+        one = np.lexsort((content[others], owner[others]))
+        one = one[np.append(True, (np.diff(owner[others][one]) != 0) | (np.diff(content[others][one]) != 0))]
         i, j = like_pairs(owner[others][one], [flat[at[k] : at[k + 1]] for k in one.tolist()])
         left.append(others[one[i]])
         right.append(others[one[j]])
@@ -283,19 +289,73 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _shared_buckets(occur: DataFrame) -> DataFrame:
-    """``bucket, content``: what is in buckets that several texts meet in. A band at a time, so that a
-    quarter of the keys is moved at once; aggregated before."""
+    """``bucket, content``: what is in buckets that several texts meet in. Two bands at a time, so that
+    half of the keys are moved at once, packed by shard of them; copies among some paragraphs
+    in a row are one before."""
+    shards = partitions(occur.sparkSession)
+
+    def route(batches):
+        held, size = [], 0
+
+        def flush():
+            content, row, bucket, other = (np.concatenate([h[k] for h in held]) for k in range(4))
+            bucket, content, row = np.append(bucket, other), np.tile(content, 2), np.tile(row, 2)
+            bucket, content, low, high = _met(bucket, content, row, row)
+            shard = bucket.view(np.uint64) % np.uint64(shards)
+            order = np.argsort(shard.astype(np.min_scalar_type(shards)), kind="stable")
+            edges = np.append(np.flatnonzero(np.diff(shard[order].astype(np.int64), prepend=-1)), len(order))
+            data = [np.concatenate([v[order[x:y]] for v in (bucket, content, low, high)]).tobytes() for x, y in zip(edges[:-1], edges[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(shard[order[edges[:-1]]].astype(np.int64)), pa.array(data, pa.binary())], names=["shard", "data"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append([batch.column(k).to_numpy() for k in range(4)])
+                size += batch.num_rows
+            if size >= ROUTED:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    def meet(pieces):
+        columns = [np.concatenate(c) for c in zip(*(np.frombuffer(p, np.int64).reshape(4, -1) for p in pieces), strict=True)]
+        bucket, content, low, high = _met(*columns)
+        begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        several = np.minimum.reduceat(low, begin) < np.maximum.reduceat(high, begin)
+        several = np.repeat(several, np.diff(np.append(begin, len(bucket))))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[several]), pa.array(content[several])], names=["bucket", "content"])
+
+    def gather(batches):
+        current, pieces = None, []
+        for batch in batches:
+            for shard, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if shard != current and pieces:
+                    yield meet(pieces)
+                    pieces = []
+                current = shard
+                pieces.append(data)
+        if pieces:
+            yield meet(pieces)
+
     parts = []
-    for band in _KEYS:
-        rows = occur.select(F.col(band).alias("bucket"), "content", "row")
-        several = rows.groupBy("bucket").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high")
-        parts.append(settle(rows.drop("row").join(several.select("bucket"), "bucket", "left_semi").distinct(), "buckets"))
+    for band in range(0, BANDS, 2):
+        routed = occur.select("content", "row", *_KEYS[band : band + 2]).mapInArrow(route, "shard bigint, data binary")
+        placed = routed.repartition(shards, "shard").sortWithinPartitions("shard")
+        parts.append(settle(placed.mapInArrow(gather, "bucket bigint, content bigint"), "buckets"))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
     return every
 
 
+def _met(bucket: np.ndarray, content: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct contents of each bucket, by bucket, with the least and the greatest of their rows."""
+    order = np.lexsort((content, bucket))
+    bucket, content = bucket[order], content[order]
+    begin = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (content[1:] != content[:-1])))
+    return bucket[begin], content[begin], np.minimum.reduceat(low[order], begin), np.maximum.reduceat(high[order], begin)
+
+
 def like_pairs(classes: np.ndarray, sets: list[np.ndarray], reps: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """``i, j`` of similar sets of the same class, enough of them to connect all that such pairs
     connect. Classes come in order; sets are sorted. Sets of one of ``reps`` need not be compared."""

@@ -9,12 +9,15 @@ from corpusmill.operators.skew import join_counted
 from corpusmill.session import release, written
 
 
-def _is_star_forest(arcs: DataFrame) -> bool:
-    """Whether every node has one arc, and it leads to a node without one."""
-    forked = arcs.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+def _unfinished(arcs: DataFrame) -> DataFrame:
+    """``other``: what arcs lead to that do not belong to a star apart from all others, of leaves with one
+    arc each that lead to a node without one."""
+    nodes = arcs.groupBy("node").agg(F.count("*").alias("n"))
     # Distinct first: all leaves of a hub would meet under its key.
-    inner = arcs.select(F.col("other").alias("node")).distinct().join(arcs.select("node"), "node", "left_semi")
-    return forked.isEmpty() and inner.isEmpty()
+    others = arcs.select(F.col("other").alias("node")).distinct()
+    inner = others.join(nodes.select("node"), "node", "left_semi")
+    bad = nodes.where("n > 1").select("node").unionByName(inner).distinct()
+    return arcs.join(bad, "node", "left_semi").select("other").unionByName(inner.withColumnRenamed("node", "other")).distinct()
 
 
 def _star(arcs: DataFrame, total: int) -> tuple[DataFrame, str]:
@@ -29,13 +32,22 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     Alternates the large-star and the small-star step (Kiveris and others, 2014) until
     only stars are left, which takes a number of rounds that grows with the logarithm of
     the graph's size. An arc leads from a larger ``node`` to a smaller ``other``; the steps
-    never add arcs beyond the first number of them. Tables of earlier rounds are removed.
+    never add arcs beyond the first number of them. Stars apart from all others take no part in
+    later rounds. Tables of earlier rounds are removed.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a <> b")
     ends = ends.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
     current, path = written(ends.distinct(), "edges")
     total = 2 * current.count()
-    while not _is_star_forest(current):
+    finished = []
+    while True:
+        open_, third = written(_unfinished(current), "open")
+        if open_.isEmpty():
+            break
+        finished.append(written(current.join(open_, "other", "left_anti").select("node", "other"), "stars")[0])
+        before = path
+        current, path = written(current.join(open_, "other", "left_semi").select("node", "other"), "edges")
+        release(edges.sparkSession, before, third)
         both = current.unionByName(current.select(F.col("other").alias("node"), F.col("node").alias("other")))
         large, first = _star(both, total)
         large = large.where("other > node")
@@ -48,5 +60,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         before = path
         current, path = written(small.where("node <> other").distinct(), "edges")
         release(edges.sparkSession, before, first, second, third)
+    for stars in finished:
+        current = current.unionByName(stars)
     leaves = current.select("node", F.col("other").alias("component"))
     return leaves.unionByName(leaves.select(F.col("component").alias("node"), "component").distinct())

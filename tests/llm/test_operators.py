@@ -640,3 +640,17 @@ def test_distinct_rows_are_those_of_tuples(top):
     distinct = list(zip(*(c.tolist() for c in found), strict=True))
     assert distinct == sorted(set(rows)) and [distinct[i] for i in which] == rows
     assert all(len(c) == 0 for c in distinct_rows(*(c[:0] for c in columns))[0])
+
+
+@pytest.mark.parametrize("routed", [1, 1 << 17])
+def test_buckets_that_several_texts_meet_in(spark, monkeypatch, routed):
+    monkeypatch.setattr(repeats, "ROUTED", routed)
+    rng = random.Random(19)
+    rows = [(rng.randrange(9), rng.randrange(12), *(b * 100 + rng.randrange(-9, 40) for b in range(repeats.BANDS))) for _ in range(150)]
+    occur = spark.createDataFrame(rows, "row long, content long, " + ", ".join(f"{k} long" for k in repeats._KEYS)).repartition(3)
+    texts = {}
+    for row, content, *buckets in rows:
+        for bucket in buckets:
+            texts.setdefault(bucket, set()).add((row, content))
+    expected = sorted({(b, c) for b, held in texts.items() for _, c in held if len({r for r, _ in held}) > 1})
+    assert sorted(map(tuple, repeats._shared_buckets(occur).collect())) == expected

@@ -196,3 +196,12 @@ def test_no_estimate_exceeds_one(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert minhash.fuzzy_dedup(docs, 20, 5, 5, 1.0).count() == 4
     assert minhash.fuzzy_dedup(docs, 20, 5, 5, 0.9).count() == 2
+
+
+def test_stars_apart_from_others_are_finished(spark):
+    from corpusmill.operators.components import _unfinished
+
+    # A star at 1, a chain 12-11-10, a node with two arcs at 20 and 21, and a leaf beside it.
+    arcs = [(2, 1), (3, 1), (11, 10), (12, 11), (13, 10), (22, 20), (22, 21), (23, 21)]
+    got = _unfinished(spark.createDataFrame(arcs, "node bigint, other bigint")).collect()
+    assert {r.other for r in got} == {10, 11, 20, 21}
