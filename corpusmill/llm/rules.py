@@ -92,7 +92,8 @@ def base_failed() -> Column:
 
 def _features() -> dict[str, Column]:
     def share(part: str, of: str) -> Column:
-        return F.coalesce(F.col(part) / F.col(of), F.lit(0.0))
+        # Spark may work this out for texts without words too, before the base rule rejects them.
+        return F.coalesce(F.try_divide(part, of), F.lit(0.0))
 
     return {
         "n_words": F.col("n_words").cast("double"),

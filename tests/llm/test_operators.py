@@ -280,6 +280,20 @@ def test_statistics_and_the_learned_list(spark, odd, empty):
     assert rules.learn_rules(rules.labelled_statistics(docs, labels.where("quality = 1"))) == []
 
 
+def test_texts_without_words_pass_through_learned_rules(spark, tmp_path):
+    rng = random.Random(21)
+    texts = [None, "", " \n\t", "one", prose(rng, 80), "\n".join([prose(rng, 60), ""] * 3)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    for feature in rules._features():
+        above, below = rules.Condition(feature, True, 1e9), rules.Condition(feature, False, -1.0)
+        for learned in ([], [(above,)], [(above, below)], [(above,), (below,)]):
+            judged = rules.judge(docs, learned)
+            assert {r.row.doc_id for r in judged.where("kept").collect()} == {4}, (feature, learned)
+            assert [r.doc_id for r in judged.where("kept").select("row.*").collect()] == [4]
+            assert judged.where("not kept").count() == 5
+
+
 def test_shared_passages(spark, odd, empty):
     rng = random.Random(9)
 
