@@ -263,19 +263,25 @@ def gopher_filter(spark, folder):
     return quality.gopher_filter(documents(spark, folder))
 
 
-def examples(spark, kind, folder) -> DataFrame:
-    """``doc_id, text, label, part`` of all documents, label and part empty where none is known."""
+def with_labels(spark, kind, folder, docs) -> DataFrame:
+    """``docs`` with ``label, part``, both empty where none is known."""
     label = F.col("quality" if kind == "quality" else "toxicity")
     if kind == "nsfw":
         label = F.when(label == "toxic", "nsfw").when(label == "non-toxic", "non-nsfw")
-    known = documents(spark, folder).join(verdicts(spark, folder), "doc_id", "left")
-    part = F.when(label.isNotNull(), sampling.train_or_valid("doc_id", SEED))
-    return known.select("doc_id", "text", label.alias("label"), part.alias("part"))
+    known = docs.join(verdicts(spark, folder).select("doc_id", label.alias("label")), "doc_id", "left")
+    return known.withColumn("part", F.when(F.col("label").isNotNull(), sampling.train_or_valid("doc_id", SEED)))
+
+
+def examples(spark, kind, folder) -> DataFrame:
+    """``doc_id, text, label, part`` of all documents, label and part empty where none is known."""
+    return with_labels(spark, kind, folder, documents(spark, folder))
 
 
 def trained(spark, kind, folder):
-    """A model of three quarters of the labelled documents."""
-    return classify.train_classifier(examples(spark, kind, folder).where("part = 'train'"), key="doc_id")
+    """A model of three quarters of the labelled documents, all that are not held out."""
+    # Without ``part``, of which Spark cannot tell that it needs the id alone: other texts stay where they are.
+    train = sampling.train_or_valid("doc_id", SEED) == "train"
+    return classify.train_classifier(examples(spark, kind, folder).where(F.col("label").isNotNull() & train), key="doc_id")
 
 
 def language_model(spark, folder):
@@ -296,8 +302,9 @@ FLOORS = {"wiki": 0.9, "cc": 0.25, "non-toxic": 0.9, "toxic": 0.25, "non-nsfw":
 def floors_reached(spark, kind, folder, classifier, prediction) -> DataFrame:
     """Every document is scored; per label: how many were held out, whether enough of them were
     found, and how many documents of the whole table got a label and a probability."""
-    known = examples(spark, kind, folder)
-    scored = classifier(known, trained(spark, kind, folder))
+    # Texts are scored where they are; what is joined with the labels has none.
+    scored = classifier(documents(spark, folder), trained(spark, kind, folder)).drop("text")
+    scored = with_labels(spark, kind, folder, scored)
     sound = F.col(prediction).isin(list(FLOORS)) & F.col("confidence").between(0.5, 1)
     held = F.col("part") == "valid"
     tall = scored.groupBy("label").agg(

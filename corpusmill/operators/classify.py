@@ -41,10 +41,11 @@ def train_classifier(
 
     ``linear`` is a linear model over averaged vectors of words and parts of words, ``language``
     a table of runs of characters. ``logistic`` looks at which words occur, unscaled, ``bayes``
-    at how often they occur. ``key`` names a column by which a bounded sample is drawn.
+    at how often they occur. ``key`` names a column by which languages draw a bounded sample; the
+    others learn from all texts.
     """
     if method == "linear":
-        return train_linear(examples, label, text, key)
+        return train_linear(examples, label, text)
     if method == "language":
         return train_language(examples, label, text, key)
     flat = examples.select(F.col(label), flatten_for_scoring(F.col(text)).alias("_flat"))

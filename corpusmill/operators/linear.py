@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from math import isqrt
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,16 +20,18 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators.batches import few_texts, text_slices
 from corpusmill.operators.ranks import seeded_hash
-from corpusmill.session import materialize
+from corpusmill.session import materialize, release, written
 
 # Workers get this code by value: the package need not be installed on them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Buckets of words and parts, length of a vector, letters of a part of a word.
 BUCKETS, SIZE, PART = 1 << 18, 8, 4
-# Rounds of training; texts of a step; texts of a partition; least steps a partition takes in a
-# round; texts of one label that are trained on, at most.
-ROUNDS, STEP, SHARE, LEAST_STEPS, MOST_TEXTS = 8, 32, 1000, 64, 20_000
+# Rounds of training; texts of a step; texts of a partition, as long as there are few partitions;
+# least steps a partition takes in a round; partitions from which on they grow, too.
+ROUNDS, STEP, SHARE, LEAST_STEPS, FEW_PARTS = 8, 32, 1000, 64, 4
+# Texts of one label that ``bounded_sample`` draws, at most, where a query asks for a sample.
+MOST_TEXTS = 20_000
 # A bucket is used if so many texts hold it and a label has it more often than the others by so
 # many standard deviations.
 LEAST_TEXTS, LEAST_DEVIATIONS = 3, 2.0
@@ -35,26 +41,67 @@ PIECES = 32
 _REMEMBERED = 1 << 16
 
 
-class _Buckets(dict):
-    """Remembers the buckets of words met: the word itself and its runs of ``PART`` letters."""
+def _bucket(name: str) -> int:
+    return xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass")) % BUCKETS
+
 
-    def __missing__(self, word: str) -> np.ndarray:
+class _Parts(dict):
+    """Remembers the buckets of parts met; there are far fewer of them than words."""
+
+    def __missing__(self, part: str) -> int:
         if len(self) >= _REMEMBERED:
             self.clear()
-        marked = f"<{word}>"
-        parts = [f"\0{marked[i : i + PART]}" for i in range(len(marked) - PART + 1)]
-        found = [xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in (word, *parts)]
-        value = self[word] = np.array(found, np.int32)
+        value = self[part] = _bucket(f"\0{part}")
         return value
 
 
+_PARTS = _Parts()
+
+
+class _Buckets(dict):
+    """Numbers the words met, and remembers their buckets end to end: those of the word itself and of
+    its runs of ``PART`` letters."""
+
+    def __init__(self):
+        self.pool, self.begin = array("i"), array("q", [0])
+
+    def __missing__(self, word: str) -> int:
+        marked = f"<{word}>"
+        self.pool.append(_bucket(word))
+        self.pool.extend([_PARTS[marked[i : i + PART]] for i in range(len(marked) - PART + 1)])
+        self.begin.append(len(self.pool))
+        number = self[word] = len(self)
+        return number
+
+    def clear(self) -> None:
+        super().clear()
+        self.__init__()
+
+
 _MET = _Buckets()
 
 
-def buckets_of(text: str) -> np.ndarray:
-    """The distinct buckets of a text, in order. How often one occurs does not count, so a few
-    telling words show in a long text."""
-    return np.unique(np.concatenate([np.zeros(0, np.int32), *map(_MET.__getitem__, set(text.split()))])).astype(np.int64)
+def bucket_lists(texts: list[str], row_of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of each text, in order, all end to end, and how many each text has. How
+    often one occurs does not count, so a few telling words show in a long text. With ``row_of``,
+    a bucket's number there instead; buckets with a negative one are left out."""
+    if len(_MET) >= _REMEMBERED:
+        _MET.clear()
+    words = [[*map(_MET.__getitem__, set(text.split()))] for text in texts]
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    word = np.fromiter(chain.from_iterable(words), np.int64, counts.sum())
+    pool, begin = np.array(_MET.pool, np.int32), np.array(_MET.begin, np.int64)
+    if row_of is not None:
+        pool = row_of[pool]
+        known = pool >= 0
+        begin = np.concatenate([np.zeros(1, np.int64), np.cumsum(known)])[begin]
+        pool = pool[known]
+    size = np.diff(begin)[word]
+    at = np.arange(size.sum()) + np.repeat(begin[word] - np.cumsum(size) + size, size)
+    owner = np.repeat(np.repeat(np.arange(len(texts)), counts), size)
+    both = np.sort(owner << 32 | pool[at])
+    both = both[np.diff(both, prepend=-1) != 0]
+    return both & 0xFFFFFFFF, np.bincount(both >> 32, minlength=len(texts))
 
 
 def bounded_sample(examples: DataFrame, label: str, most: int, key: str | None = None, seed: int = 0) -> DataFrame:
@@ -91,18 +138,21 @@ class LinearModel:
         return at[self.used[at] == ids] if len(self.used) else at[:0]
 
     def mean(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``spread`` of the buckets of several texts."""
+        ids = [self.rows(i) for i in ids]
+        return self.spread(np.concatenate([np.zeros(0, np.int64), *ids]), np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def spread(self, flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The rows of several texts end to end, the text of each, its share by its scale, and the
         sums of vectors by share."""
-        ids = [self.rows(i) for i in ids]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, owner = np.concatenate([np.zeros(0, np.int64), *ids]), np.repeat(np.arange(len(ids)), counts)
+        owner = np.repeat(np.arange(len(counts)), counts)
         scale = self.scale[flat]
-        share = scale / np.sqrt(np.bincount(owner, scale**2, len(ids)))[owner].astype(np.float32)
-        sums = np.zeros((len(ids), SIZE), np.float32)
+        share = scale / np.sqrt(np.bincount(owner, scale**2, len(counts)))[owner].astype(np.float32)
+        sums = np.zeros((len(counts), SIZE), np.float32)
         some = counts > 0
         if len(flat):
             begins = (np.cumsum(counts) - counts)[some]
-            sums[some] = np.add.reduceat(self.vectors[flat] * share[:, None], begins, axis=0)
+            sums[some] = np.add.reduceat(self.vectors.take(flat, axis=0) * share[:, None], begins, axis=0)
         return flat, owner, share, sums
 
     def chances(self, sums: np.ndarray) -> np.ndarray:
@@ -112,19 +162,41 @@ class LinearModel:
 
     def learn(self, ids: list[np.ndarray], truth: np.ndarray, worth: np.ndarray, seen: np.ndarray, rate: float) -> None:
         """One step along the gradient; ``seen`` sums up what each bucket has moved by so far."""
-        flat, owner, share, sums = self.mean(ids)
+        self.step(self.mean(ids), truth, worth, seen, rate)
+
+    def step(self, spread: tuple[np.ndarray, ...], truth: np.ndarray, worth: np.ndarray, seen: np.ndarray, rate: float) -> None:
+        flat, owner, share, sums = spread
         slope = self.chances(sums)
-        slope[np.arange(len(ids)), truth] -= 1
-        slope = (slope * (worth[truth] / len(ids))[:, None]).astype(np.float32)
+        slope[np.arange(len(truth)), truth] -= 1
+        slope = (slope * (worth[truth] / len(truth))[:, None]).astype(np.float32)
         back = slope @ self.weights.T
         self.weights -= rate * sums.T @ slope
         self.bias -= rate * slope.sum(axis=0)
         if not len(flat):
             return
-        at, place = np.unique(flat, return_inverse=True)
-        moves = np.stack([np.bincount(place, back[owner, k] * share, len(at)) for k in range(SIZE)], axis=1)
-        seen[at] += (moves**2).mean(axis=1)
-        self.vectors[at] -= (rate / 5 * moves / np.sqrt(seen[at])[:, None]).astype(np.float32)
+        order = np.argsort(flat, kind="stable")
+        rows = flat[order]
+        first = np.flatnonzero(np.diff(rows, prepend=-1))
+        at = rows[first]
+        moves = np.add.reduceat((back.take(owner, axis=0) * share[:, None]).take(order, axis=0), first, axis=0)
+        moved = seen.take(at) + (moves * moves).sum(axis=1) / SIZE
+        seen[at] = moved
+        self.vectors[at] = self.vectors.take(at, axis=0) - moves * (rate / 5 / np.sqrt(moved))[:, None].astype(moves.dtype)
+
+
+def _row_of(used: np.ndarray) -> np.ndarray:
+    """The row of each bucket, -1 for those that are not used."""
+    rows = np.full(BUCKETS, -1, np.int32)
+    rows[used] = np.arange(len(used))
+    return rows
+
+
+def _steps(flat: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, slice]]:
+    """The rows of ``STEP`` texts at a time, and which texts these are."""
+    edges = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+    for a in range(0, len(counts), STEP):
+        some = slice(a, min(a + STEP, len(counts)))
+        yield flat[edges[some.start] : edges[some.stop]], some
 
 
 _BEST = "label string, confidence double"
@@ -138,12 +210,14 @@ def best_label(text: Column, model: LinearModel) -> Column:
     @F.arrow_udf(_BEST)
     def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
+        row_of = _row_of(own.used)
         for column in batches:
             # A few texts at a time: long ones have many buckets.
             rows = [np.zeros((0, len(own.labels)))]
             for texts in few_texts(column):
-                for a in range(0, len(texts), STEP):
-                    rows.append(own.chances(own.mean([buckets_of(t) for t in texts[a : a + STEP]])[3]))
+                flat, counts = bucket_lists(texts, row_of)
+                for part, some in _steps(flat, counts):
+                    rows.append(own.chances(own.spread(part, counts[some])[3]))
             chance = np.concatenate(rows)
             labels = pa.array(own.labels, pa.string()).take(pa.array(chance.argmax(axis=1)))
             yield pa.StructArray.from_arrays([labels, pa.array(chance.max(axis=1, initial=0).astype(np.float64))], ["label", "confidence"])
@@ -166,49 +240,84 @@ def _unpack(pieces: dict[int, bytes], like: LinearModel) -> tuple[LinearModel, n
     return LinearModel(like.labels, like.used, like.scale, both[:, :SIZE].copy(), weights, bias), both[:, SIZE].copy()
 
 
-def train_linear(examples: DataFrame, label: str = "label", text: str = "text", key: str | None = None, seed: int = 0) -> LinearModel:
-    """A model of at most about ``MOST_TEXTS`` texts of each label.
+def train_linear(examples: DataFrame, label: str = "label", text: str = "text", seed: int = 0) -> LinearModel:
+    """A model of all texts that have a label.
 
-    The buckets of each text are written once. In every round the partitions, of some
-    ``SHARE`` texts, learn by themselves from the same parameters, which are then averaged piece by
-    piece; what comes back to the driver is one set of parameters, whatever the number of
-    partitions. Every label has the same total worth. A bucket counts by how far its share of
-    texts differs between a label and the others, in standard deviations beyond
+    The buckets of each text are written once, and then, as rows of the model, those that
+    count. In every round the partitions learn by themselves from the same parameters, which are
+    then averaged piece by piece; what comes back to the driver is one set of parameters, whatever
+    the number of partitions. Partitions have some ``SHARE`` texts; beyond ``FEW_PARTS`` of them both
+    their number and their size grow with the root of the texts, so that parameters
+    are ever less of what is moved. Every label has the same total worth. A bucket counts by how far
+    its share of texts differs between a label and the others, in standard deviations beyond
     ``LEAST_DEVIATIONS``; there are at most ``BUCKETS`` of them.
     """
     spark = examples.sparkSession
     # ``flatten_for_scoring`` only changes white space, which words are cut at.
-    drawn = bounded_sample(examples, label, MOST_TEXTS, key, seed).select(
+    known = examples.where(F.col(label).isNotNull()).select(
         F.col(label).cast("string").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
 
     def prepare(batches):
         for batch in text_slices(batches, 1 << 20):
-            ids = [buckets_of(t).astype(np.int32) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(ids, pa.list_(pa.int32()))], names=["label", "ids"])
+            ids, each = bucket_lists(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("label"), _lists(ids, each)], names=["label", "ids"])
 
-    ready = drawn.mapInArrow(prepare, "label string, ids array<int>")
-    ready = materialize(ready.withColumn("at", F.xxhash64("label", "ids")), "buckets")
-    counts = {r.label: r.n for r in ready.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    ready = known.mapInArrow(prepare, "label string, ids array<int>")
+    ready, path = written(ready.withColumn("at", F.xxhash64("label", "ids")), "buckets")
+    counts = {r.label: r.n for r in ready.groupBy("label").agg(F.count("*").alias("n")).limit(MOST_LABELS + 1).collect()}
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
     labels, total = sorted(counts), sum(counts.values())
     if not labels:
         raise ValueError("no labelled texts")
     worth = np.array([total / (len(labels) * counts[name]) for name in labels])
     used = _telling(ready, counts)
+    numbers = used["id"].to_numpy(np.int64)
+    shared = spark.sparkContext.broadcast(_row_of(numbers))
+
+    def choose(batches):
+        for batch in batches:
+            ids = batch.column("ids")
+            rows, each = shared.value[ids.flatten().to_numpy()], np.asarray(pc.list_value_length(ids), np.int64)
+            kept = np.concatenate([np.zeros(1, np.int64), np.cumsum(rows >= 0)])
+            each = np.diff(kept[np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])])
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("label"), batch.column("at"), _lists(rows[rows >= 0], each)], names=["part", "label", "at", "ids"])
+
+    def pack(_, rows):
+        rows = rows.sort_by("at")
+        ids = rows.column("ids").combine_chunks()
+        columns = {"labels": rows.column("label").combine_chunks(), "counts": pc.list_value_length(ids), "rows": ids.flatten()}
+        return pa.table({name: pa.ListArray.from_arrays([0, len(column)], column) for name, column in columns.items()})
+
+    parts = max(1, total // SHARE)
+    parts = min(parts, isqrt(FEW_PARTS * parts))
+    dealt = ready.withColumn("part", F.pmod("at", F.lit(parts)))
+    chosen = dealt.mapInArrow(choose, "part bigint, label string, at bigint, ids array<int>").repartition(parts, "part")
+    # A row a partition, so that no round has to move texts.
+    chosen = chosen.groupBy("part").applyInArrow(pack, "labels array<string>, counts array<int>, rows array<int>")
+    chosen = materialize(chosen, "chosen-buckets")
+    release(spark, path)
+    shared.destroy()
     rng = np.random.default_rng(seed)
     start = rng.uniform(-1 / SIZE, 1 / SIZE, (len(used), SIZE)).astype(np.float32)
     none = np.zeros((SIZE + 1, len(labels)), np.float32)
-    scale = used["scale"].to_numpy(np.float32)
-    model = LinearModel(labels, used["id"].to_numpy(np.int64), scale, start, none[:SIZE], none[SIZE])
+    model = LinearModel(labels, numbers, used["scale"].to_numpy(np.float32), start, none[:SIZE], none[SIZE])
     seen = np.full(len(used), 1e-6, np.float32)
-    parts = max(1, total // SHARE)
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast((model, seen))
-        model, seen = _round(ready, shared, parts, worth, 0.5 * (1 - turn / ROUNDS))
+        model, seen = _round(chosen, shared, worth, 0.5 * (1 - turn / ROUNDS))
         shared.destroy()
+        # Spark removes the shuffle files of a round once the JVM has collected what refers to them.
+        spark.sparkContext._jvm.System.gc()
     return model
 
 
+def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    ends = np.cumsum(counts).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([np.zeros(1, np.int32), ends])), pa.array(flat.astype(np.int32)))
+
+
 def _telling(ready: DataFrame, counts: dict[str, int]) -> pd.DataFrame:
     """``id, scale`` of the buckets that the labels differ in, by number."""
     total = sum(counts.values())
@@ -226,31 +335,29 @@ def _telling(ready: DataFrame, counts: dict[str, int]) -> pd.DataFrame:
     return found.toPandas().sort_values("id")
 
 
-def _round(ready: DataFrame, shared, parts: int, worth: np.ndarray, rate: float) -> tuple[LinearModel, np.ndarray]:
+def _round(chosen: DataFrame, shared, worth: np.ndarray, rate: float) -> tuple[LinearModel, np.ndarray]:
     """All partitions learn, their parameters are averaged."""
 
-    def learn(_, rows):
-        model, seen = shared.value
-        model, seen = _unpack(dict(_pack(model, seen)), model)
-        rows = rows.sort_by("at")
-        number = {name: k for k, name in enumerate(model.labels)}
-        truth = np.array([number[name] for name in rows.column("label").to_pylist()])
-        ids = rows.column("ids").combine_chunks()
-        edges, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.int64)
-        texts = [flat[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        # Small sets are gone through several times a round.
-        for _ in range(max(1, LEAST_STEPS * STEP // max(len(texts), 1))):
-            for a in range(0, len(texts), STEP):
-                model.learn(texts[a : a + STEP], truth[a : a + STEP], worth, seen, rate)
-        pieces = _pack(model, seen)
-        return pa.table({"piece": pa.array([k for k, _ in pieces], pa.int32()), "body": [b for _, b in pieces]})
+    def learn(batches):
+        for labels, counts, flat in ((c[k] for c in b.columns) for b in batches for k in range(b.num_rows)):
+            model, seen = shared.value
+            model, seen = _unpack(dict(_pack(model, seen)), model)
+            number = {name: k for k, name in enumerate(model.labels)}
+            truth = np.array([number[name] for name in labels.values.to_pylist()])
+            flat, counts = flat.values.to_numpy(), counts.values.to_numpy().astype(np.int64)
+            # Small sets are gone through several times a round.
+            for _ in range(max(1, LEAST_STEPS * STEP // max(len(counts), 1))):
+                for part, some in _steps(flat, counts):
+                    model.step(model.spread(part, counts[some]), truth[some], worth, seen, rate)
+            pieces = _pack(model, seen)
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in pieces], pa.int32()), pa.array([b for _, b in pieces])], names=["piece", "body"])
 
     def average(_, rows):
         bodies = rows.column("body").to_pylist()
         total = sum(np.frombuffer(b, np.float32).astype(np.float64) for b in bodies)
         return pa.table({"piece": rows.column("piece").slice(0, 1), "body": [(total / len(bodies)).astype(np.float32).tobytes()]})
 
-    learned = ready.withColumn("part", F.pmod("at", F.lit(parts))).groupBy("part").applyInArrow(learn, "piece int, body binary")
+    learned = chosen.mapInArrow(learn, "piece int, body binary")
     pieces = learned.groupBy("piece").applyInArrow(average, "piece int, body binary").collect()
     model, _ = shared.value
     return _unpack({r.piece: bytes(r.body) for r in pieces}, model)

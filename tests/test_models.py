@@ -70,6 +70,54 @@ def test_partitions_learn_as_one(spark, monkeypatch):
         classify.train_classifier(many)
 
 
+def test_models_learn_from_all_texts(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, f"x{i % 7} " + ("pleasant" if i % 2 else "awful") * (rng.random() < 0.5), "good" if i % 2 else "bad") for i in range(400)]
+    # Words of few texts, which a part of the texts would lack.
+    rows += [(1000 + i, f"seldom{i // 5} x{i % 7}", ("good", "bad")[i // 5 % 2]) for i in range(40)]
+    examples = spark.createDataFrame(rows, "doc_id int, text string, label string")
+    monkeypatch.setattr(linear, "SHARE", 30)
+    models = []
+    for most, few in ((20_000, 64), (20, 64), (20, 4)):
+        monkeypatch.setattr(linear, "MOST_TEXTS", most)
+        # With few partitions these grow; their number is the root of 14 times 4.
+        monkeypatch.setattr(linear, "FEW_PARTS", few, raising=False)
+        models.append(classify.train_classifier(examples, key="doc_id"))
+    whole, bounded, grown = models
+    assert np.array_equal(whole.used, bounded.used) and np.array_equal(whole.used, grown.used)
+    assert np.allclose(whole.vectors, bounded.vectors, atol=1e-4) and np.allclose(whole.weights, bounded.weights, atol=1e-4)
+    scored = classify.score(examples.where("doc_id >= 1000"), grown, "prediction")
+    assert scored.where("prediction = label").count() == 40
+
+
+def test_buckets_are_those_of_each_text_alone(monkeypatch):
+    import xxhash
+
+    def plain(text):
+        found = set()
+        for word in text.split():
+            marked = f"<{word}>"
+            names = [word, *("\0" + marked[i : i + linear.PART] for i in range(len(marked) - linear.PART + 1))]
+            found |= {xxhash.xxh3_64_intdigest(n.encode()) % linear.BUCKETS for n in names}
+        return sorted(found)
+
+    rng = random.Random(6)
+    texts = ["", " \n\t", "a", "é😀 \xa0b\x85c", "same same", "x" * 900]
+    texts += [" ".join("".join(rng.choice("abcé") for _ in range(rng.randrange(1, 7))) for _ in range(rng.randrange(80))) for _ in range(60)]
+    row_of = np.where(np.arange(linear.BUCKETS) % 3 == 0, np.arange(linear.BUCKETS) // 3, -1).astype(np.int32)
+    for remembered in (10, 1 << 16):
+        monkeypatch.setattr(linear, "_REMEMBERED", remembered)
+        for a in range(0, len(texts), 7):
+            part = texts[a : a + 7]
+            want = [plain(t) for t in part]
+            flat, counts = linear.bucket_lists(part)
+            assert flat.tolist() == sum(want, []) and counts.tolist() == [*map(len, want)]
+            flat, counts = linear.bucket_lists(part, row_of)
+            want = [[b // 3 for b in w if b % 3 == 0] for w in want]
+            assert flat.tolist() == sum(want, []) and counts.tolist() == [*map(len, want)]
+    assert [len(x) for x in linear.bucket_lists([])] == [0, 0]
+
+
 def test_held_out_documents_are_found(spark):
     known = queries.examples(spark, "toxic", FOLDER)
     scored = classify.score(known, queries.trained(spark, "toxic", FOLDER), "prediction")
