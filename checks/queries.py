@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import html, pii, quality, text
 from corpusmill.operators import classify, lines, minhash, sampling, tokens
+from corpusmill.operators.linear import MOST_TEXTS
 from corpusmill.plans import curate
 from corpusmill.session import materialize, scratch_path
 from corpusmill.sources import archives, files, named
@@ -172,7 +173,7 @@ def sink_tokens(spark, folder):
 
 def model_io(spark, folder):
     target = scratch_path(spark, "model")
-    classify.save_model(language_model(spark, folder), target)
+    classify.save_model(language_model(spark, folder, MOST_TEXTS), target)
     docs = documents(spark, folder)
     return classify.score(docs, classify.load_model(target), "language").select("doc_id", "language")
 
@@ -277,20 +278,20 @@ def examples(spark, kind, folder) -> DataFrame:
     return with_labels(spark, kind, folder, documents(spark, folder))
 
 
-def trained(spark, kind, folder):
-    """A model of three quarters of the labelled documents, all that are not held out."""
+def trained(spark, kind, folder, whole=False):
+    """A model of three quarters of the labelled documents, all that are not held out; or of the ``whole``."""
     # Without ``part``, of which Spark cannot tell that it needs the id alone: other texts stay where they are.
-    train = sampling.train_or_valid("doc_id", SEED) == "train"
-    return classify.train_classifier(examples(spark, kind, folder).where(F.col("label").isNotNull() & train), key="doc_id")
+    train = F.lit(True) if whole else sampling.train_or_valid("doc_id", SEED) == "train"
+    return classify.train_classifier(examples(spark, kind, folder).where(F.col("label").isNotNull() & train))
 
 
-def language_model(spark, folder):
+def language_model(spark, folder, most=None):
     labelled = documents(spark, folder, "text", F.col("lang").alias("label"))
-    return classify.train_classifier(labelled, method="language", key="doc_id")
+    return classify.train_classifier(labelled, method="language", key="doc_id", most=most)
 
 
 def classify_language(spark, folder):
-    scored = classify.classify_language(documents(spark, folder), language_model(spark, folder))
+    scored = classify.classify_language(documents(spark, folder), language_model(spark, folder, MOST_TEXTS))
     return scored.select("doc_id", "language", F.round("confidence", 6).alias("confidence"))
 
 
@@ -340,8 +341,9 @@ def curated(spark, folder):
 
 
 def curate_scored(spark, folder):
-    models = (trained(spark, "quality", folder), language_model(spark, folder), trained(spark, "toxic", folder))
-    return curate.curate_scored(documents(spark, folder), *models)
+    """No document is held out, so the models learn from all that have a label."""
+    quality, toxic = (trained(spark, kind, folder, whole=True) for kind in ("quality", "toxic"))
+    return curate.curate_scored(documents(spark, folder), quality, language_model(spark, folder), toxic)
 
 
 def curation_funnel(spark, folder):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import flatten_for_scoring
 from corpusmill.operators.language import LanguageModel, best_language, train_language
-from corpusmill.operators.linear import LinearModel, best_label, load_linear, save_linear, train_linear
+from corpusmill.operators.linear import LinearModel, best_label, bounded_sample, load_linear, save_linear, train_linear
 
 Model = LinearModel | LanguageModel | PipelineModel
 
@@ -35,19 +35,26 @@ def _weighted(examples: DataFrame, label: str) -> DataFrame:
 
 
 def train_classifier(
-    examples: DataFrame, label: str = "label", text: str = "text", method: str = "linear", key: str | None = None
+    examples: DataFrame,
+    label: str = "label",
+    text: str = "text",
+    method: str = "linear",
+    key: str | None = None,
+    most: int | None = None,
 ) -> Model:
     """Fit texts to labels, which must be a small set.
 
     ``linear`` is a linear model over averaged vectors of words and parts of words, ``language``
     a table of runs of characters. ``logistic`` looks at which words occur, unscaled, ``bayes``
-    at how often they occur. ``key`` names a column by which languages draw a bounded sample; the
-    others learn from all texts.
+    at how often they occur. All texts are learned from, unless ``most`` asks for about so many of
+    a label at most, drawn by the hash of the column ``key``.
     """
+    if most:
+        examples = bounded_sample(examples, label, most, key)
     if method == "linear":
         return train_linear(examples, label, text)
     if method == "language":
-        return train_language(examples, label, text, key)
+        return train_language(examples, label, text)
     flat = examples.select(F.col(label), flatten_for_scoring(F.col(text)).alias("_flat"))
     flat = _weighted(flat, label)
     index = StringIndexer(inputCol=label, outputCol="_class", stringOrderType="alphabetAsc").fit(flat)

@@ -6,7 +6,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, groupby, pairwise
 from math import isqrt
 
 import numpy as np
@@ -30,14 +30,14 @@ BUCKETS, SIZE, PART = 1 << 18, 8, 4
 # Rounds of training; texts of a step; texts of a partition, as long as there are few partitions;
 # least steps a partition takes in a round; partitions from which on they grow, too.
 ROUNDS, STEP, SHARE, LEAST_STEPS, FEW_PARTS = 8, 32, 1000, 64, 4
-# Texts of one label that ``bounded_sample`` draws, at most, where a query asks for a sample.
+# Texts of a label at most, for the queries that are to learn from a ``bounded_sample``.
 MOST_TEXTS = 20_000
 # A bucket is used if so many texts hold it and a label has it more often than the others by so
 # many standard deviations.
 LEAST_TEXTS, LEAST_DEVIATIONS = 3, 2.0
 MOST_LABELS = 64
-# Pieces in which parameters travel.
-PIECES = 32
+# Pieces in which parameters travel; texts whose rows are one value, a multiple of those of a step.
+PIECES, TEXTS = 32, 8 * STEP
 _REMEMBERED = 1 << 16
 
 
@@ -277,25 +277,30 @@ def train_linear(examples: DataFrame, label: str = "label", text: str = "text",
     shared = spark.sparkContext.broadcast(_row_of(numbers))
 
     def choose(batches):
-        for batch in batches:
+        for batch in (b.slice(a, TEXTS) for b in batches for a in range(0, b.num_rows, TEXTS)):
             ids = batch.column("ids")
             rows, each = shared.value[ids.flatten().to_numpy()], np.asarray(pc.list_value_length(ids), np.int64)
             kept = np.concatenate([np.zeros(1, np.int64), np.cumsum(rows >= 0)])
             each = np.diff(kept[np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])])
             yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("label"), batch.column("at"), _lists(rows[rows >= 0], each)], names=["part", "label", "at", "ids"])
 
-    def pack(_, rows):
-        rows = rows.sort_by("at")
-        ids = rows.column("ids").combine_chunks()
-        columns = {"labels": rows.column("label").combine_chunks(), "counts": pc.list_value_length(ids), "rows": ids.flatten()}
-        return pa.table({name: pa.ListArray.from_arrays([0, len(column)], column) for name, column in columns.items()})
+    def pack(batches):
+        for batch in batches:
+            part = batch.column("part").to_numpy()
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]):
+                for some in (batch.slice(c, min(TEXTS, b - c)) for c in range(a, b, TEXTS)):
+                    ids = some.column("ids")
+                    columns = [some.column("label"), pc.list_value_length(ids), ids.flatten()]
+                    columns = [some.column("part").slice(0, 1), *(pa.ListArray.from_arrays([0, len(c)], c) for c in columns)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["part", "labels", "counts", "rows"])
 
     parts = max(1, total // SHARE)
     parts = min(parts, isqrt(FEW_PARTS * parts))
     dealt = ready.withColumn("part", F.pmod("at", F.lit(parts)))
     chosen = dealt.mapInArrow(choose, "part bigint, label string, at bigint, ids array<int>").repartition(parts, "part")
-    # A row a partition, so that no round has to move texts.
-    chosen = chosen.groupBy("part").applyInArrow(pack, "labels array<string>, counts array<int>, rows array<int>")
+    # The texts of a partition stay together in a file, in order, so that no round has to move them.
+    chosen = chosen.sortWithinPartitions("part", "at")
+    chosen = chosen.mapInArrow(pack, "part bigint, labels array<string>, counts array<int>, rows array<int>")
     chosen = materialize(chosen, "chosen-buckets")
     release(spark, path)
     shared.destroy()
@@ -339,16 +344,28 @@ def _round(chosen: DataFrame, shared, worth: np.ndarray, rate: float) -> tuple[L
     """All partitions learn, their parameters are averaged."""
 
     def learn(batches):
-        for labels, counts, flat in ((c[k] for c in b.columns) for b in batches for k in range(b.num_rows)):
+        values = ([c[k] for c in b.columns] for b in batches for k in range(b.num_rows))
+        for _, own in groupby(values, lambda row: row[0].as_py()):
             model, seen = shared.value
             model, seen = _unpack(dict(_pack(model, seen)), model)
             number = {name: k for k, name in enumerate(model.labels)}
-            truth = np.array([number[name] for name in labels.values.to_pylist()])
-            flat, counts = flat.values.to_numpy(), counts.values.to_numpy().astype(np.int64)
-            # Small sets are gone through several times a round.
-            for _ in range(max(1, LEAST_STEPS * STEP // max(len(counts), 1))):
+
+            def go_through(truth, counts, flat, model=model, seen=seen):
                 for part, some in _steps(flat, counts):
                     model.step(model.spread(part, counts[some]), truth[some], worth, seen, rate)
+
+            held, texts = [], 0
+            for _, labels, counts, flat in own:
+                truth = np.array([number[name] for name in labels.values.to_pylist()])
+                held.append((truth, counts.values.to_numpy().astype(np.int64), flat.values.to_numpy()))
+                texts += len(truth)
+                if 2 * texts > LEAST_STEPS * STEP:
+                    for some in held:
+                        go_through(*some)
+                    held = []
+            # Small sets are gone through several times a round.
+            for some in held * (LEAST_STEPS * STEP // texts):
+                go_through(*some)
             pieces = _pack(model, seen)
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in pieces], pa.int32()), pa.array([b for _, b in pieces])], names=["piece", "body"])
 

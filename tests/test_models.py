@@ -90,6 +90,52 @@ def test_models_learn_from_all_texts(spark, monkeypatch):
     assert scored.where("prediction = label").count() == 40
 
 
+def test_curation_with_models_learns_from_all_labels(spark, monkeypatch, tmp_path):
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(["the", "words", "written", "about", "gardens"]) for _ in range(80)), "en" if i % 3 else "de") for i in range(60)]
+    spark.createDataFrame([*rows, (60, None, None)], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i % 4 != 0), int(i % 5 == 0)) for i in range(50)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    learned, train = [], {"linear": classify.train_linear, "language": classify.train_language}
+
+    def spy(kind):
+        def trained(examples, label, text, *rest):
+            learned.append((kind, examples.where(F.col(label).isNotNull()).count()))
+            return train[kind](examples, label, text, *rest)
+
+        return trained
+
+    monkeypatch.setattr(classify, "train_linear", spy("linear"))
+    monkeypatch.setattr(classify, "train_language", spy("language"))
+    monkeypatch.setattr(linear, "MOST_TEXTS", 5)
+    monkeypatch.setattr(language, "MOST_TEXTS", 5, raising=False)
+    done = queries.curate_scored(spark, str(tmp_path))
+    assert learned == [("linear", 50), ("linear", 50), ("language", 60)]
+    assert done.count() <= 60
+    # The model counts the runs of all texts.
+    docs = queries.documents(spark, str(tmp_path), "text", F.col("lang").alias("label"))
+    counted = language.count_grams(docs).groupBy("label").agg(F.sum("n").alias("n")).collect()
+    model = classify.train_classifier(docs, method="language", key="doc_id")
+    size = model.table.select("gram").distinct().count()
+    for r in counted:
+        shares = sum(np.exp(c.weight / language.UNIT) * (r.n + size) - 1 for c in model.table.where(F.col("label") == r.label).collect())
+        assert shares == pytest.approx(r.n, rel=1e-3)
+
+
+def test_runs_of_several_slices_are_added_up(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [("ab"[i % 2], "".join(rng.choice("xyzé😀 ") for _ in range(rng.randrange(3000)))) for i in range(40)]
+    plain = {}
+    for label, body in rows:
+        for i in range(len(body) - 2):
+            plain[label, body[i : i + 3]] = plain.get((label, body[i : i + 3]), 0) + 1
+    examples = spark.createDataFrame(rows * 30, "label string, text string").coalesce(1)
+    for held in (10, 1 << 19):
+        monkeypatch.setattr(language, "_HELD", held)
+        counted = {(r.label, r.gram): r.n for r in language.count_grams(examples).collect()}
+        assert counted == {k: 30 * n for k, n in plain.items()}
+
+
 def test_buckets_are_those_of_each_text_alone(monkeypatch):
     import xxhash
 
