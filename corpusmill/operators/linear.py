@@ -29,7 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BUCKETS, SIZE, PART = 1 << 18, 8, 4
 # Rounds of training; texts of a step; texts of a partition, as long as there are few partitions;
 # least steps a partition takes in a round; partitions from which on they grow, too.
-ROUNDS, STEP, SHARE, LEAST_STEPS, FEW_PARTS = 8, 32, 1000, 64, 4
+ROUNDS, STEP, SHARE, LEAST_STEPS, FEW_PARTS = 8, 32, 1000, 64, 16
 # Texts of a label at most, for the queries that are to learn from a ``bounded_sample``.
 MOST_TEXTS = 20_000
 # A bucket is used if so many texts hold it and a label has it more often than the others by so
@@ -290,8 +290,10 @@ def train_linear(examples: DataFrame, label: str = "label", text: str = "text",
             for a, b in pairwise([0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]):
                 for some in (batch.slice(c, min(TEXTS, b - c)) for c in range(a, b, TEXTS)):
                     ids = some.column("ids")
-                    columns = [some.column("label"), pc.list_value_length(ids), ids.flatten()]
+                    columns = [some.column("label"), pc.list_value_length(ids)]
                     columns = [some.column("part").slice(0, 1), *(pa.ListArray.from_arrays([0, len(c)], c) for c in columns)]
+                    # As bytes: Spark's reader holds several numbers for each of a list.
+                    columns.append(pa.array([ids.flatten().to_numpy().tobytes()]))
                     yield pa.RecordBatch.from_arrays(columns, names=["part", "labels", "counts", "rows"])
 
     parts = max(1, total // SHARE)
@@ -300,7 +302,7 @@ def train_linear(examples: DataFrame, label: str = "label", text: str = "text",
     chosen = dealt.mapInArrow(choose, "part bigint, label string, at bigint, ids array<int>").repartition(parts, "part")
     # The texts of a partition stay together in a file, in order, so that no round has to move them.
     chosen = chosen.sortWithinPartitions("part", "at")
-    chosen = chosen.mapInArrow(pack, "part bigint, labels array<string>, counts array<int>, rows array<int>")
+    chosen = chosen.mapInArrow(pack, "part bigint, labels array<string>, counts array<int>, rows binary")
     chosen = materialize(chosen, "chosen-buckets")
     release(spark, path)
     shared.destroy()
@@ -357,7 +359,7 @@ def _round(chosen: DataFrame, shared, worth: np.ndarray, rate: float) -> tuple[L
             held, texts = [], 0
             for _, labels, counts, flat in own:
                 truth = np.array([number[name] for name in labels.values.to_pylist()])
-                held.append((truth, counts.values.to_numpy().astype(np.int64), flat.values.to_numpy()))
+                held.append((truth, counts.values.to_numpy().astype(np.int64), np.frombuffer(flat.as_py(), np.int32)))
                 texts += len(truth)
                 if 2 * texts > LEAST_STEPS * STEP:
                     for some in held:
